@@ -1,0 +1,414 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from quillstone.llm import bpe, ctw, exact, language, lines, near, packing, registry, secrets, sharding, warc
+from quillstone.llm.common import table
+
+from ..conftest import against_sql
+from .helpers import AWKWARD, DOCS, WORD, docs, low
+
+P = pytest.importorskip("public_tokenizers")
+JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return docs(spark, AWKWARD)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_against_sql(spark, sf_dir, name):
+    got, want = against_sql(registry.QUERIES[name](spark, sf_dir), registry.ORACLE_SQL[name], sf_dir)
+    assert got == want and got
+
+
+# 1: exact dedup
+
+
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_content_sort_groups(spark, awkward, keep):
+    rows = exact.content_sort(awkward, keep=keep).collect()
+    groups = {}
+    for i, t in AWKWARD:
+        groups.setdefault(hashlib.sha256(low(t).encode()).hexdigest(), []).append(i)
+    assert len(rows) == len(AWKWARD)
+    pick = min if keep == "smallest" else max
+    for r in rows:
+        ids = groups[r.text_sha256]
+        assert r.group_size == len(ids)
+        assert r.keep_id == pick([i for i in ids if i is not None], default=None)
+    assert sum(r.kept for r in rows) == len(groups)
+
+
+def test_content_sort_splits_a_hot_group(spark):
+    many = docs(spark, [(i, "the same text") for i in range(4000)] + [(i, f"text {i}") for i in range(4000, 6000)])
+    rows = exact.content_sort(many).collect()
+    assert sum(r.kept for r in rows) == 2001
+    assert {(r.keep_id, r.group_size) for r in rows if r.doc_id < 4000} == {(0, 4000)}
+    runs = spark.read.parquet(*_tables(spark, "runs")).filter("n > 1 and lead_id is not null").select("pid").distinct()
+    assert runs.count() > 1  # it lay in more than one partition
+
+
+def _tables(spark, tag):
+    from pathlib import Path
+
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    return [str(p) for p in base.glob(f"quillstone-{tag}-*")]
+
+
+def test_deduplicated_keeps_columns(spark, awkward, empty):
+    kept = exact.deduplicated(awkward)
+    assert kept.columns == awkward.columns
+    assert kept.count() == len({low(t) for _, t in AWKWARD})
+    assert exact.deduplicated(empty).count() == exact.content_sort(empty).count() == 0
+
+
+# 2: sharding
+
+
+@pytest.mark.parametrize("limit", [1, 50, 5_000, 1 << 30])
+def test_shards_fit(spark, sf_dir, limit):
+    rows = sharding.extendible_shards(table(spark, sf_dir, "documents"), limit=max(limit, 1)).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.shard, []).append(r)
+    for shard, own in by.items():
+        assert sum(r.n_bytes for r in own) == own[0].shard_bytes and len(own) == own[0].shard_docs and len(shard) == own[0].depth
+        assert own[0].shard_bytes <= limit or len(own) == 1 and own[0].overflow
+        for r in own:
+            bits = format(int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:15], 16), "060b")
+            assert bits.startswith(shard)
+            parent = [x for x in rows if shard and format(int(hashlib.md5(str(x.doc_id).encode()).hexdigest()[:15], 16), "060b").startswith(shard[:-1])]
+            assert not shard or sum(x.n_bytes for x in parent) > limit
+
+
+def test_shards_awkward(spark, awkward, empty):
+    rows = sharding.extendible_shards(awkward, limit=100).collect()
+    assert len(rows) == len(AWKWARD)
+    assert {r.shard for r in rows if r.doc_id == 6} and all(r.n_bytes == 0 for r in rows if r.doc_id == 1)
+    assert sharding.extendible_shards(empty).count() == 0
+
+
+# 3: near duplicates
+
+
+def shingles(text, k):
+    words = WORD.findall(low(text))
+    if not words:
+        return set()
+    n = min(k, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+
+def brute(rows, k, percent=80):
+    sets = [(i, shingles(t, k)) for i, t in rows]
+    root = {i: i for i, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            (i, x), (j, y) = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    return {i: (len(s), find(i)) for i, s in sets}
+
+
+def family(seed, copies, words=120, edits=6):
+    r = random.Random(seed)
+    base = [f"w{r.randrange(400)}" for _ in range(words)]
+    out = []
+    for _ in range(copies):
+        own = list(base)
+        for _ in range(r.randrange(edits)):
+            own[r.randrange(words)] = f"v{r.randrange(10**6)}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_near_duplicates_against_brute_force(spark, sf_dir, k):
+    rows = [(r.doc_id, r.text) for r in table(spark, sf_dir, "documents").collect()]
+    rows += [(10_000 + n, t) for n, t in enumerate(t for s in range(12) for t in family(s, 9))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(docs(spark, rows), k=k).collect()}
+    assert got == brute(rows, k)
+
+
+def test_large_group_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 16)
+    monkeypatch.setattr(near, "NODE", 16)
+    rows = [(n, t) for n, t in enumerate(family(1, 150, edits=14) + family(2, 40) + [f"only {i} text" for i in range(30)])]
+    random.Random(0).shuffle(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(docs(spark, rows), k=2).collect()}
+    assert got == brute(rows, 2)
+
+
+def test_near_awkward(spark, awkward, empty):
+    rows = near.near_duplicates(awkward, k=2).collect()
+    assert len(rows) == len(AWKWARD)
+    by = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert [by[i].n_shingles for i in (1, 2, 3, 4)] == [0, 0, 0, 1]
+    assert by[5].component_id == 4 and by[10].component_id == 6 and by[2].component_id == 2 and by[9].n_shingles == 1
+    assert near.near_duplicates(empty).count() == 0
+
+
+# 4: language
+
+
+def test_language_accuracy(spark):
+    rows = language.op4_byte_cnn(spark, "/root/testdata/sf0.01").join(table(spark, "/root/testdata/sf0.01", "documents"), "doc_id").filter("held_out and lang is not null").collect()
+    assert len(rows) > 200 and sum(r.lang_pred == r.lang for r in rows) >= 0.97 * len(rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_folded_filters():
+    rng = np.random.default_rng(0)
+    t = [rng.normal(size=(w, language.CLASSES, language.FILTERS)).astype(np.float32) for w in language.WIDTHS]
+    n = len(t) * language.FILTERS
+    m = language.Model(["a", "b"], t, np.zeros(n, np.float32), rng.normal(size=(n, 2)).astype(np.float32), np.zeros(2, np.float32))
+    x, _ = language.windows([b"Some text, of forty or so bytes in all " * 20])
+    pooled = [sum(tab[j][x[:, j : language.WINDOW - w + 1 + j].astype(int)] for j in range(w)).max(axis=1) for tab, w in zip(t, language.WIDTHS)]
+    logits = np.maximum(np.concatenate(pooled, axis=1), 0) @ m.dense
+    letters = (x >= 4).sum(axis=1)
+    want = (logits * letters[:, None]).sum(axis=0) / letters.sum()
+    got = language.predict(m, [b"Some text, of forty or so bytes in all " * 20])[0]
+    assert np.allclose(got, np.exp(want) / np.exp(want).sum(), atol=1e-4)
+
+
+def test_language_awkward(spark, awkward, empty):
+    model = language.fit(awkward)
+    rows = language.identify(awkward, model).collect()
+    assert len(rows) == len(AWKWARD)
+    for r in rows:
+        assert (r.lang_pred == "und") == (not any(c.isalpha() for c in r.text or ""))
+    assert language.fit(empty) is None and language.identify(empty, None).count() == 0
+    assert {r.lang_pred for r in language.identify(awkward, None).collect()} == {"und"}
+
+
+# 5: BPE
+
+
+def test_bpe_as_tiktoken(spark, sf_dir):
+    e = bpe.encoder(RANKS, P.PATTERN)
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.op5_bpe(spark, sf_dir).collect()}
+    for r in table(spark, sf_dir, "documents").collect():
+        ids = e.encode_ordinary(r.text)
+        assert got[r.doc_id] == (len(ids), hashlib.sha256(bpe.packed(ids)).hexdigest(), hashlib.sha256(r.text.encode()).hexdigest())
+
+
+def test_bpe_chunks(spark, awkward, empty, monkeypatch):
+    r = random.Random(5)
+    pieces = ["a", " b", "  ", "\n", "'s", "'", "ll", "12", " 3", "!!", "é", "\U0001f600", " ", "\t\t", "日本", "<|endoftext|>"]
+    rows = [(n, "".join(r.choice(pieces) for _ in range(60_000))) for n in range(4)] + [(10, "x" * 150_000), (11, " " * 90_000), (12, "ab " * 40_000 + "y" * 5_000 + " z" * 30_000)]
+    e = bpe.encoder(RANKS, P.PATTERN)
+    for source in (rows, AWKWARD):
+        got = sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digests(bpe.encode(docs(spark, source), RANKS, P.PATTERN), RANKS, P.PATTERN).collect())
+        want = sorted((str(i), len(ids := e.encode_ordinary(t or "")), hashlib.sha256(bpe.packed(ids)).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in source)
+        assert got == want
+    assert bpe.digests(bpe.encode(empty, RANKS, P.PATTERN), RANKS, P.PATTERN).count() == 0
+
+
+# 6: lines
+
+
+def test_line_frequency(spark, empty, awkward):
+    common = "This very line stands in all of them"
+    rows = [(2 * n, common + "\n" + " ".join(f"w{n}x{k}" for k in range(3 if n < 5 else 90)) + "\nsome more words for number %d here and there so that it has twenty words" % n * (n >= 5) + " q w e r t y u i o p a s d" * (n < 5)) for n in range(40)]
+    got = {r.doc_id: r for r in lines.line_quality(docs(spark, rows), line_limit=10, keep_percent=70).collect()}
+    assert all(not got[2 * n].base_failed for n in range(40))
+    assert [got[2 * n].kept for n in (0, 4, 5, 39)] == [False, False, True, True]
+    copies = docs(spark, [(2 * n, "a b c d e f g h i j k l m n o p q r s t u v w") for n in range(60)])
+    assert all(r.kept for r in lines.line_quality(copies, line_limit=10).collect())
+    assert lines.line_quality(empty).count() == 0 and lines.line_quality(awkward).count() == len(AWKWARD)
+
+
+def test_repeated_words():
+    r = random.Random(2)
+    for _ in range(200):
+        words = [r.choice([b"a", b"b"]) for _ in range(r.randrange(60))]
+        n, seen, hit = 8, {}, set()
+        for i in range(len(words) - n + 1):
+            seen.setdefault(tuple(words[i : i + n]), []).append(i)
+        for at in seen.values():
+            if len(at) > 1:
+                hit |= {p for i in at for p in range(i, i + n)}
+        assert lines.repeated_words(words) == len(hit)
+
+
+# 7: context-tree weighting
+
+
+def test_ctw_against_recursion():
+    """Block probabilities by the textbook recursion; a prediction is the ratio of two of them."""
+    import math
+
+    texts = [b"abab", b"abcab", b"ba"]
+    code, _ = ctw.grams(texts)
+    keys, n = np.unique(code, return_counts=True)
+    tree = ctw.ContextTree(keys.astype(np.int64), n.astype(float))
+    table_ = ctw.dense(tree.compact())
+
+    def weighted(pairs, depth):
+        """pairs: (context bytes, nearest last; bit)"""
+        zeros, ones = sum(b == 0 for _, b in pairs), sum(b == 1 for _, b in pairs)
+        own = math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(zeros + ones + 1)
+        if depth == ctw.DEPTH or not pairs:
+            return own
+        below = sum(weighted([p for p in pairs if p[0][-1 - depth] == c], depth + 1) for c in {p[0][-1 - depth] for p in pairs})
+        return math.log(0.5) + np.logaddexp(own, below)
+
+    places = [((int(g) >> 16, (int(g) >> 8) & 255), int(g) & 255) for g in code]
+    for context, byte in [((65, 65), 97), ((97, 98), 97), ((97, 98), 99), ((120, 97), 98), ((120, 121), 122)]:
+        total = 0.0
+        for b in range(8):
+            own = [(c, (x >> (7 - b)) & 1) for c, x in places if x >> (8 - b) == byte >> (8 - b)]
+            total += weighted([*own, (context, (byte >> (7 - b)) & 1)], 0) - weighted(own, 0)
+        assert math.isclose(total / math.log(10), table_[(context[0] << 16) | (context[1] << 8) | byte], abs_tol=1e-5)
+
+
+def test_ctw_base_score(spark, sf_dir, monkeypatch):
+    import math
+    from collections import Counter
+
+    monkeypatch.setattr(ctw, "BROADCAST_WORDS", 500)
+    rows = table(spark, sf_dir, "documents").collect()
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 7 == 2 for r in rows}
+    tokens = {r.doc_id: [*WORD.findall(low(r.text)), None] for r in rows}
+    c = Counter(t for r in rows if not held[r.doc_id] for t in tokens[r.doc_id])
+    n, v = sum(c.values()), len(c)
+    got = {r.doc_id: r for r in ctw.op7_ctw(spark, sf_dir).collect()}
+    for i, own in tokens.items():
+        assert (got[i].held_out, got[i].n_tokens, got[i].train_tokens) == (held[i], len(own), n)
+        assert got[i].n_known == sum(c[t] > 0 for t in own)
+        assert math.isclose(got[i].base_score, sum(math.log10((c[t] + 1) / (n + v + 1)) for t in own), rel_tol=1e-9)
+    held_bits = [r.bits_per_byte for r in got.values() if r.held_out and r.n_tokens > 50]
+    assert 0 < sum(held_bits) / len(held_bits) < 5
+
+
+def test_ctw_awkward(spark, awkward, empty):
+    rows = ctw.score(awkward, awkward).collect()
+    assert len(rows) == len(AWKWARD) and all(r.score < 0 for r in rows)
+    assert ctw.score(empty, empty).count() == 0
+    assert all(abs(r.bits_per_byte - 8) < 1e-4 for r in ctw.score(awkward, empty).collect())
+
+
+# 8: secrets
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secrets.Forest(secrets.example_findings(spark))
+
+
+def test_secret_scan(spark, forest):
+    key, commit = hashlib.sha1(b"k").hexdigest(), hashlib.sha1(b"c").hexdigest()
+    text = f'Words before token = "{key}" and after. See commit {commit} on mail3.example.com/page or chapter-12_section_4.png.'
+    rows = secrets.scan(docs(spark, [(2, text)]), forest).collect()
+    found = {text[r.start : r.start + r.length]: r.is_secret for r in rows}
+    assert found[key] and not found[commit] and sum(found.values()) == 1
+    assert secrets.redact(docs(spark, [(2, text)]), forest).first().text == text.replace(key, secrets.REDACTED)
+
+
+def test_secrets_in_documents(spark, forest, sf_dir):
+    import re
+
+    rows = table(spark, "/root/testdata/sf0.01", "documents")
+    planted = {(r.doc_id, m[1]) for r in rows.collect() for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r.text)}
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    found = {(r.doc_id, texts[r.doc_id][r.start : r.start + r.length]) for r in secrets.scan(rows, forest).filter("is_secret").collect()}
+    assert planted and found == planted
+
+
+def test_secrets_awkward(spark, awkward, empty, forest):
+    assert secrets.scan(awkward, forest).filter("is_secret").count() == 0
+    clean = secrets.redact(awkward, forest)
+    assert clean.columns == awkward.columns and sorted(map(str, clean.collect())) == sorted(map(str, awkward.collect()))
+    assert secrets.scan(empty, forest).count() == secrets.redact(empty, forest).count() == 0
+
+
+# 9: packing
+
+
+def check_packing(source, rows):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(JSON)
+    ids = {i: [*t.encode(x or "", add_special_tokens=False).ids, 0] for i, x in source}
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+        assert r.ids_crc32 == zlib.crc32(np.asarray(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes()) and r.doc_tokens == len(ids[r.doc_id])
+    for i, own in by_doc.items():
+        at = 0
+        for r in sorted(own, key=lambda r: r.start):
+            assert r.start == at and r.length > 0
+            at += r.length
+        assert at == len(ids[i])
+    short = 0
+    for own in by_sequence.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 1024
+        short += at < 1024
+    assert by_doc.keys() == ids.keys()
+    return short
+
+
+def test_packing(spark, sf_dir):
+    source = [(r.doc_id, r.text) for r in table(spark, sf_dir, "documents").collect()]
+    assert check_packing(source, packing.op9_hilbert(spark, sf_dir).collect()) <= 1
+
+
+def test_packing_awkward(spark, empty):
+    source = [(i, t) for i, t in dict(AWKWARD).items()] + [(99, "a <|endoftext|> b")]
+    rows = packing.pack(docs(spark, source), JSON, RANKS, P.PATTERN).collect()
+    assert check_packing(source, rows) <= 4
+    assert packing.pack(empty, JSON).count() == 0
+
+
+def test_hilbert_curve():
+    side = np.arange(8)
+    points = np.stack(np.meshgrid(side, side, side), axis=-1).reshape(-1, 3)
+    keys = packing.hilbert(points, bits=3)
+    assert sorted(keys) == list(range(512))
+    path = points[np.argsort(keys)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+# 10: WARC
+
+
+def test_warc_records(spark):
+    same = "<p>" + "same " * 50 + "</p>"
+    rows = [(5, "http://a/ b\r\n", same), (3, None, same), (3, "u", same), (9, "u", "tiny"), (8, "u", "tiny"), (None, "u", same), (7, "u", None), (6, "u", "é" * 100_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_archives(warc.write_archives(pages)).collect()), key=str)
+    n = len(same.encode())
+    assert got == sorted([(5, n, "revisit", 3), (3, n, "response", None), (3, n, "response", None), (9, 4, "response", None), (8, 4, "response", None), (0, n, "revisit", 3), (7, 0, "response", None), (6, 200_000, "response", None)], key=str)
+    assert warc.read_archives(warc.write_archives(pages.limit(0))).count() == 0
+
+
+def test_warc_broken():
+    good = warc.record(1, "u", b"payload", None)
+    assert len(list(warc.read_records(good + warc.record(2, "u", b"x" * 200_000, None)))) == 2
+    with pytest.raises(ValueError):
+        list(warc.read_records(good[:-20]))
+    bad = zlib.compressobj(6, zlib.DEFLATED, 31)
+    with pytest.raises(ValueError):
+        list(warc.read_records(bad.compress(zlib.decompress(good, 31).replace(b"payload", b"payl0ad")) + bad.flush()))
