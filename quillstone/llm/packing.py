@@ -20,6 +20,8 @@ SEQUENCE = 1024
 DIMS, CURVE_BITS = 3, 10
 #: Tokens that one task of the range sort packs, about.
 TASK_TOKENS = 8 << 20
+#: Ids of a row of the sorted table: long documents are cut, so that rows, by which Spark splits the range, weigh alike.
+PART = 2048
 END = 0
 
 
@@ -79,7 +81,7 @@ def token_ids(texts: list[str], path: str, ranks_path: str | None, pattern: str
 
 
 def _tokenise(path: str, ranks_path: str | None, pattern: str | None):
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = tokenizer(path).get_vocab_size()
@@ -93,7 +95,9 @@ def _tokenise(path: str, ranks_path: str | None, pattern: str | None):
                     found = [np.asarray([*e, END], dtype="<u4") for e in token_ids([x or "" for _, x in part], path, ranks_path, pattern)]
                     keys = curve_keys(np.stack([table[f].mean(axis=0) for f in found]))
                     for (i, _), f, key in zip(part, found, keys.tolist()):
-                        yield i, key, len(f), f.astype("<u2").tobytes() if size <= 65536 else f.tobytes()
+                        raw = f.astype("<u2") if size <= 65536 else f
+                        for at in range(0, len(f), PART):
+                            yield i, key, len(f), at, raw[at : at + PART].tobytes()
 
         yield from batches(out(), schema)
 
@@ -101,10 +105,10 @@ def _tokenise(path: str, ranks_path: str | None, pattern: str | None):
 
 
 def curve_tokens(docs: DataFrame, path: str, ranks_path: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Written table (doc_id, key on the curve, n, ids with the end id) of every document."""
+    """Written table (doc_id, key on the curve, n, start, ids) of every document's ids with the end id, in parts of at most PART ids."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return written(rows.mapInArrow(_tokenise(path, ranks_path, pattern), "doc_id long, key long, n long, ids binary"), "tokens")
+    return written(rows.mapInArrow(_tokenise(path, ranks_path, pattern), "doc_id long, key long, n long, start long, ids binary"), "tokens")
 
 
 _PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
@@ -118,13 +122,13 @@ def _fill(size: int, with_ids: bool):
         def out() -> Iterator[tuple]:
             nonlocal sequence, used
             for b in it:
-                for i, n, raw in rows_of(b):
-                    ids, at = np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * n else "<u4").astype("<u4"), 0
-                    while at < n:
+                for i, n, start, raw in rows_of(b):
+                    ids, at = np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * min(PART, n - start) else "<u4").astype("<u4"), 0
+                    while at < len(ids):
                         if used == size:
                             sequence, used = sequence + 1, 0
                         piece = ids[at : at + size - used].tobytes()
-                        yield i, at, len(piece) // 4, zlib.crc32(piece), n, sequence, used, piece if with_ids else None
+                        yield i, start + at, len(piece) // 4, zlib.crc32(piece), n, sequence, used, piece if with_ids else None
                         at, used = at + len(piece) // 4, used + len(piece) // 4
 
         yield from batches(out(), _PIECE, 5000)
@@ -137,16 +141,16 @@ def pack(docs: DataFrame, path: str, ranks_path: str | None = None, pattern: str
 
     A document's vector is the mean of the fixed vectors of its ids. Documents are range-sorted by their
     Hilbert key (ties by identifier) and laid one after another into sequences of ``size`` ids, cut where
-    a sequence is full; so only the last sequence of each task of about TASK_TOKENS ids is padded.
+    a sequence is full and where a task ends; so only the last sequence of each task of about TASK_TOKENS ids is padded.
 
     A null or empty text is one end id. Null identifiers pass through, repeated rows are packed each,
     other columns are not read, an empty table gives no pieces. ``ids`` is null without ``with_ids``.
     """
     tokens = curve_tokens(docs, path, ranks_path, pattern, id_col, text_col)
-    total = tokens.agg(F.sum("n")).first()[0] or 0
-    order = [F.col("key"), F.col("doc_id").asc_nulls_first()]
+    total = tokens.filter("start = 0").agg(F.sum("n")).first()[0] or 0
+    order = [F.col("key"), F.col("doc_id").asc_nulls_first(), F.col("start")]
     dealt = tokens.repartitionByRange(1 + total // TASK_TOKENS, *order).sortWithinPartitions(*order)
-    return dealt.select("doc_id", "n", "ids").mapInArrow(_fill(size, with_ids), _PIECE_DDL)
+    return dealt.select("doc_id", "n", "start", "ids").mapInArrow(_fill(size, with_ids), _PIECE_DDL)
 
 
 def op9_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
