@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm import exact, language, near, packing, secrets
-from quillstone.llm.common import written
+from quillstone.llm.common import join_small, written
 
 #: A language is rejected below this probability; a text without letters has none.
 LEAST_SCORE = 0.4
@@ -31,7 +31,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, on five-word shingles at a similarity of 0.8."""
     gone = written(near.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return join_small(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, lower_az, partitions, prepare, rows_of, table, batches, written
+from .common import LOWER, UPPER, batches, join_small, lower_az, partitions, prepare, rows_of, table, written
 
 _RUNS = pa.schema([("id", pa.int64()), ("lead", pa.bool_()), ("lead_id", pa.int64()), ("n", pa.int64()), ("text_sha256", pa.string()), ("pid", pa.int32()), ("run", pa.int64()), ("edge", pa.int32())])
 _RUNS_DDL = "id long, lead boolean, lead_id long, n long, text_sha256 string, pid int, run long, edge int"
@@ -93,15 +93,20 @@ def _merge_seams(edges: list) -> list[tuple]:
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """The kept rows with all their columns. Rows are told apart by id and text, so each repeated row stays once."""
-    kept = content_sort(docs, id_col, text_col, keep).filter("kept").select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"))
+    """The kept rows with all their columns, one of each group and one of repeated rows.
+
+    With identifiers that are unique and not null, the dropped ones are anti-joined: as a broadcast within
+    the bound, so that texts are not shuffled again. Otherwise rows are told apart by identifier and text.
+    """
+    found = written(content_sort(docs, id_col, text_col, keep).select(F.col(id_col).alias("__id"), "kept", "text_sha256"), "found")
+    plain = found.filter("__id is null").isEmpty() and found.groupBy("__id").count().filter("count > 1").isEmpty()
+    if plain:
+        gone = written(found.filter("not kept").select(F.col("__id").alias(id_col)), "gone")
+        return join_small(docs, gone, [id_col], "left_anti").select(*docs.columns)
+    kept = found.filter("kept").select("__id", F.col("text_sha256").alias("__sha"))
     sha = F.sha2(lower_az(F.col(text_col)).cast("binary"), 256)
     joined = docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_semi")
-    return joined.dropDuplicates([id_col, text_col]) if _repeats(joined, id_col) else joined
-
-
-def _repeats(df: DataFrame, id_col: str) -> bool:
-    return not df.groupBy(id_col).count().filter("count > 1").isEmpty()
+    return joined.dropDuplicates([id_col, text_col])
 
 
 def op1_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
