@@ -22,8 +22,8 @@ BROADCAST_ROWS = 1_000_000
 def prepare(spark: SparkSession) -> None:
     """Bound the Arrow batches that Python workers get, so that long texts fit in memory, and send them this package."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def partitions(spark: SparkSession) -> int:
@@ -72,13 +72,13 @@ def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
 
 
 def batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 2000) -> Iterator[pa.RecordBatch]:
-    """Record batches of at most ``most`` rows and about 16 MB from tuples."""
+    """Record batches of at most ``most`` rows and about 4 MB from tuples."""
     kept: list[tuple] = []
     size = 0
     for row in rows:
         kept.append(row)
         size += sum(len(x) for x in row if isinstance(x, (bytes, str)))
-        if len(kept) >= most or size > 16 << 20:
+        if len(kept) >= most or size > 4 << 20:
             yield _batch(kept, schema)
             kept, size = [], 0
     if kept:
