@@ -251,32 +251,52 @@ def test_repeated_words():
 # 7: context-tree weighting
 
 
-def test_ctw_against_recursion():
+def ctw_machine(spark, texts):
+    code, n = np.unique(ctw.grams(texts), return_counts=True)
+    return ctw.context_tree(spark.createDataFrame(zip(code.tolist(), n.tolist()), "key long, n long")).machine()
+
+
+@pytest.mark.parametrize("depth", [2, 3])
+def test_ctw_against_recursion(spark, monkeypatch, depth):
     """Block probabilities by the textbook recursion; a prediction is the ratio of two of them."""
     import math
 
+    monkeypatch.setattr(ctw, "DEPTH", depth)
     texts = [b"abab", b"abcab", b"ba"]
-    code, _ = ctw.grams(texts)
-    keys, n = np.unique(code, return_counts=True)
-    tree = ctw.ContextTree(keys.astype(np.int64), n.astype(float))
-    table_ = ctw.dense(tree.compact())
+    machine = ctw_machine(spark, texts)
 
-    def weighted(pairs, depth):
-        """pairs: (context bytes, nearest last; bit)"""
+    def weighted(pairs, d):
+        """pairs: (context bytes, nearest first; bit)"""
         zeros, ones = sum(b == 0 for _, b in pairs), sum(b == 1 for _, b in pairs)
         own = math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(zeros + ones + 1)
-        if depth == ctw.DEPTH or not pairs:
+        if d == depth or not pairs:
             return own
-        below = sum(weighted([p for p in pairs if p[0][-1 - depth] == c], depth + 1) for c in {p[0][-1 - depth] for p in pairs})
+        below = sum(weighted([p for p in pairs if p[0][d] == x], d + 1) for x in {p[0][d] for p in pairs})
         return math.log(0.5) + np.logaddexp(own, below)
 
-    places = [((int(g) >> 16, (int(g) >> 8) & 255), int(g) & 255) for g in code]
-    for context, byte in [((65, 65), 97), ((97, 98), 97), ((97, 98), 99), ((120, 97), 98), ((120, 121), 122)]:
+    def all_places(ts):
+        before, byte, _ = ctw.places(ts)
+        return [(tuple(int(b[i]) for b in before), int(byte[i])) for i in range(len(byte))]
+
+    seen = all_places(texts)
+    probe = [b"abcz", b"zzb", b""]
+    got = ctw.place_logs(machine, probe)[0]
+    for (context, byte), log in zip(all_places(probe), got):
         total = 0.0
         for b in range(8):
-            own = [(c, (x >> (7 - b)) & 1) for c, x in places if x >> (8 - b) == byte >> (8 - b)]
+            own = [(x, (y >> (7 - b)) & 1) for x, y in seen if y >> (8 - b) == byte >> (8 - b)]
             total += weighted([*own, (context, (byte >> (7 - b)) & 1)], 0) - weighted(own, 0)
-        assert math.isclose(total / math.log(10), table_[(context[0] << 16) | (context[1] << 8) | byte], abs_tol=1e-5)
+        assert math.isclose(total / math.log(10), log, rel_tol=2e-3)
+
+
+def test_ctw_kept_contexts(spark, monkeypatch):
+    """With contexts merged, each context's byte probabilities still sum to one, and frequent text is still likely."""
+    monkeypatch.setattr(ctw, "CONTEXTS", 4)
+    following, logs = ctw_machine(spark, [b"the cat sat on the mat", b"a dog and a cat"] * 5)
+    assert np.allclose((10.0 ** logs.astype(np.float64)).sum(axis=1), 1, atol=5e-3)
+    assert following.max() == len(following) + len(logs) - 1
+    likely, odd = (ctw.place_logs((following, logs), [t])[0].mean() for t in (b"the cat", b"qzx#!vk"))
+    assert likely > odd + 0.5
 
 
 def test_ctw_base_score(spark, sf_dir, monkeypatch):
@@ -302,7 +322,7 @@ def test_ctw_awkward(spark, awkward, empty):
     rows = ctw.score(awkward, awkward).collect()
     assert len(rows) == len(AWKWARD) and all(r.score < 0 for r in rows)
     assert ctw.score(empty, empty).count() == 0
-    assert all(abs(r.bits_per_byte - 8) < 1e-4 for r in ctw.score(awkward, empty).collect())
+    assert all(abs(r.bits_per_byte - 8) < 5e-3 for r in ctw.score(awkward, empty).collect())
 
 
 # 8: secrets
