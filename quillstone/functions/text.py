@@ -204,6 +204,11 @@ def best_pdf_url(best: Column, locations: Column) -> Column:
     return F.coalesce(safe_string(best), F.get(F.filter(F.transform(locations, safe_string), lambda u: u.isNotNull()), 0))
 
 
+def iso_time(ts: Column, micros: bool = False) -> Column:
+    """ISO form of a UTC time, in seconds or microseconds, with a Z."""
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" if micros else "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+
+
 def line_kind(line: Column) -> Column:
     """heading, table, list, caption, fence, blank or paragraph, of one Markdown line."""
     s = F.trim(line)

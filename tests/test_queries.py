@@ -1,10 +1,13 @@
 import pytest
 
-from quillstone.plans import registry
+from quillstone.plans import records, registry
 
 from .conftest import against_sql
 
 
+assert records.NOW
+
+
 @pytest.mark.parametrize("name", list(registry.ORACLE_SQL))
 def test_query_equals_sql(spark, sf_dir, name):
     got, want = against_sql(registry.QUERIES[name](spark, sf_dir), registry.ORACLE_SQL[name], sf_dir)
