@@ -291,12 +291,14 @@ def test_ctw_against_recursion(spark, monkeypatch, depth):
 
 def test_ctw_kept_contexts(spark, monkeypatch):
     """With contexts merged, each context's byte probabilities still sum to one, and frequent text is still likely."""
-    monkeypatch.setattr(ctw, "CONTEXTS", 4)
+    monkeypatch.setattr(ctw, "SHARE", 20)
     following, logs = ctw_machine(spark, [b"the cat sat on the mat", b"a dog and a cat"] * 5)
     assert np.allclose((10.0 ** logs.astype(np.float64)).sum(axis=1), 1, atol=5e-3)
     assert following.max() == len(following) + len(logs) - 1
     likely, odd = (ctw.place_logs((following, logs), [t])[0].mean() for t in (b"the cat", b"qzx#!vk"))
     assert likely > odd + 0.5
+    twice, _ = ctw_machine(spark, [b"the cat sat on the mat", b"a dog and a cat"] * 10)
+    assert np.array_equal(twice, following)  # which contexts are nodes does not follow the corpus's size
 
 
 def test_ctw_base_score(spark, sf_dir, monkeypatch):
