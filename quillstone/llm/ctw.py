@@ -12,16 +12,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, crc_mod, join_small, lower_az, prepare, rows_of, table, written
+from .common import batches, crc_mod, lower_az, partitions, prepare, rows_of, table, written
 from .lines import signed
 
 #: Bytes of context.
 DEPTH = 5
-#: From depth 2 on a context is its own node if it precedes at least one in SHARE of the training bytes. The data of
-#: the rarer ones of one parent are one further child of it, so the tree covers the whole corpus. The rule is alike at
-#: every size of corpus, and by construction at most SHARE contexts of a depth are nodes.
-SHARE = 1 << 16
-OTHER = 256
+#: Subtrees of contexts of TOP bytes are weighted in tasks; what lies above them, on the driver.
+TOP = 3
+#: Pairs of a context and a byte that make at least one in SHARE of all places are broadcast with their probability, so
+#: at most SHARE of them; the others are joined. It decides where a probability is looked up, not what it is.
+SHARE = 1 << 22
+#: Pairs that a task weights at once, at least; contexts of TOP bytes are not cut.
+CHUNK = 200_000
 #: Distinct grams that a task holds before it merges them, and before it hands them on.
 MERGE_GRAMS, FLUSH_GRAMS = 1_000_000, 1_500_000
 #: Upper-case A never occurs in lower-cased text: it begins and ends each text.
@@ -62,7 +64,7 @@ _COUNTS = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64())
 
 
 def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words (kind 0, by hash) and of byte grams (kind 1) of the texts of a task."""
+    """Counts of words (kind 0, by hash) and of byte grams (kind 1) of the texts of a task; of texts not learnt from, grams only (kind 2)."""
 
     def arrays(kind: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         for k in range(0, len(keys), 100_000):
@@ -77,27 +79,31 @@ def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
         return keys, np.bincount(inverse, weights=np.concatenate([n for _, n in parts]), minlength=len(keys)).astype(np.int64)
 
-    words, parts, held = Counter(), [], 0
+    words, parts, held = Counter(), {1: [], 2: []}, {1: 0, 2: 0}
     for b in it:
-        texts = b.column(0).to_pylist()
-        for t in texts:
+        both: dict[int, list[bytes]] = {1: [], 2: []}
+        for t, learnt in rows_of(b):
+            both[1 if learnt else 2].append(t)
+        for t in both[1]:
             words.update(t.split())
             if len(words) > FLUSH_WORDS:
                 yield from words_out(words)
                 words = Counter()
-        for k in range(0, len(texts), 256):
-            parts.append(np.unique(grams(texts[k : k + 256]), return_counts=True))
-            held += len(parts[-1][0])
-            if held > MERGE_GRAMS:
-                parts = [merged(parts)]
-                held = len(parts[0][0])
-                if held > FLUSH_GRAMS:
-                    yield from arrays(1, *parts[0])
-                    parts, held = [], 0
-                held = min(held, MERGE_GRAMS // 2)
+        for kind, texts in both.items():
+            for k in range(0, len(texts), 256):
+                parts[kind].append(np.unique(grams(texts[k : k + 256]), return_counts=True))
+                held[kind] += len(parts[kind][-1][0])
+                if held[kind] > MERGE_GRAMS:
+                    parts[kind] = [merged(parts[kind])]
+                    held[kind] = len(parts[kind][0][0])
+                    if held[kind] > FLUSH_GRAMS:
+                        yield from arrays(kind, *parts[kind][0])
+                        parts[kind], held[kind] = [], 0
+                    held[kind] = min(held[kind], MERGE_GRAMS // 2)
     yield from words_out(words)
-    if parts:
-        yield from arrays(1, *merged(parts))
+    for kind, own in parts.items():
+        if own:
+            yield from arrays(kind, *merged(own))
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -114,46 +120,55 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - 1.1447298858494002 - _log_gamma(zeros + ones + 1)
 
 
+def leaves(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes of depth DEPTH, (context key, place in the byte), with their counts of zeros and ones; and for each bit and code its node's position."""
+    key, byte = code >> 8, code & 255
+    nodes, at = np.unique(np.concatenate([(key << 8) | (1 << b) | (byte >> (8 - b)) for b in range(8)]), return_inverse=True)
+    bit = np.concatenate([(byte >> (7 - b)) & 1 for b in range(8)])
+    w = np.tile(n, 8)
+    return nodes, np.bincount(at, weights=w * (1 - bit), minlength=len(nodes)), np.bincount(at, weights=w * bit, minlength=len(nodes)), at.reshape(8, -1)
+
+
+class Level:
+    """Nodes of a depth from those of the next one (or from sums over them): ``parent`` is each child's position.
+
+    A node's weighted probability is half its KT estimate plus half the product of its children's; ``share``, the
+    ratio of the two, is the weight with which a prediction mixes ``p`` into that of the child. A node without
+    counts has a weighted probability of 1 and predicts one half, so it stands for what was never seen.
+    """
+
+    def __init__(self, depth: int, child: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray) -> None:
+        self.nodes, self.parent = np.unique((((child >> 8) & mask(depth)) << 8) | (child & 255), return_inverse=True)
+        self.zeros, self.ones, below = (np.bincount(self.parent, weights=x, minlength=len(self.nodes)) for x in (zeros, ones, weighted))
+        own = log_kt(self.zeros, self.ones)
+        self.weighted = math.log(0.5) + np.logaddexp(own, below)
+        self.share = 1 / (1 + np.exp(-np.clip(own - below, -700, 700)))
+        self.p = (self.ones + 0.5) / (self.zeros + self.ones + 1)
+
+    def mix(self, p: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return p + (self.p[at] - p) * self.share[at]
+
+
 class ContextTree:
-    """Context trees, one for each of the 255 places of the binary decomposition of a byte.
+    """Context trees, one for each of the 255 places of the binary decomposition of a byte, in memory.
 
-    A node's weighted probability is half its KT estimate plus half the product of its children's; the
-    ratio of the two is the weight with which a prediction mixes the depths. Leaves are the contexts of
-    DEPTH bytes and the children that stand for contexts not kept. ``key``, ``leaf``, ``byte``, ``n``:
-    context key, its depth, the byte after it and how often.
+    Leaves are the contexts of DEPTH bytes. ``code``, ``n``: (context, byte) and how often. It holds every node with
+    all bytes, so it is for small tables; ``probabilities`` has the same tree as a written table.
     """
 
-    def __init__(self, key: np.ndarray, leaf: np.ndarray, byte: np.ndarray, n: np.ndarray) -> None:
-        self.keys = [np.unique(key[leaf >= d] & mask(d)) if d else np.zeros(1, dtype=np.int64) for d in range(DEPTH + 1)]
+    def __init__(self, code: np.ndarray, n: np.ndarray) -> None:
+        self.keys = [np.unique((code >> 8) & mask(d)) if d else np.zeros(1, dtype=np.int64) for d in range(DEPTH + 1)]
         self.levels: list = [None] * (DEPTH + 1)
-        child, weighted = np.empty(0, dtype=np.int64), np.empty(0)
-        for d in range(DEPTH, -1, -1):  # one depth's nodes at a time
-            nodes, zeros, ones = self._nodes(d, key, leaf, byte, n)
-            own = log_kt(zeros, ones)
-            below, inner = np.zeros(len(nodes)), np.zeros(len(nodes), dtype=bool)
-            at = np.searchsorted(nodes, (((child >> 8) & mask(d)) << 8) | (child & 255))
-            np.add.at(below, at, weighted)
-            inner[at] = True
-            child, weighted = nodes, np.where(inner, math.log(0.5) + np.logaddexp(own, below), own)
-            share = np.where(inner, 1 / (1 + np.exp(-np.clip(own - below, -700, 700))), 1.0)
-            p, g = np.full((len(self.keys[d]), 256), 0.5, dtype=np.float32), np.full((len(self.keys[d]), 256), 0.5, dtype=np.float32)
+        nodes, zeros, ones, _ = leaves(code, n)
+        weighted, p, share = log_kt(zeros, ones), (ones + 0.5) / (zeros + ones + 1), np.ones(len(nodes))
+        for d in range(DEPTH, -1, -1):
+            if d < DEPTH:
+                up = Level(d, nodes, zeros, ones, weighted)
+                nodes, zeros, ones, weighted, p, share = up.nodes, up.zeros, up.ones, up.weighted, up.p, up.share
+            own, mixed = np.full((len(self.keys[d]), 256), 0.5, dtype=np.float32), np.full((len(self.keys[d]), 256), 0.5, dtype=np.float32)
             row = np.searchsorted(self.keys[d], nodes >> 8)
-            p[row, nodes & 255], g[row, nodes & 255] = (ones + 0.5) / (zeros + ones + 1), share
-            self.levels[d] = (p, g)
-
-    @staticmethod
-    def _nodes(d: int, key: np.ndarray, leaf: np.ndarray, byte: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(context key, place in the byte) of each node of a depth, and its counts of zeros and ones."""
-        own = leaf >= d
-        k, x, w = key[own] & mask(d), byte[own], n[own]
-        parts = []
-        for b in range(8):
-            nodes, at = np.unique((k << 8) | (1 << b) | (x >> (8 - b)), return_inverse=True)
-            bit = (x >> (7 - b)) & 1
-            parts.append((nodes, np.bincount(at, weights=w * (1 - bit), minlength=len(nodes)), np.bincount(at, weights=w * bit, minlength=len(nodes))))
-        nodes, zeros, ones = (np.concatenate(c) for c in zip(*parts))
-        order = np.argsort(nodes)
-        return nodes[order], zeros[order], ones[order]
+            own[row, nodes & 255], mixed[row, nodes & 255] = p, share
+            self.levels[d] = (own, mixed)
 
     def _log10(self, p: np.ndarray, keys: np.ndarray, depth: int) -> np.ndarray:
         """log10 probability of each byte, from bit probabilities below ``depth`` and the nodes of the keys up to the root."""
@@ -197,9 +212,7 @@ class ContextTree:
                     begin, made = made, made + len(keys)
                 ids = np.arange(begin, begin + len(keys))
                 parent, symbol = first[d] + np.searchsorted(inner[d], keys & mask(d)), keys >> (9 * d)
-                other = symbol == OTHER
-                following[parent[other]] = ids[other][:, None]
-                following[parent[~other], symbol[~other]] = ids[~other]
+                following[parent, symbol] = ids
         return following, np.concatenate(logs)
 
     def _rows(self, keys: np.ndarray, depth: int, unseen: bool) -> np.ndarray:
@@ -222,36 +235,114 @@ def place_logs(machine: tuple[np.ndarray, np.ndarray], texts: list[bytes]) -> tu
     return logs.reshape(-1)[((state - states) << 8) | byte].astype(np.float64), sizes
 
 
-def count(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Written table (kind, key, n) of the word and gram counts of all texts."""
-    prepare(docs.sparkSession)
-    found = docs.select(lower_az(F.col(text_col)).cast("binary").alias("t")).mapInArrow(_count, "kind byte, key long, n long")
+def count(rows: DataFrame) -> DataFrame:
+    """Written table (kind, key, n) of the word and gram counts of all texts; ``rows`` has (t, learnt)."""
+    found = rows.mapInArrow(_count, "kind byte, key long, n long")
     return written(found.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
 
 
 def context_tree(counted: DataFrame) -> ContextTree:
-    """Tree of the gram counts (key, n). Only the nodes, of which SHARE bounds the number, come to the driver."""
-    least = (counted.agg(F.sum("n")).first()[0] or 0) / SHARE
-    rows = counted.select(F.shiftright("key", 8).alias("k"), F.col("key").bitwiseAND(255).cast("int").alias("byte"), F.lit(DEPTH).alias("leaf"), "n")
-    for d in range(2, DEPTH + 1):
-        context = F.col("k").bitwiseAND(mask(d))
-        sums = rows.filter(F.col("leaf") >= d).groupBy(context.alias("c")).agg(F.sum("n").alias("m"))
-        kept = F.broadcast(written(sums.filter(F.col("m") >= least).select("c", F.lit(True).alias("kept")), "kept"))
-        gone = (F.col("leaf") >= d) & F.col("kept").isNull()
-        rows = rows.withColumn("c", context).join(kept, "c", "left")
-        rows = rows.withColumns({"k": F.when(gone, F.col("k").bitwiseAND(mask(d - 1)).bitwiseOR(OTHER << (9 * (d - 1)))).otherwise(F.col("k")), "leaf": F.when(gone, d).otherwise(F.col("leaf"))}).select("k", "byte", "leaf", "n")
-        rows = written(rows.groupBy("k", "byte", "leaf").agg(F.sum("n").alias("n")), "grams")
-    found = rows.toArrow()
-    return ContextTree(*[found[x].to_numpy().astype(np.int64) for x in ("k", "leaf", "byte")], found["n"].to_numpy().astype(np.float64))
-
-
-_SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()), ("rest", pa.list_(pa.struct([("key", pa.int64()), ("tf", pa.int64())])))])
-_SCORED_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, rest array<struct<key: long, tf: long>>"
-
-
-def _score(model, frequent, shift: float):
+    """Tree in memory of the gram counts (key, n)."""
+    found = counted.toArrow()
+    return ContextTree(found["key"].to_numpy().astype(np.int64), found["n"].to_numpy().astype(np.float64))
+
+
+_WEIGHED = pa.schema([("key", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("weighted", pa.float64()), ("seen", pa.int64()), ("bits", pa.binary())])
+_WEIGHED_DDL = "key long, zeros double, ones double, weighted double, seen long, bits binary"
+
+
+def _weigh(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (code, learnt, n) in the order of contexts of TOP bytes: the nodes of depth TOP, and for each code its eight bit probabilities so far."""
+
+    def cut(code: np.ndarray, learnt: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        codes, at = np.unique(code, return_inverse=True)
+        seen = np.bincount(at, weights=n, minlength=len(codes)).astype(np.int64)
+        nodes, zeros, ones, each = leaves(codes, np.bincount(at, weights=n * learnt, minlength=len(codes)))
+        p, weighted = ((ones + 0.5) / (zeros + ones + 1))[each], log_kt(zeros, ones)
+        for d in range(DEPTH - 1, TOP - 1, -1):
+            level = Level(d, nodes, zeros, ones, weighted)
+            each = level.parent[each]
+            p = level.mix(p, each)
+            nodes, zeros, ones, weighted = level.nodes, level.zeros, level.ones, level.weighted
+        bits = np.ascontiguousarray(p.T)
+        for k in range(0, len(nodes), 50_000):
+            x = slice(k, k + 50_000)
+            m = len(nodes[x])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (nodes[x], zeros[x], ones[x], weighted[x])), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())], schema=_WEIGHED)
+        for k in range(0, len(codes), 50_000):
+            x = slice(k, k + 50_000)
+            m = len(codes[x])
+            none = pa.nulls(m, pa.float64())
+            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(64), m, [None, pa.py_buffer(bits[x].tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(codes[x]), none, none, none, pa.array(seen[x]), packed], schema=_WEIGHED)
+
+    parts: list[tuple] = []
+    held = 0
+    for b in it:
+        parts.append(tuple(c.to_numpy(zero_copy_only=False) for c in b.columns))
+        held += len(b)
+        if held >= CHUNK:
+            code, learnt, n = (np.concatenate(c) for c in zip(*parts))
+            context = (code >> 8) & mask(TOP)
+            end = int(np.flatnonzero(context != context[-1])[-1]) + 1 if context[0] != context[-1] else 0
+            if end:
+                yield from cut(code[:end], learnt[:end], n[:end])
+            parts, held = [(code[end:], learnt[end:], n[end:])], 0
+    if parts:
+        yield from cut(*(np.concatenate(c) for c in zip(*parts)))
+
+
+def _finish(top):
+    """Log probability of each code, its bits mixed with the levels above TOP."""
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, (keys, logs) = model.value, frequent.value
+        for b in it:
+            if not len(b):
+                continue
+            code = b.column(0).to_numpy()
+            p = np.frombuffer(b"".join(b.column(2).to_pylist()), np.float64).reshape(-1, 8)
+            out = np.zeros(len(code))
+            for j in range(8):
+                own, place = p[:, j], (1 << j) | ((code & 255) >> (8 - j))
+                for d, nodes, mixed, share in top.value:
+                    at = np.searchsorted(nodes, (((code >> 8) & mask(d)) << 8) | place)
+                    own = own + (mixed[at] - own) * share[at]
+                out += np.log10(np.where((code >> (7 - j)) & 1, own, 1 - own))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out)], ["key", "seen", "value"])
+
+    return run
+
+
+def probabilities(counted: DataFrame) -> DataFrame:
+    """Written table (key, seen, value) of the log10 probability of every (context, byte) of ``counted`` (kind, key, n).
+
+    Kind 1 counts, kind 2 only asks. All contexts are nodes. A task has whole contexts of TOP bytes; the driver
+    gets the nodes of one byte less, of which there are no more than 65,536 contexts at any size of corpus.
+    """
+    spark = counted.sparkSession
+    context = F.shiftright("key", 8).bitwiseAND(mask(TOP))
+    dealt = counted.filter("kind > 0").select("key", (F.col("kind") == 1).alias("learnt"), "n").repartition(partitions(spark), context).sortWithinPartitions(context)
+    tree = written(dealt.mapInArrow(_weigh, _WEIGHED_DDL), "tree")
+    above = F.shiftleft(F.shiftright("key", 8).bitwiseAND(mask(TOP - 1)), 8).bitwiseOR(F.col("key").bitwiseAND(255))
+    sums = tree.filter("bits is null").groupBy(above.alias("key")).agg(*[F.sum(x).alias(x) for x in ("zeros", "ones", "weighted")]).toArrow()
+    rows, top = [sums[x].to_numpy() for x in ("key", "zeros", "ones", "weighted")], []
+    for d in range(TOP - 1, -1, -1):
+        level = Level(d, *rows)
+        rows = [level.nodes, level.zeros, level.ones, level.weighted]
+        top.append((d, level.nodes, level.p, level.share))
+    shared = spark.sparkContext.broadcast(top)
+    return written(tree.filter("bits is not null").select("key", "seen", "bits").mapInArrow(_finish(shared), "key long, seen long, value double"), "logs")
+
+
+_SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()), ("rest", pa.list_(pa.struct([("key", pa.int64()), ("tf", pa.int64())]))), ("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+_SCORED_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, rest array<struct<key: long, tf: long>>, keys array<long>, times array<long>"
+
+
+def _score(likely, frequent):
+    """Scores from the broadcast pairs and words; the others of each text go on: words as ``rest``, pairs as ``keys`` and ``times``."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (codes, values), (keys, logs) = likely.value, frequent.value
         cache: dict[bytes, tuple[int, float]] = {}
 
         def look(w: bytes) -> tuple[int, float]:
@@ -259,14 +350,25 @@ def _score(model, frequent, shift: float):
             at = int(np.searchsorted(keys, h))
             return (h, float(logs[at])) if at < len(keys) and keys[at] == h else (h, math.nan)
 
+        def pairs(texts: list[bytes]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+            sizes = np.array([len(t) + 1 for t in texts])
+            own, inverse = np.unique(grams(texts), return_inverse=True)
+            at = np.minimum(np.searchsorted(codes, own), max(len(codes) - 1, 0))
+            hit = codes[at] == own if len(codes) else np.zeros(len(own), dtype=bool)
+            scores = np.add.reduceat(np.where(hit, values[at], 0.0)[inverse] if len(codes) else np.zeros(len(inverse)), np.cumsum(sizes) - sizes)
+            missed = np.flatnonzero(~hit[inverse])
+            each, n = np.unique(np.repeat(np.arange(len(texts)), sizes)[missed] * len(own) + inverse[missed], return_counts=True)
+            first = np.searchsorted(each, np.arange(len(texts) + 1) * len(own))
+            for k, s in enumerate(scores.tolist()):
+                part = slice(first[k], first[k + 1])
+                yield s, own[each[part] % len(own)], n[part]
+
         def out() -> Iterator[tuple]:
             for b in it:
                 rows = list(rows_of(b))
                 for k in range(0, len(rows), 256):
                     part = rows[k : k + 256]
-                    each, sizes = place_logs(machine, [r[2] for r in part])
-                    scores = np.add.reduceat(each, np.cumsum(sizes) - sizes)
-                    for (i, held, t), s in zip(part, scores.tolist()):
+                    for (i, held, t), (s, missed, times) in zip(part, pairs([r[2] for r in part])):
                         words, base, known, rest = t.split(), 0.0, 0, {}
                         for w in words:
                             if (x := cache.get(w)) is None:
@@ -278,29 +380,35 @@ def _score(model, frequent, shift: float):
                                 known += 1
                             else:
                                 rest[x[0]] = rest.get(x[0], 0) + 1
-                        yield i, held, len(words) + 1, known, base, s, len(t), [{"key": h, "tf": n} for h, n in rest.items()]
+                        yield i, held, len(words) + 1, known, base, s, len(t), [{"key": h, "tf": n} for h, n in rest.items()], missed, times
 
-        yield from batches(out(), _SCORED)
+        yield from batches(out(), _SCORED, 500)
 
     return run
 
 
+def _bytes(text_col: str) -> F.Column:
+    return lower_az(F.col(text_col)).cast("binary").alias("t")
+
+
 def score(docs: DataFrame, training: DataFrame, held_out: F.Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     The model is a context tree over bytes, learnt from all whole texts of ``training``; ``score`` is the
     log10 probability of the lower-cased text and its end, each byte decomposed into eight binary
-    decisions that mix the KT estimates of all depths. Counts grow with the corpus; SHARE
-    bounds the model. Frequent words come as a broadcast of at most BROADCAST_WORDS, all others by a join, so no
-    join key is hot.
+    decisions that mix the KT estimates of all depths. Every context that occurs is a node; the probabilities
+    of all pairs of a context and a byte that the texts hold are a written table. Frequent pairs come as a broadcast
+    of at most SHARE, frequent words as one of at most BROADCAST_WORDS, all others by a join, so no join key is hot.
+    ``held_out`` is true for the rows of ``docs`` that ``training`` lacks; without it all are taken to be lacking.
 
     Null and empty texts are one end token. Null identifiers and repeated rows pass through, each row is
     scored alone. Without training rows each byte has probability 2 ** -8. An empty table gives no rows.
     """
     spark = docs.sparkSession
     prepare(spark)
-    counts = count(training, text_col)
-    tree = context_tree(counts.filter("kind = 1").select("key", "n"))
+    asked = docs if held_out is None else docs.filter(held_out)
+    counts = count(training.select(_bytes(text_col), F.lit(True).alias("learnt")).union(asked.select(_bytes(text_col), F.lit(False))))
+    logs_of = probabilities(counts)
     words = counts.filter("kind = 0").select("key", "n")
     texts = training.count()
     seen, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -318,21 +426,30 @@ def score(docs: DataFrame, training: DataFrame, held_out: F.Column | None = None
     top = words.filter(F.col("n") >= least).toArrow()
     keys, logs = top["key"].to_numpy(), np.log10(top["n"].to_numpy() + 1.0)
     order = np.argsort(keys)
+    bar = (logs_of.agg(F.sum("seen")).first()[0] or 0) / SHARE
+    pairs = logs_of.filter(F.col("seen") >= bar).select("key", F.col("value").cast("float")).toArrow()
     sc = spark.sparkContext
-    model, frequent = sc.broadcast(tree.machine()), sc.broadcast((keys[order], logs[order]))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.lit(None).cast("boolean") if held_out is None else held_out).alias("held_out"), lower_az(F.col(text_col)).cast("binary").alias("t"))
-    scored = rows.mapInArrow(_score(model, frequent, shift), _SCORED_DDL).withColumn("row", F.monotonically_increasing_id())
+    by_code = np.argsort(pairs["key"].to_numpy())
+    likely = sc.broadcast((pairs["key"].to_numpy()[by_code], pairs["value"].to_numpy()[by_code]))
+    frequent = sc.broadcast((keys[order], logs[order]))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.lit(None).cast("boolean") if held_out is None else held_out).alias("held_out"), _bytes(text_col))
+    scored = rows.mapInArrow(_score(likely, frequent), _SCORED_DDL).withColumn("row", F.monotonically_increasing_id())
     scored = written(scored, "scores")
-    rest = scored.select("row", F.inline("rest")).join(words.filter(F.col("n") < least), "key")
-    rest = rest.groupBy("row").agg(F.sum(F.col("tf") * F.log10(F.col("n") + 1)).alias("rest_base"), F.sum("tf").alias("rest_known"))
+    other = scored.select("row", F.explode(F.arrays_zip("keys", "times")).alias("x")).select("row", F.lit(1).alias("kind"), F.col("x.keys").alias("key"), F.col("x.times").alias("tf"))
+    rest = scored.select("row", F.inline("rest")).select("row", F.lit(0).alias("kind"), "key", "tf").union(other)
+    values = words.filter(F.col("n") < least).select(F.lit(0).alias("kind"), "key", F.log10(F.col("n") + 1).alias("value"))
+    values = values.union(logs_of.filter(F.col("seen") < bar).select(F.lit(1), "key", "value"))
+    of_kind = lambda k, x: F.sum(F.when(F.col("kind") == k, x))
+    rest = rest.join(values, ["kind", "key"]).groupBy("row").agg(of_kind(0, F.col("tf") * F.col("value")).alias("rest_base"), of_kind(0, F.col("tf")).alias("rest_known"), of_kind(1, F.col("tf") * F.col("value")).alias("rest_score"))
     end = F.lit(math.log10(texts + 1))
-    return scored.drop("rest").join(rest, "row", "left").select(
+    whole = F.col("score") + F.coalesce("rest_score", F.lit(0.0))
+    return scored.drop("rest", "keys", "times").join(rest, "row", "left").select(
         F.col("doc_id").alias(id_col), "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("rest_known", F.lit(0)) + int(texts > 0)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest_base", F.lit(0.0)) + end - F.col("n_tokens") * shift).alias("base_score"),
-        "score",
-        (-F.col("score") * math.log2(10) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
+        whole.alias("score"),
+        (-whole * math.log2(10) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
     )
 
 

@@ -320,6 +320,24 @@ def test_ctw_base_score(spark, sf_dir, monkeypatch):
     assert 0 < sum(held_bits) / len(held_bits) < 5
 
 
+def test_ctw_rare_contexts(spark, monkeypatch):
+    """Contexts that make less than one in 65,536 bytes are nodes: scores equal those of the tree of all contexts."""
+    r = random.Random(7)
+    common = "the same words again and again " * 40
+    rows = [(n, common + ("qzxj kvwq" if n in (3, 70) else "")) for n in range(120)] + [(200 + n, "".join(r.choice("abcdef ") for _ in range(300))) for n in range(20)] + [(1000, "xx qzxj kvwq"), (1001, "never \u00e9 seen")]
+    learnt = docs(spark, [x for x in rows if x[0] < 1000])
+    machine = ctw_machine(spark, [low(t).encode() for i, t in rows if i < 1000])
+    want = ctw.place_logs(machine, [low(t).encode() for _, t in rows])
+    want = np.add.reduceat(want[0], np.cumsum(want[1]) - want[1])
+    from pyspark.sql import functions as F
+
+    for share, held in ((1 << 22, None), (100, F.col("doc_id") >= 1000)):
+        monkeypatch.setattr(ctw, "SHARE", share)
+        monkeypatch.setattr(ctw, "CHUNK", 500)
+        got = {x.doc_id: x.score for x in ctw.score(docs(spark, rows), learnt, held).collect()}
+        assert np.allclose([got[i] for i, _ in rows], want, rtol=2e-3)
+
+
 def test_ctw_awkward(spark, awkward, empty):
     rows = ctw.score(awkward, awkward).collect()
     assert len(rows) == len(AWKWARD) and all(r.score < 0 for r in rows)
