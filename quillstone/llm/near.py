@@ -126,7 +126,7 @@ _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _compare_node(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning edges of similar signatures in each node."""
+    """Spanning edges of similar signatures in each block of a node. Role 1: of all pairs; 2 and 3, in this order: of a 2 and a 3."""
 
     def out() -> Iterator[tuple]:
         for _, group in by_key((r for b in it for r in rows_of(b)), 2):
@@ -135,8 +135,10 @@ def _compare_node(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = [g[0] for g in group]
             sig = np.frombuffer(b"".join(g[1] for g in group), np.uint8).reshape(-1, HASHES)
             root = list(range(len(ids)))
-            for i in range(len(ids) - 1):
-                for j in (i + 1 + np.flatnonzero((sig[i + 1 :] == sig[i]).sum(axis=1) >= SIMILAR * HASHES)).tolist():
+            outside = sum(g[2] == 2 for g in group)
+            for i in range(len(ids) - 1 if group[0][2] == 1 else outside):
+                first = max(i + 1, outside)
+                for j in (first + np.flatnonzero((sig[first:] == sig[i]).sum(axis=1) >= SIMILAR * HASHES)).tolist():
                     a, b = i, j
                     while root[a] != a:
                         a = root[a]
@@ -178,7 +180,9 @@ def candidate_edges(reps: DataFrame, n_trees: int) -> DataFrame:
 
     Node sizes are counted with map-side combination. Documents alone in their node are done there. A
     node that is large on the last level is cut into blocks by a hash that differs with the tree; its
-    smallest and largest documents are in each block, so that blocks stay tied together.
+    smallest and largest documents are in each block, so that near copies are tied together. Then the
+    documents of such a node outside its largest component are compared with all of the node, block by block,
+    so that no pair that shares a node is left out.
     """
     rows = reps.select("doc_id", F.explode(F.expr(f"transform(sequence(0, {n_trees} - 1), t -> struct(t, slice(paths, t * {LEVELS} + 1, {LEVELS}) as p))")).alias("x"))
     rows = rows.select("doc_id", *[F.col("x.p")[k].alias(f"k{k}") for k in range(LEVELS)])
@@ -200,9 +204,32 @@ def candidate_edges(reps: DataFrame, n_trees: int) -> DataFrame:
     nodes = done[0]
     for d in done[1:]:
         nodes = nodes.unionByName(d)
-    nodes = nodes.join(reps.select("doc_id", "sig"), "doc_id").select("node", "block", "doc_id", "sig")
-    dealt = nodes.repartition(partitions(reps.sparkSession), "node", "block").sortWithinPartitions("node", "block", "doc_id")
-    return dealt.mapInArrow(_compare_node, "a long, b long").distinct()
+    sigs = reps.select("doc_id", "sig")
+    found = written(_similar(nodes.withColumn("role", F.lit(1)), sigs), "candidates")
+    if rows.isEmpty():
+        return found
+    large = rows.select(F.col(f"k{LEVELS - 1}").alias("node"), "doc_id", "size")
+    joined = components(found).withColumnRenamed("id", "doc_id")
+    whole = large.join(joined, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    parts = written(whole.groupBy("node", "component").agg(F.count("*").alias("n")), "parts")
+    largest = parts.groupBy("node").agg(F.max(F.struct("n", "component"))["component"].alias("component"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    whole = whole.join(largest.withColumnRenamed("component", "main"), "node")
+    rest = written(whole.filter("component <> main").select("node", "doc_id", "size", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.ceil((F.col("all") - F.col("most")) / NODE)).alias("part")), "rest")
+    if rest.isEmpty():
+        return found
+    blocks = F.ceil(F.col("size") / NODE)
+    at = lambda part, block: (part * 1_000_003 + block).alias("block")
+    grid = rest.select("node", "part", "doc_id", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("b")).select("node", at(F.col("part"), F.col("b")), "doc_id", F.lit(2).alias("role"))
+    placed = large.select("node", "doc_id", F.pmod(F.xxhash64("doc_id", "node"), blocks).alias("b"))
+    others = placed.join(rest.select("node", "part").distinct(), "node").select("node", at(F.col("part"), F.col("b")), "doc_id", F.lit(3).alias("role"))
+    return found.unionByName(written(_similar(grid.unionByName(others), sigs), "candidates"))
+
+
+def _similar(nodes: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Edges of similar signatures in each block of (node, block, doc_id, role)."""
+    nodes = nodes.join(sigs, "doc_id").select("node", "block", "doc_id", "sig", "role")
+    dealt = nodes.repartition(partitions(sigs.sparkSession), "node", "block").sortWithinPartitions("node", "block", "role", "doc_id")
+    return dealt.mapInArrow(_compare_node, "a long, b long").filter("a <> b").distinct()
 
 
 _SETS = pa.schema([("cc", pa.int64()), ("doc_id", pa.int64()), ("items", pa.binary())])
@@ -306,7 +333,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     some = sigs.filter("n_shingles > 0 and doc_id is not null")
     heads = written(some.groupBy("set_hash").agg(F.min("doc_id").alias("head")), "heads")
     reps = some.join(heads.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "sig", "paths").dropDuplicates(["doc_id"])
-    pairs = written(candidate_edges(reps, n), "candidates")
+    pairs = candidate_edges(reps, n)
     groups = components(pairs)
     groups = groups.union(groups.select(F.col("component").alias("id"), "component")).distinct().withColumnRenamed("component", "cc")
     linked = exact_edges(rows, groups, k, percent)

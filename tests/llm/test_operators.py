@@ -156,6 +156,18 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert got == brute(rows, 2)
 
 
+def test_pairs_in_different_blocks_of_a_node(spark, monkeypatch):
+    """Documents of common passages: the mates of a large node are no near duplicates, so no chain joins its blocks."""
+    monkeypatch.setattr(near, "NODE", 4)
+    r = random.Random(4)
+    sets = [r.sample(range(30), 10) for _ in range(900)]
+    sets += [[*s[:9], next(w for w in range(30) if w not in s)] for s in sets[:150]]
+    rows = [(n, " ".join(f"w{w}" for w in s)) for n, s in enumerate(sets)]
+    r.shuffle(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(docs(spark, rows), k=1).collect()}
+    assert got == brute(rows, 1)
+
+
 def test_near_awkward(spark, awkward, empty):
     rows = near.near_duplicates(awkward, k=2).collect()
     assert len(rows) == len(AWKWARD)
