@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-#: A candidate: a run of at least 16 such characters with a digit in it.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=.\-])(?=[A-Za-z+/_=.\-]*+[0-9])[A-Za-z0-9+/_=.\-]{16,}+"
+#: A candidate: a run of at least 16 such characters with a digit in it, and its padding. A name and '=' before it are context.
+CANDIDATE = r"(?<![A-Za-z0-9+/_.\-])(?=[A-Za-z+/_.\-]*+[0-9])[A-Za-z0-9+/_.\-]{16,}+=*+"
+#: Keys that show by their beginning what they are.
+PREFIXES = "^(AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36})$"
 MARK = "\u0001"
 REDACTED = "[SECRET]"
 #: Characters of context before and after a candidate.
@@ -22,7 +24,7 @@ SECRET_WORDS = "token|secret|passw|pwd|api[_-]?key|apikey|auth|credential|bearer
 HARMLESS_WORDS = "commit|sha1|sha256|md5|digest|checksum|hash|uuid|guid|etag|revision|version|build|isbn|doi|page|file|url|href|http|example|order|invoice|phone"
 DICTIONARY = "example|version|section|figure|chapter|release|config|service|default|server|client|update|install|package|module|number|table|image|value|month|year|date|name|user|mail|file|page|data|test|com|org|net|www|http|tion|ment|ing|the|and|for"
 TEST_PATH = "test|fixture|example|sample|doc|mock"
-FEATURES = ["length", "digits", "uppers", "runs", "hex", "coverage", "dots", "test_path", "secret_near", "harmless_near", "assigned", "quoted"]
+FEATURES = ["length", "digits", "uppers", "runs", "hex", "coverage", "dots", "test_path", "secret_near", "harmless_near", "assigned", "quoted", "prefixed"]
 
 
 def features(word: Column, before: Column, after: Column, path: Column) -> Column:
@@ -34,16 +36,16 @@ def features(word: Column, before: Column, after: Column, path: Column) -> Colum
     near = F.lower(before)
     flag = lambda c: c.cast("double")
     values = [n, share("[^0-9]"), share("[^A-Z]"), runs, flag(word.rlike("^([0-9a-f]+|[0-9A-F]+)$")), 1 - F.length(F.regexp_replace(F.lower(word), f"({DICTIONARY})", "")) / n, share("[^.=/_-]"),
-              flag(F.lower(path).rlike(TEST_PATH)), flag(near.rlike(SECRET_WORDS)), flag(near.rlike(HARMLESS_WORDS)), flag(before.rlike("[=:]\\s*[\"'`]?$")), flag(before.rlike("[\"'`]$") & after.rlike("^[\"'`]"))]
+              flag(F.lower(path).rlike(TEST_PATH)), flag(near.rlike(SECRET_WORDS)), flag(near.rlike(HARMLESS_WORDS)), flag(before.rlike("[=:]\\s*[\"'`]?$")), flag(before.rlike("[\"'`]$") & after.rlike("^[\"'`]")), flag(word.rlike(PREFIXES))]
     return F.struct(*[v.alias(name) for v, name in zip(values, FEATURES)])
 
 
 def example_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     """Labelled findings (word, before, after, path, label) made by a fixed rule from row numbers.
 
-    Secrets: hexadecimal and mixed-case keys, prefixed tokens and long passwords, mostly near words such
-    as ``token =``. Harmless: checksums, UUIDs, versions, host names, file names, dates and numbered
-    words, some of them assigned and quoted too.
+    Secrets: hexadecimal and mixed-case keys near words such as ``token =``, prefixed tokens also without
+    such a word. Harmless: checksums, UUIDs, versions, host names, file names, dates and numbered
+    words, some of them assigned and quoted too, names and dates also near words such as ``token =``.
     """
     h = F.sha2(F.concat(F.lit("finding"), F.col("id").cast("string")).cast("binary"), 512)
     mixed = F.translate(F.base64(F.unhex(h)), "=+", "xQ")
@@ -56,7 +58,10 @@ def example_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     around = pick("a", "commit ", "sha256: ", 'checksum = "', "see file ", "order ", "the text of ", 'version = "', "url: ")
     rows = spark.range(n).repartition(1).withColumn("label", (F.pmod("id", F.lit(2)) == 0).cast("double"))
     quoted = F.regexp_extract("before", "[\"']$", 0)
-    rows = rows.select("id", "label", F.when(F.col("label") == 1, secret).otherwise(harmless).alias("word"), F.when(F.col("label") == 1, F.concat(pick("w", "here the ", "and ", "with\n"), lead)).otherwise(F.concat(pick("w", "here the ", "and ", "in\n"), around)).alias("before"), pick("p", "src0", "src7", "docs/readme", "tests/fixture").alias("path"))
+    rows = rows.select("id", "label", F.when(F.col("label") == 1, secret).otherwise(harmless).alias("word"))
+    odd = F.when((F.col("label") == 1) & F.col("word").rlike(PREFIXES), pick("o", "the key ", "see ", "with id=", "(")).when((F.col("label") == 0) & F.col("word").rlike("^(mail|chapter|2024|version|http)"), pick("o", 'token = "', "secret=", "password: ", "API_KEY="))
+    rows = rows.select("id", "label", "word", F.when(F.col("label") == 1, F.concat(pick("w", "here the ", "and ", "with\n"), lead)).otherwise(F.concat(pick("w", "here the ", "and ", "in\n"), around)).alias("usual"), odd.alias("odd"), pick("p", "src0", "src7", "docs/readme", "tests/fixture").alias("path"))
+    rows = rows.withColumn("before", F.when(F.col("odd").isNotNull() & (F.pmod(F.xxhash64("id", F.lit("odd")), F.lit(2)) == 0), F.concat(F.lit("and "), "odd")).otherwise(F.col("usual")))
     return rows.select("word", "before", F.concat(quoted, F.lit(" and more words")).alias("after"), "path", "label")
 
 
