@@ -238,13 +238,49 @@ def test_bpe_chunks(spark, awkward, empty, monkeypatch):
 
 def test_line_frequency(spark, empty, awkward):
     common = "This very line stands in all of them"
-    rows = [(2 * n, common + "\n" + " ".join(f"w{n}x{k}" for k in range(3 if n < 5 else 90)) + "\nsome more words for number %d here and there so that it has twenty words" % n * (n >= 5) + " q w e r t y u i o p a s d" * (n < 5)) for n in range(40)]
-    got = {r.doc_id: r for r in lines.line_quality(docs(spark, rows), line_limit=10, keep_percent=70).collect()}
+    body = [" ".join(f"w{n}x{k}" for k in range(3 if n < 5 else 90)) + "\nsome more words for number %d here and there so that it has twenty words" % n * (n >= 5) + " q w e r t y u i o p a s d" * (n < 5) for n in range(40)]
+    rows = [(2 * n, common + "\n" + t) for n, t in enumerate(body)]
+    got = {r.doc_id: r for r in lines.line_quality(docs(spark, rows)).collect()}
     assert all(not got[2 * n].base_failed for n in range(40))
     assert [got[2 * n].kept for n in (0, 4, 5, 39)] == [False, False, True, True]
-    copies = docs(spark, [(2 * n, "a b c d e f g h i j k l m n o p q r s t u v w") for n in range(60)])
-    assert all(r.kept for r in lines.line_quality(copies, line_limit=10).collect())
+    clean = lines.without_frequent_lines(docs(spark, rows))
+    assert clean.columns == docs(spark, rows).columns and {r.doc_id: r.text for r in clean.collect()} == {2 * n: t for n, t in enumerate(body)}
+    text = "a b c d e f g h i j k l m n o p q r s t u v w"
+    copies = [(2 * n, text) for n in range(60)]
+    assert not any(r.kept for r in lines.line_quality(docs(spark, copies)).collect())  # copies are documents too
+    same = [(2, text)] * 60 + [(2 * n, f"{text} {n}") for n in range(2, 9)]
+    assert all(r.kept for r in lines.line_quality(docs(spark, same)).collect())  # rows of one identifier are one document
     assert lines.line_quality(empty).count() == 0 and lines.line_quality(awkward).count() == len(AWKWARD)
+    assert sorted(map(str, lines.without_frequent_lines(awkward).collect())) == sorted(map(str, awkward.collect())) and lines.without_frequent_lines(empty).count() == 0
+
+
+def test_line_frequency_by_host(spark):
+    """The null host, the empty one and others count apart; hosts over the floor remove, those under it do not."""
+    text = "a b c d e f g h i j k l m n o p q r s t u v w"
+    rows = [(k, text, host) for k, host in enumerate([None] * 6 + [""] * 5 + ["x"] * 6)]
+    got = lines.line_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id for r in got if not r.kept} == {0, 1, 2, 3, 4, 5, *range(11, 17)}
+
+
+def test_line_frequency_fires(spark):
+    """On the driver's documents the rule itself, not only the base rules, rejects rows; brute force agrees."""
+    source = [(r.doc_id, r.source, r.text or "") for r in table(spark, "/root/testdata/sf0.01", "documents").collect()]
+    hosts, found = {}, {}
+    for i, h, t in source:
+        hosts.setdefault(h, set()).add(i)
+        for x in t.split("\n"):
+            if w := WORD.findall(low(x)):
+                found.setdefault((h, tuple(w)), set()).add(i)
+    often = {k for k, own in found.items() if len(own) > lines.LINE_FLOOR and 100 * len(own) > lines.LINE_PERCENT * len(hosts[k[0]])}
+    depleted = set()
+    for i, h, t in source:
+        left = sum(len(w) for x in t.split("\n") if (h, tuple(w := WORD.findall(low(x)))) not in often)
+        if 100 * left < lines.KEEP_PERCENT * len(WORD.findall(t)):
+            depleted.add(i)
+    got = lines.op6_line_frequency(spark, "/root/testdata/sf0.01").filter("not kept and not base_failed").collect()
+    assert got and {r.doc_id for r in got} == {r.doc_id for r in got} & depleted
+    failed = {r.doc_id for r in lines.op6_line_frequency(spark, "/root/testdata/sf0.01").filter("base_failed").collect()}
+    assert {r.doc_id for r in got} == depleted - failed
 
 
 def test_repeated_words():
