@@ -53,6 +53,23 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inne
     return big.join(small, on, how)
 
 
+#: Rows of one key that may meet in a task of a join with a table of counted keys.
+HOT_ROWS = 1000
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join with a written table of one row per key, whose ``size`` is the key's number of rows.
+
+    Keys over HOT_ROWS come as a broadcast, so that their rows stay where they are; the others are shuffled. There is
+    at most one hot key in HOT_ROWS rows; should even these exceed the bound of a broadcast, all are shuffled.
+    """
+    hot = counted.filter(F.col("size") > HOT_ROWS)
+    if not 0 < hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(counted, on, how)
+    apart = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(counted.filter(F.col("size") <= HOT_ROWS), on, how)
+    return rows.join(F.broadcast(hot), on).unionByName(apart)
+
+
 def lower_az(text: Column) -> Column:
     """Lower-case A-Z only; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -168,6 +168,63 @@ def test_pairs_in_different_blocks_of_a_node(spark, monkeypatch):
     assert got == brute(rows, 1)
 
 
+def common_passages(n, near_copies, seed=4):
+    r = random.Random(seed)
+    sets = [r.sample(range(40), 10) for _ in range(n)]
+    sets += [[*s[:9], next(w for w in range(40) if w not in s)] for s in sets[:near_copies]]
+    return [(k, " ".join(f"w{w}" for w in s)) for k, s in enumerate(sets)]
+
+
+def components_of(rows):
+    """Components by all pairs, in one matrix product."""
+    x = np.zeros((len(rows), 40), np.int32)
+    for k, (_, t) in enumerate(rows):
+        x[k, [int(w[1:]) for w in t.split()]] = 1
+    both, size = x @ x.T, x.sum(axis=1)
+    root = list(range(len(rows)))
+
+    def find(a):
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        return a
+
+    links = [(a, b) for a, b in np.argwhere(100 * both >= 80 * (size[:, None] + size[None] - both)).tolist() if a < b]
+    for a, b in links:
+        p, q = find(a), find(b)
+        root[max(p, q)] = min(p, q)
+    return [find(a) for a in range(len(rows))], links
+
+
+def test_recall_in_crowded_nodes(spark, monkeypatch):
+    """5,000 documents of 40 common passages; with small bounds they branch on at all depths, and in the end in cells."""
+    rows = common_passages(4500, 500)
+    want, links = components_of(rows)
+    for name, value in (("NODE", 32), ("OUTSIDE", 64), ("WIDE", 1), ("DEPTHS", (2, 3))):
+        monkeypatch.setattr(near, name, value)
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(docs(spark, rows), k=1).collect()}
+    held = sum(got[a] == got[b] for a, b in links)
+    assert held >= 0.999 * len(links) > 500
+    assert sum(got[k] == want[k] for k in got) >= 0.998 * len(got) and all(want[got[k]] == want[k] for k in got)
+
+
+def test_unlinked_family_grows_in_proportion(spark, monkeypatch):
+    """Pages of one template, alike over the filter and under the threshold: rows compared in full per document stay level."""
+    monkeypatch.setattr(near, "BLOCK", 64)
+    blocks, compared = near._blocks, []
+    monkeypatch.setattr(near, "_blocks", lambda sets, percent: compared.append(sets.count()) or blocks(sets, percent))
+    each = []
+    for n in (300, 1200):
+        r = random.Random(9)
+        page = lambda: " ".join([f"c{k}" for k in range(100)] + [f"u{r.randrange(10**9)}" for _ in range(30)])
+        rows = [(k, page()) for k in range(n)]
+        compared.clear()
+        got = near.near_duplicates(docs(spark, rows), k=1).collect()
+        assert len({x.component_id for x in got}) == n
+        each.append(sum(compared) / n)
+    assert each[1] <= each[0] * 1.15
+
+
 def test_near_awkward(spark, awkward, empty):
     rows = near.near_duplicates(awkward, k=2).collect()
     assert len(rows) == len(AWKWARD)

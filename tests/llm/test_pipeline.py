@@ -42,5 +42,13 @@ def test_stages_on_awkward_rows(spark, sf_dir):
         assert bool(found.count()) == bool(rows)
 
 
+def test_near_dedup_drops_rows_not_identifiers(spark, sf_dir):
+    """A repeated identifier with a copy and a unique text, and copies without one."""
+    copy, unique = " ".join(f"w{k}" for k in range(60)), " ".join(f"u{k}" for k in range(60))
+    rows = [(3, copy), (7, copy + " more"), (7, unique), (None, copy + " end"), (None, "n " + unique + " n"), (None, None), (None, None), (8, ""), (8, "")]
+    kept = sorted(((r.doc_id, r.text) for r in dict(cp.STAGES)["near_dedup"](spark, docs(spark, rows), sf_dir).collect()), key=str)
+    assert kept == sorted([(3, copy), (7, unique), (None, None), (None, None), (8, ""), (8, "")], key=str)
+
+
 def test_run(spark, sf_dir):
     assert cp.run(spark, sf_dir).count() > 0
