@@ -29,9 +29,16 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, on five-word shingles at a similarity of 0.8."""
-    gone = written(near.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct(), "gone")
-    return join_small(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates, that with the smallest id, on five-word shingles at a similarity of 0.8.
+
+    Rows are numbered and dropped by number, so that rows which share an identifier, or have none, are judged apart.
+    """
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = near.near_duplicates(rows, id_col="__row").join(rows.select("__row", "doc_id"), "__row")
+    found = written(found.select("__row", F.when(F.col("n_shingles") == 0, F.col("__row")).otherwise(F.col("component_id")).alias("group"), "doc_id"), "near")
+    stays = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"].alias("__row"))
+    gone = written(found.select("__row").join(stays.select("__row"), "__row", "left_anti"), "gone")
+    return join_small(rows, gone, ["__row"], "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
