@@ -12,8 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, crc_mod, lower_az, partitions, prepare, rows_of, table, written
-from .lines import signed
+from .common import batches, crc_mod, partitions, prepare, rows_of, table, utf8, written
 
 #: Bytes of context.
 DEPTH = 5
@@ -83,7 +82,7 @@ def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in it:
         both: dict[int, list[bytes]] = {1: [], 2: []}
         for t, learnt in rows_of(b):
-            both[1 if learnt else 2].append(t)
+            both[1 if learnt else 2].append(t.lower())  # of bytes: A-Z only
         for t in both[1]:
             words.update(t.split())
             if len(words) > FLUSH_WORDS:
@@ -334,61 +333,118 @@ def probabilities(counted: DataFrame) -> DataFrame:
     return written(tree.filter("bits is not null").select("key", "seen", "bits").mapInArrow(_finish(shared), "key long, seen long, value double"), "logs")
 
 
-_SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()), ("rest", pa.list_(pa.struct([("key", pa.int64()), ("tf", pa.int64())]))), ("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
-_SCORED_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, rest array<struct<key: long, tf: long>>, keys array<long>, times array<long>"
+_SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()), *[(f"rest_{x}", pa.list_(pa.int64())) for x in ("words", "word_times", "pairs", "pair_times")]])
+_SCORED_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, rest_words array<long>, rest_word_times array<long>, rest_pairs array<long>, rest_pair_times array<long>"
 
 
-def _score(likely, frequent):
-    """Scores from the broadcast pairs and words; the others of each text go on: words as ``rest``, pairs as ``keys`` and ``times``."""
+def _lists(arrays: tuple[np.ndarray, ...]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate(arrays).astype(np.int64))
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (codes, values), (keys, logs) = likely.value, frequent.value
-        cache: dict[bytes, tuple[int, float]] = {}
 
-        def look(w: bytes) -> tuple[int, float]:
-            h = signed(xxhash.xxh3_64_intdigest(w))
-            at = int(np.searchsorted(keys, h))
-            return (h, float(logs[at])) if at < len(keys) and keys[at] == h else (h, math.nan)
+#: Bits of a gram's code, and an odd factor that mixes it one to one.
+CODE_BITS = 8 + 9 * DEPTH
+_MIX = 0x9E3779B97F4A7C15 & ((1 << CODE_BITS) - 1) | 1
+
+
+class Lookup:
+    """Values of codes, in buckets by the high bits of the mixed code; the low bits tell a bucket's few codes apart, so a hit is exact."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray) -> None:
+        self.bits = max(int(len(codes)).bit_length(), CODE_BITS - 32)
+        mixed = self._mix(codes)
+        order = np.argsort(mixed)
+        bucket = (mixed >> np.int64(CODE_BITS - self.bits))[order]
+        self.start = np.searchsorted(bucket, np.arange((1 << self.bits) + 1)).astype(np.uint32)
+        self.low = self._low(mixed[order])
+        self.values = values[order].astype(np.float32)
+
+    def _mix(self, codes: np.ndarray) -> np.ndarray:
+        return (codes.view(np.uint64) * np.uint64(_MIX) & np.uint64((1 << CODE_BITS) - 1)).view(np.int64)
+
+    def _low(self, mixed: np.ndarray) -> np.ndarray:
+        return (mixed & np.int64((1 << (CODE_BITS - self.bits)) - 1)).astype(np.uint32)
+
+    def __call__(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(value of each code, 0 for what has none; the positions of those)."""
+        if not len(self.low):
+            return np.zeros(len(codes), np.float32), np.arange(len(codes))
+        mixed = self._mix(codes)
+        bucket, low = mixed >> np.int64(CODE_BITS - self.bits), self._low(mixed)
+        at, end = self.start[bucket], self.start[bucket + 1]
+        last = np.uint32(len(self.low) - 1)
+        left = np.flatnonzero((at == end) | (self.low[np.minimum(at, last)] != low))
+        out = self.values[np.minimum(at, last)]
+        out[left] = 0
+        left, missed = left[at[left] < end[left]], [left[at[left] == end[left]]]
+        step = np.uint32(0)
+        while len(left):
+            step += np.uint32(1)
+            place = at[left] + step
+            inside = place < end[left]
+            missed.append(left[~inside])
+            left, place = left[inside], place[inside]
+            hit = self.low[place] == low[left]
+            out[left[hit]] = self.values[place[hit]]
+            left = left[~hit]
+        return out, np.sort(np.concatenate(missed))
 
-        def pairs(texts: list[bytes]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+
+def _score(likely, frequent):
+    """Scores from the broadcast pairs and words; the others of each text go on, with their numbers."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup, (keys, logs) = likely.value, frequent.value
+        cache: dict[bytes, float] = {}
+
+        def learn(texts: list[list[bytes]]) -> None:
+            """Brings the words of the texts into the cache, by one search for all new ones; NaN for what is not broadcast."""
+            if len(cache) > 300_000:
+                cache.clear()
+            new = [w for w in set().union(*texts) if w not in cache]
+            if new:
+                h = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new)).view(np.int64)
+                at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
+                cache.update(zip(new, np.where(keys[at] == h, logs[at], math.nan).tolist() if len(keys) else [math.nan] * len(new)))
+
+        def of_words(split: list[list[bytes]]) -> Iterator[tuple[float, int, np.ndarray, np.ndarray]]:
+            learn(split)
+            flat = [w for words in split for w in words]
+            values = np.fromiter(map(cache.__getitem__, flat), np.float64, len(flat))
+            doc = np.repeat(np.arange(len(split)), [len(words) for words in split])
+            missed = np.flatnonzero(np.isnan(values))
+            values[missed] = 0
+            base, unknown = np.bincount(doc, weights=values, minlength=len(split)), np.bincount(doc[missed], minlength=len(split))
+            keys = np.fromiter((xxhash.xxh3_64_intdigest(flat[k]) for k in missed.tolist()), np.uint64, len(missed)).view(np.int64)
+            ends = np.cumsum(unknown)
+            for k, words in enumerate(split):
+                yield float(base[k]), len(words) - int(unknown[k]), *np.unique(keys[ends[k] - unknown[k] : ends[k]], return_counts=True)
+
+        def of_pairs(texts: list[bytes]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
             sizes = np.array([len(t) + 1 for t in texts])
-            own, inverse = np.unique(grams(texts), return_inverse=True)
-            at = np.minimum(np.searchsorted(codes, own), max(len(codes) - 1, 0))
-            hit = codes[at] == own if len(codes) else np.zeros(len(own), dtype=bool)
-            scores = np.add.reduceat(np.where(hit, values[at], 0.0)[inverse] if len(codes) else np.zeros(len(inverse)), np.cumsum(sizes) - sizes)
-            missed = np.flatnonzero(~hit[inverse])
-            each, n = np.unique(np.repeat(np.arange(len(texts)), sizes)[missed] * len(own) + inverse[missed], return_counts=True)
-            first = np.searchsorted(each, np.arange(len(texts) + 1) * len(own))
+            code = grams(texts)
+            values, missed = lookup(code)
+            scores = np.add.reduceat(values, np.cumsum(sizes) - sizes, dtype=np.float64)
+            cut = np.searchsorted(missed, np.cumsum(sizes))
             for k, s in enumerate(scores.tolist()):
-                part = slice(first[k], first[k + 1])
-                yield s, own[each[part] % len(own)], n[part]
-
-        def out() -> Iterator[tuple]:
-            for b in it:
-                rows = list(rows_of(b))
-                for k in range(0, len(rows), 256):
-                    part = rows[k : k + 256]
-                    for (i, held, t), (s, missed, times) in zip(part, pairs([r[2] for r in part])):
-                        words, base, known, rest = t.split(), 0.0, 0, {}
-                        for w in words:
-                            if (x := cache.get(w)) is None:
-                                if len(cache) > 150_000:
-                                    cache.clear()
-                                x = cache[w] = look(w)
-                            if x[1] == x[1]:
-                                base += x[1]
-                                known += 1
-                            else:
-                                rest[x[0]] = rest.get(x[0], 0) + 1
-                        yield i, held, len(words) + 1, known, base, s, len(t), [{"key": h, "tf": n} for h, n in rest.items()], missed, times
-
-        yield from batches(out(), _SCORED, 500)
+                yield s, *np.unique(code[missed[cut[k - 1] if k else 0 : cut[k]]], return_counts=True)
+
+        for b in it:
+            ids, held, texts = (c.to_pylist() for c in b.columns)
+            texts = [t.lower() for t in texts]
+            for k in range(0, len(texts), 256):
+                part = texts[k : k + 256]
+                split = [t.split() for t in part]
+                base, known, words, tf = zip(*of_words(split))
+                score, pairs, times = zip(*of_pairs(part))
+                tokens, sizes = [len(w) + 1 for w in split], [len(t) for t in part]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) if not f.name.startswith("rest") else _lists(x) for x, f in zip((ids[k : k + 256], held[k : k + 256], tokens, known, base, score, sizes, words, tf, pairs, times), _SCORED)], schema=_SCORED)
 
     return run
 
 
 def _bytes(text_col: str) -> F.Column:
-    return lower_az(F.col(text_col)).cast("binary").alias("t")
+    return utf8(F.col(text_col)).alias("t")
 
 
 def score(docs: DataFrame, training: DataFrame, held_out: F.Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -429,21 +485,20 @@ def score(docs: DataFrame, training: DataFrame, held_out: F.Column | None = None
     bar = (logs_of.agg(F.sum("seen")).first()[0] or 0) / SHARE
     pairs = logs_of.filter(F.col("seen") >= bar).select("key", F.col("value").cast("float")).toArrow()
     sc = spark.sparkContext
-    by_code = np.argsort(pairs["key"].to_numpy())
-    likely = sc.broadcast((pairs["key"].to_numpy()[by_code], pairs["value"].to_numpy()[by_code]))
+    likely = sc.broadcast(Lookup(pairs["key"].to_numpy(), pairs["value"].to_numpy()))
     frequent = sc.broadcast((keys[order], logs[order]))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.lit(None).cast("boolean") if held_out is None else held_out).alias("held_out"), _bytes(text_col))
     scored = rows.mapInArrow(_score(likely, frequent), _SCORED_DDL).withColumn("row", F.monotonically_increasing_id())
     scored = written(scored, "scores")
-    other = scored.select("row", F.explode(F.arrays_zip("keys", "times")).alias("x")).select("row", F.lit(1).alias("kind"), F.col("x.keys").alias("key"), F.col("x.times").alias("tf"))
-    rest = scored.select("row", F.inline("rest")).select("row", F.lit(0).alias("kind"), "key", "tf").union(other)
+    listed = lambda kind, keys, times: scored.select("row", F.explode(F.zip_with(keys, times, lambda a, n: F.struct(a.alias("key"), n.alias("tf")))).alias("x")).select("row", F.lit(kind).alias("kind"), "x.key", "x.tf")
+    rest = listed(0, "rest_words", "rest_word_times").union(listed(1, "rest_pairs", "rest_pair_times"))
     values = words.filter(F.col("n") < least).select(F.lit(0).alias("kind"), "key", F.log10(F.col("n") + 1).alias("value"))
     values = values.union(logs_of.filter(F.col("seen") < bar).select(F.lit(1), "key", "value"))
     of_kind = lambda k, x: F.sum(F.when(F.col("kind") == k, x))
     rest = rest.join(values, ["kind", "key"]).groupBy("row").agg(of_kind(0, F.col("tf") * F.col("value")).alias("rest_base"), of_kind(0, F.col("tf")).alias("rest_known"), of_kind(1, F.col("tf") * F.col("value")).alias("rest_score"))
     end = F.lit(math.log10(texts + 1))
     whole = F.col("score") + F.coalesce("rest_score", F.lit(0.0))
-    return scored.drop("rest", "keys", "times").join(rest, "row", "left").select(
+    return scored.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes").join(rest, "row", "left").select(
         F.col("doc_id").alias(id_col), "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("rest_known", F.lit(0)) + int(texts > 0)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),

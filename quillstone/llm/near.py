@@ -11,8 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, by_key, join_counted, join_small, lower_az, partitions, prepare, rows_of, table, written
-from .lines import signed
+from .common import batches, by_key, join_counted, join_small, partitions, prepare, rows_of, table, utf8, written
 
 #: Minwise functions of a signature; the trees choose their paths among them.
 HASHES, LEVELS = 128, 3
@@ -55,7 +54,7 @@ class Shingler:
         self.k, self.cache = k, {}
 
     def __call__(self, text: bytes) -> np.ndarray:
-        words = text.split()
+        words = text.lower().split()  # of bytes: A-Z only
         if not words:
             return np.empty(0, np.uint64)
         if len(self.cache) > 150_000:
@@ -404,7 +403,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     prepare(spark)
     n = trees(percent / 100)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), lower_az(F.col(text_col)).cast("binary").alias("t"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("t"))
     sigs = written(rows.mapInArrow(_signatures(k, n), _SIG_DDL), "signatures")
     some = sigs.filter("n_shingles > 0 and doc_id is not null")
     heads = written(some.groupBy("set_hash").agg(F.min("doc_id").alias("head"), F.count("*").alias("size")), "heads")
