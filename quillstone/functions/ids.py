@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +32,22 @@ def metadata_id(source_id: Column, doi: Column) -> Column:
     return F.when(source_id.isNotNull(), F.concat(F.lit("meta:s2:"), source_id)).when(doi.isNotNull(), F.concat(F.lit("meta:crossref:"), doi))
 
 
+def canonical_json(text: Column) -> Column:
+    """JSON text with keys in order, without spaces, characters as they are; null and text that is no JSON stay."""
+
+    @F.pandas_udf("string")
+    def ordered(texts: pd.Series) -> pd.Series:
+        def one(t: str | None) -> str | None:
+            try:
+                return t if t is None else json.dumps(json.loads(t), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+            except ValueError:
+                return t
+
+        return texts.map(one)
+
+    return ordered(text)
+
+
 def file_hash(content: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(content, 256))
 

@@ -97,6 +97,11 @@ def caveats(level: Column, use: Column, any_association: Column) -> Column:
     )
 
 
+def has_quantitative(comparator: Column, summary: Column, values: Column) -> Column:
+    """Whether evidence compares or measures: a comparator, a summary or any values that are not empty."""
+    return F.coalesce(F.length(comparator) > 0, F.lit(False)) | F.coalesce(F.length(summary) > 0, F.lit(False)) | F.coalesce(F.size(values) > 0, F.lit(False))
+
+
 def conclusion(question: Column, dominant: Column, level: Column, use: Column, causal: Column) -> Column:
     tail = (
         F.when(level == "insufficient", "The available evidence is insufficient for a firm conclusion.")

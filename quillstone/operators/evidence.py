@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.ids import stable_id
-from ..functions.text import canonical_name, display_name, kind_of
+from ..functions.ids import canonical_json, stable_id
+from ..functions.text import EXPOSURE_KINDS, OUTCOME_KINDS, canonical_name, display_name, kind_of
 
-GROUP = ["exposure_id", "outcome_id", "organism", "population_scope"]
-CONTEXT = "{}"
+GROUP = ["exposure_id", "outcome_id", "organism", "population_scope", "context_json"]
 c = F.col
 
 
@@ -24,9 +26,29 @@ def registry(terms: DataFrame, prefix: str, kinds: list[tuple[str, str]]) -> Dat
     )
 
 
+def evidence_items(papers: DataFrame, items: str = "canonical_evidence") -> DataFrame:
+    """One row per evidence item of the papers' lists; null lists and null items give none."""
+    return papers.select(F.explode(items).alias("item")).filter("item is not null").select("item.*")
+
+
 def fan_out(evidence: DataFrame) -> DataFrame:
-    """One row per outcome; evidence without outcomes stays as one row with a null outcome."""
-    return evidence.select("*", F.explode_outer("raw_outcomes").alias("raw_outcome"))
+    """One row per outcome; of an item's outcomes with one canonical name the first counts. Without outcomes it is one row with a null outcome."""
+    names = F.transform("raw_outcomes", canonical_name)
+    first = F.filter("raw_outcomes", lambda x, k: F.array_position(names, canonical_name(x)) == k + 1)
+    return evidence.select("*", F.explode_outer(first).alias("raw_outcome"))
+
+
+def terms(evidence: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(term, ordinal) of exposures and of outcomes; ordinal is the place in the scan, of outcomes also that in the list."""
+    exposures = evidence.select(c("raw_exposure").alias("term"), "ordinal")
+    outcomes = evidence.select("ordinal", F.posexplode("raw_outcomes").alias("pos", "term"))
+    return exposures, outcomes.select("term", F.struct("ordinal", "pos").alias("ordinal"))
+
+
+def context_json() -> Column:
+    """Canonical JSON of the column context_identity, a map of text: keys in order, compact, {} for none."""
+    entries = F.array_sort(F.map_entries("context_identity"))
+    return F.coalesce(F.to_json(F.map_from_entries(entries)), F.lit("{}"))
 
 
 def last_scopes(scopes: DataFrame) -> DataFrame:
@@ -37,7 +59,10 @@ def last_scopes(scopes: DataFrame) -> DataFrame:
 
 def projections(evidence: DataFrame, scopes: DataFrame, exposures: DataFrame, outcomes: DataFrame, build_id: str) -> DataFrame:
     """Ranked projections. Registries hold one row per distinct term; Spark broadcasts them if their size allows."""
-    active = lambda r, p: r.filter("status = 'active'").select(c("canonical_name").alias(f"{p}_name"), f"{p}_id")
+    active = lambda r, p: r.filter("status = 'active'").select(c("canonical_name").alias(f"{p}_name"), f"{p}_id", c("display_name").alias(f"{p}_display"))
+    evidence = evidence.withColumn("context_json", context_json() if "context_identity" in evidence.columns else F.lit("{}"))
+    if "has_quant" not in evidence.columns:
+        evidence = evidence.withColumn("has_quant", rules.has_quantitative(c("comparator"), c("quantitative_summary"), c("quantitative_values")))
     rows = fan_out(evidence).withColumns({"exposure_name": canonical_name(c("raw_exposure")), "outcome_name": canonical_name(c("raw_outcome")), "study_id": F.coalesce("study_id", F.lit("unclear"))})
     rows = rows.join(active(exposures, "exposure"), "exposure_name", "left").join(active(outcomes, "outcome"), "outcome_name", "left")
     rows = rows.join(last_scopes(scopes), ["paper_id", "study_id"], "left")
@@ -46,7 +71,7 @@ def projections(evidence: DataFrame, scopes: DataFrame, exposures: DataFrame, ou
     rows = rows.withColumn("rank", rules.ranking())
     return rows.select(
         stable_id("projection", c("build_id"), c("canonical_evidence_id"), c("exposure_id"), c("outcome_id")).alias("projection_id"),
-        "build_id", "canonical_evidence_id", "paper_id", "study_id", *GROUP, "effect_direction", "study_design", "evidence_role_in_paper", "assertion_type", "rank.*",
+        "build_id", "canonical_evidence_id", "paper_id", "study_id", *GROUP, "effect_direction", "study_design", "evidence_role_in_paper", "assertion_type", "exposure_display", "outcome_display", "rank.*",
     )
 
 
@@ -68,6 +93,7 @@ def votes(rows: DataFrame) -> DataFrame:
         any_(c("projection_status") == "needs_review").alias("any_review"), all_(c("rag_use") == "mechanistic_only").alias("all_mechanistic"),
         any_("requires_caveat").alias("any_caveat"), all_("causal_language_allowed").alias("all_causal"),
         any_(c("assertion_type").isin("association", "no_association")).alias("any_association"),
+        *[F.max(f"{p}_display").alias(f"{p}_display") for p in ("exposure", "outcome")],
     )
     has = c("ab_rows") > 0
     lo, hi = F.when(has, c("lo_s")).otherwise(c("lo")), F.when(has, c("hi_s")).otherwise(c("hi"))
@@ -75,14 +101,15 @@ def votes(rows: DataFrame) -> DataFrame:
     return unit.withColumns({"direction": F.when(lo == hi, lo).otherwise("mixed"), "weight": weight}).drop("lo_s", "hi_s", "lo", "hi", "w_s", "w")
 
 
-def general_evidence(rows: DataFrame, exposures: DataFrame, outcomes: DataFrame, build_id: str) -> DataFrame:
-    """Consensus per group, of the projections that are not rejected."""
+def general_evidence(rows: DataFrame, build_id: str) -> DataFrame:
+    """Consensus per group, of the projections that are not rejected. Their join with the registries brought the names to display."""
     units = votes(rows.filter("projection_status <> 'rejected'"))
     sums = [F.sum(x).alias(x) for x in ["ab_rows", "n_rows", *[f"rows_{d}" for d in rules.DIRECTIONS], *[f"rank_{r}" for r in rules.RANKS]]]
     groups = units.groupBy(*GROUP).agg(
         F.countDistinct(F.nullif("paper_id", F.lit(""))).alias("paper_count"), F.count("*").alias("study_count"), *sums,
         *[F.count_if(c("direction") == d).alias(f"votes_{d}") for d in rules.DIRECTIONS],
         *[F.sum(F.when(c("direction") == d, c("weight")).otherwise(0.0)).alias(f"support_{d}") for d in rules.DIRECTIONS],
+        *[F.max(f"{p}_display").alias(f"{p}_display") for p in ("exposure", "outcome")],
         *[F.bool_or(x).alias(x) for x in ("any_review", "any_caveat", "any_association")], *[F.bool_and(x).alias(x) for x in ("all_mechanistic", "all_causal")],
     )
     counts = {d: c(f"votes_{d}") for d in rules.DIRECTIONS}
@@ -90,9 +117,7 @@ def general_evidence(rows: DataFrame, exposures: DataFrame, outcomes: DataFrame,
     g = g.withColumn("consensus_level", rules.consensus_level(counts, c("paper_count"), c("study_count"), c("n_rows"), c("ab_rows"), c("dominant_direction")))
     g = g.withColumn("recommendation_use", rules.recommendation_use(c("consensus_level"), c("organism"), c("any_review"), c("all_mechanistic"), c("rank_A") > 0))
     g = g.withColumns({"requires_caveat": (c("recommendation_use") != "directly_usable") | c("any_caveat"), "causal_language_allowed": c("all_causal") & c("consensus_level").isin("moderate", "strong"), "status": F.when(c("any_review"), "needs_review").otherwise("active"), "build_id": F.lit(build_id)})
-    g = g.withColumn("general_evidence_id", stable_id("general_evidence", c("build_id"), *map(c, GROUP), F.lit(CONTEXT)))
-    names = lambda r, p: r.select(f"{p}_id", c("display_name").alias(f"{p}_display"))
-    g = g.join(names(exposures, "exposure"), "exposure_id", "left").join(names(outcomes, "outcome"), "outcome_id", "left")
+    g = g.withColumn("general_evidence_id", stable_id("general_evidence", c("build_id"), *map(c, GROUP)))
     label = lambda p: F.coalesce(f"{p}_display", f"{p}_id", F.lit("None"))
     g = g.withColumn("question", F.concat(F.lit("What is the evidence linking "), label("exposure"), F.lit(" to "), label("outcome"), F.lit("?")))
     return g.withColumns({
@@ -139,10 +164,34 @@ def retrieval_export(general: DataFrame, rows: DataFrame) -> DataFrame:
     return docs.unionByName(rows.filter(good).select(F.lit("evidence_support").alias("document_type"), c("projection_id").alias("id"), F.to_json(F.struct("evidence_rank", "effect_direction")).alias("payload")))
 
 
-def derive_build_id(evidence: DataFrame, maps: DataFrame) -> str:
-    """Build id of all items and maps: a hash over per-row hashes in order of id, so that no text is brought together."""
-    digest = lambda df, key: df.select(c(key).alias("k"), F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256).alias("h")).groupBy().agg(F.count("*").alias("n"), F.sum(F.conv(F.substring("h", 1, 15), 16, 10).cast("decimal(38,0)")).alias("s")).first()
-    import hashlib
+def published_build_id(evidence: DataFrame, maps: DataFrame) -> str:
+    """Build id of the items (id, item) and experiment maps (id, item), JSON texts: the hash over all of them in the order of their ids.
+
+    The published id is one SHA-256 over one text, so it is read in order through the driver, a partition
+    at a time and never held whole. For a large corpus give ``build`` an id of your own.
+    """
+    digest = hashlib.sha256(b"[")
+    for k, rows in enumerate((evidence, maps)):
+        digest.update(b"[" if k == 0 else b",[")
+        ordered = rows.select(F.coalesce("id", F.lit("")).alias("id"), canonical_json(c("item")).alias("item")).orderBy("id", "item")
+        for n, row in enumerate(ordered.toLocalIterator()):
+            digest.update((b"," if n else b"") + row["item"].encode())
+        digest.update(b"]")
+    digest.update(b"]")
+    return f"evidence_build_{digest.hexdigest()}"
+
+
+def build(evidence: DataFrame, scopes: DataFrame, build_id: str, keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> dict[str, DataFrame]:
+    """All tables of a derivation by name. ``keep`` writes a table and returns what to read on, so that none is made twice.
 
-    parts = [*digest(evidence, "canonical_evidence_id"), *digest(maps, "paper_id")]
-    return "evidence_build_" + hashlib.sha256(repr([str(p) for p in parts]).encode()).hexdigest()
+    Evidence (of all papers, with ``ordinal``) and scopes as for ``projections``. Empty evidence gives empty tables.
+    """
+    exposure_terms, outcome_terms = terms(evidence)
+    exposures = keep("exposure_registry", registry(exposure_terms, "exposure", EXPOSURE_KINDS))
+    outcomes = keep("outcome_registry", registry(outcome_terms, "outcome", OUTCOME_KINDS))
+    rows = keep("evidence_projections", projections(evidence, scopes, exposures, outcomes, build_id))
+    general = keep("general_evidence", general_evidence(rows, build_id))
+    joined = in_groups(rows, general)
+    support = keep("general_evidence_support", support_edges(joined, representatives(joined)).withColumn("build_id", F.lit(build_id)))
+    export = keep("retrieval_export", retrieval_export(general, rows).withColumn("build_id", F.lit(build_id)))
+    return {"exposure_registry": exposures, "outcome_registry": outcomes, "evidence_projections": rows, "general_evidence": general, "general_evidence_support": support, "retrieval_export": export}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import ids
 from ..functions import text as T
@@ -84,16 +86,46 @@ def link_rows(artifacts: DataFrame, linked_at: str) -> DataFrame:
 
 
 def bibliography(lake: DataFrame) -> DataFrame:
-    """BibTeX entries of kept rows with a DOI, keys made unique in order."""
-    rows = lake.filter((c("decision") == "keep") & c("doi").isNotNull()).withColumn("base", T.citekey(c("metadata_id")))
-    n = F.row_number().over(Window.partitionBy("base").orderBy("metadata_id")) - 1
-    rows = rows.withColumn("citekey", F.when(n == 0, c("base")).otherwise(F.concat("base", F.lit("_"), n)))
-    return rows.select("metadata_id", "citekey", F.concat(F.lit("@article{"), "citekey", F.lit(",\n  doi = {"), "doi", F.lit("}\n}")).alias("entry"))
-
-
-def decisions(candidates: DataFrame, found: DataFrame) -> DataFrame:
-    """Decision of each candidate; unknown ids and values are dropped, missing ones are 'uncertain'; only 'drop' discards."""
-    valid = found.filter(c("decision").isin("keep", "drop", "uncertain")).groupBy("candidate_id").agg(F.min("decision").alias("decision"))
+    """BibTeX entries of kept rows with a DOI; a key that is taken gets _1, _2 and so on, in order, until one is free."""
+    rows = lake.filter((c("decision") == "keep") & c("doi").isNotNull()).select("metadata_id", "doi", T.citekey(c("metadata_id")).alias("base"))
+    keyed = citekeys(rows)
+    return keyed.select("metadata_id", "citekey", F.concat(F.lit("@article{"), "citekey", F.lit(",\n  doi = {"), "doi", F.lit("}\n}")).alias("entry"), "base")
+
+
+def citekeys(rows: DataFrame) -> DataFrame:
+    """Adds citekey to (metadata_id, base, ...). Only keys that are given twice, and those that look like one of their
+    successors, depend on each other: each such family is dealt in order by one task, all others keep their key."""
+    twice = rows.groupBy("base").count().filter("count > 1").select(c("base").alias("family"))
+    stems = F.transform(F.sequence(F.lit(0), F.size(F.split("base", "_")) - 1), lambda k: F.array_join(F.slice(F.split("base", "_"), 1, F.size(F.split("base", "_")) - k), "_"))
+    numbered = F.filter(stems, lambda x: F.substr(c("base"), F.length(x) + 1).rlike(r"^(_\d+)*$"))
+    near = rows.select("base", F.explode(numbered).alias("family")).distinct().join(twice, "family").groupBy("base").agg(F.min_by("family", F.length("family")).alias("family"))
+    names = rows.columns
+
+    def deal(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("metadata_id", kind="stable")
+        used, following, keys = set(), {}, []
+        for base in group["base"]:
+            key, n = base, following.get(base, 0)
+            while key in used:
+                n += 1
+                key = f"{base}_{n}"
+            following[base] = n
+            used.add(key)
+            keys.append(key)
+        return group[names].assign(citekey=keys)
+
+    schema = StructType([*rows.schema.fields, StructField("citekey", StringType())])
+    tied = rows.join(near, "base").groupBy("family").applyInPandas(deal, schema)
+    return tied.unionByName(rows.join(near.select("base"), "base", "left_anti").select(*names, c("base").alias("citekey")))
+
+
+def decisions(candidates: DataFrame, found: DataFrame, order: str | None = None) -> DataFrame:
+    """Decision of each candidate; unknown ids and values are dropped, missing ones are 'uncertain'; only 'drop' discards.
+
+    Of repeated decisions the last in ``order`` counts; without an order the smallest, so that it does not hang on the plan.
+    """
+    valid = found.filter(c("decision").isin("keep", "drop", "uncertain")).groupBy("candidate_id")
+    valid = valid.agg((F.max_by("decision", order) if order else F.min("decision")).alias("decision"))
     j = candidates.join(valid, "candidate_id", "left").withColumn("decision", F.coalesce("decision", F.lit("uncertain")))
     return j.withColumn("discarded", c("decision") == "drop")
 

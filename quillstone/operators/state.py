@@ -27,13 +27,16 @@ def stage_states(rows: DataFrame) -> DataFrame:
 def fold(states: DataFrame, keys: list[str], order: str = "updated_at") -> DataFrame:
     """What upserts in order leave: the last status and error, the last known artifact and end, the first known start.
 
-    One aggregation with map-side combination; nothing is sorted.
+    One aggregation with map-side combination; nothing is sorted. Of equal times the larger event_id is the later one.
     """
+    name, at = order, c(order)
+    if "event_id" in states.columns:
+        states, order = states.withColumn("__at", F.struct(at, "event_id")), "__at"
     last = lambda x: F.max_by(x, order).alias(x)
     known = lambda x: F.max_by(F.when(c(x).isNotNull(), c(x)), F.when(c(x).isNotNull(), c(order))).alias(x)
     first = lambda x: F.min_by(F.when(c(x).isNotNull(), c(x)), F.when(c(x).isNotNull(), c(order))).alias(x)
     kinds = {"status": last, "stage": last, "error_code": last, "error_message": last, "artifact_path": known, "ended_at": known, "started_at": first}
-    return states.groupBy(*keys).agg(*[f(x) for x, f in kinds.items() if x in states.columns and x not in keys], F.max(order).alias(order), F.count("*").alias("n_events"))
+    return states.groupBy(*keys).agg(*[f(x) for x, f in kinds.items() if x in states.columns and x not in keys], F.max(at).alias(name), F.count("*").alias("n_events"))
 
 
 def merge_metadata(states: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -43,8 +46,9 @@ def merge_metadata(states: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The last row of each key in the order; of equal ones the largest row, so that the outcome does not hang on the plan."""
     others = [x for x in rows.columns if x not in keys]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("r")).select(*keys, "r.*")
+    return rows.groupBy(*keys).agg(F.max(F.struct(F.struct(*order).alias("o"), F.struct(*others).alias("r")))["r"].alias("r")).select(*keys, "r.*")
 
 
 def processing_facts(states: DataFrame, tables: dict[str, DataFrame], classifications: DataFrame) -> DataFrame:
@@ -57,8 +61,9 @@ def processing_facts(states: DataFrame, tables: dict[str, DataFrame], classifica
     for t in tagged[1:]:
         union = union.unionByName(t)
     flags = union.groupBy("paper_id").agg(*[F.bool_or(c("tag") == n).alias(f"has_{n}") for n in [*tables, "paper_classification"]])
-    family = classifications.groupBy("paper_id").agg(F.max_by("paper_family", "updated_at").alias("paper_family"))
-    last = states.groupBy("paper_id").agg(F.max_by(F.struct("stage", "status", "error_code", "error_message"), "updated_at").alias("s"))
+    family = classifications.groupBy("paper_id").agg(F.max_by("paper_family", F.struct("updated_at", "paper_family")).alias("paper_family"))
+    told = F.struct("stage", "status", "error_code", "error_message")
+    last = states.groupBy("paper_id").agg(F.max_by(told, F.struct("updated_at", "event_id") if "event_id" in states.columns else F.struct("updated_at", told)).alias("s"))
     out = flags.join(family, "paper_id", "left").join(last, "paper_id", "left")
     return out.select(*flags.columns, "paper_family", c("s.stage").alias("latest_pipeline_stage"), c("s.status").alias("latest_pipeline_status"), c("s.error_code").alias("last_error_code"), c("s.error_message").alias("last_error_message"))
 

@@ -17,6 +17,7 @@ from ..operators import metadata as D
 from ..operators import state as S
 from ..operators import validation as V
 from ..sources import readers as R
+from ..sources.sinks import kept
 from . import views as v
 
 c = F.col
@@ -41,14 +42,16 @@ def query(name: str, sql: str | None = None):
 _NAME = "replace(regexp_replace(regexp_replace(trim(regexp_replace(lower({0}), '[^a-z0-9]+', '_', 'g'), '_'), '_consumption$', ''), '_intake$', ''), 'whole_egg', 'egg')"
 _EV = f"""
 WITH ev AS ({v.duck(v.EVIDENCE)}), sc AS ({v.duck(v.SCOPES)}),
-outs AS (SELECT ordinal, unnest(raw_outcomes) AS term FROM ev WHERE raw_outcomes IS NOT NULL),
+o0 AS (SELECT ordinal, unnest(range(len(raw_outcomes))) AS pos, unnest(raw_outcomes) AS term FROM ev WHERE raw_outcomes IS NOT NULL),
+outs AS (SELECT ordinal, pos, term FROM (SELECT *, row_number() OVER (PARTITION BY ordinal, {_NAME.format('term')} ORDER BY pos) AS rn FROM o0) WHERE rn = 1),
 exr AS (SELECT {_NAME.format('raw_exposure')} AS n, arg_min(raw_exposure, ordinal) AS term FROM ev GROUP BY 1),
-our AS (SELECT {_NAME.format('term')} AS n, min(term) AS term FROM outs GROUP BY 1),
+our AS (SELECT {_NAME.format('term')} AS n, arg_min(term, ordinal * 100 + pos) AS term FROM o0 GROUP BY 1),
 ls AS (SELECT paper_id, study_id, arg_max(study_design, ordinal) AS d FROM sc GROUP BY 1, 2),
 fan AS (SELECT ev.*, o.term AS raw_outcome FROM ev LEFT JOIN outs o ON ev.ordinal = o.ordinal),
 pj AS (SELECT canonical_evidence_id, f.paper_id, f.study_id, 'exposure.' || e.n AS exposure_id, 'outcome.' || o.n AS outcome_id,
     coalesce(organism, CASE d WHEN 'animal_experiment' THEN 'animal' WHEN 'in_vitro' THEN 'in_vitro' ELSE 'unclear' END) AS organism,
-    population_scope, effect_direction, coalesce(d, 'unclear') AS study_design, evidence_role_in_paper, assertion_type, has_quant, has_grounding, canonical_evidence_status
+    population_scope, effect_direction, coalesce(d, 'unclear') AS study_design, evidence_role_in_paper, assertion_type, coalesce(comparator <> '', false) OR coalesce(quantitative_summary <> '', false) OR coalesce(len(quantitative_values) > 0, false) AS has_quant, has_grounding, canonical_evidence_status,
+    '{{' || concat_ws(',', '"amount":"' || amount || '"', '"setting":"' || setting || '"') || '}}' AS context_json
   FROM fan f LEFT JOIN exr e ON e.n = {_NAME.format('raw_exposure')} LEFT JOIN our o ON o.n = {_NAME.format('raw_outcome')}
   LEFT JOIN ls ON ls.paper_id = f.paper_id AND ls.study_id = f.study_id),
 pf AS (SELECT *, concat_ws('; ', CASE WHEN NOT has_grounding THEN 'missing source grounding' END,
@@ -61,7 +64,7 @@ pk AS (SELECT *, CASE WHEN faults <> '' THEN 0 WHEN evidence_role_in_paper IN ('
     WHEN organism = 'human' AND evidence_role_in_paper = 'primary_result' AND study_design IN ('rct', 'meta_analysis', 'systematic_review', 'prospective_cohort') AND has_quant THEN 4
     WHEN organism = 'human' THEN 5 ELSE 6 END AS k FROM pf),
 pr AS (SELECT 'projection_' || sha256(CAST(to_json(list_value('{v.BUILD}', canonical_evidence_id, exposure_id, outcome_id)) AS VARCHAR)) AS projection_id,
-    '{v.BUILD}' AS build_id, canonical_evidence_id, paper_id, study_id, exposure_id, outcome_id, organism, population_scope, effect_direction, study_design, evidence_role_in_paper, assertion_type,
+    '{v.BUILD}' AS build_id, canonical_evidence_id, paper_id, study_id, exposure_id, outcome_id, organism, population_scope, context_json, effect_direction, study_design, evidence_role_in_paper, assertion_type,
     ['Reject', 'D', 'C', 'B', 'A', 'B', 'C'][k + 1] AS evidence_rank, CAST([0, 0, 0.25, 0.6, 1, 0.6, 0.25][k + 1] AS DOUBLE) AS aggregation_weight,
     ['reject', 'audit_only', 'mechanistic_only', 'supporting', 'primary', 'supporting', 'supporting'][k + 1] AS rag_use,
     k = 4 AND assertion_type IN ('causal_effect', 'comparative_effect') AS causal_language_allowed,
@@ -69,21 +72,21 @@ pr AS (SELECT 'projection_' || sha256(CAST(to_json(list_value('{v.BUILD}', canon
     CASE WHEN k = 0 THEN faults ELSE ['', 'method/background/limitation evidence', 'mechanistic, descriptive, animal, or in vitro evidence', 'human secondary/subgroup/sensitivity result', 'strong human primary evidence', 'human evidence with caveat', 'indirect or unclear-context evidence'][k + 1] END AS rank_reason,
     CASE k WHEN 0 THEN 'rejected' WHEN 6 THEN 'needs_review' ELSE 'accepted' END AS projection_status FROM pk),
 ok AS (SELECT * FROM pr WHERE projection_status <> 'rejected'),
-un AS (SELECT paper_id, study_id, exposure_id, outcome_id, organism, population_scope,
+un AS (SELECT paper_id, study_id, exposure_id, outcome_id, organism, population_scope, context_json,
     count(*) FILTER (evidence_rank IN ('A', 'B')) AS ab_rows,
     CASE WHEN count(*) FILTER (evidence_rank IN ('A', 'B')) > 0
       THEN CASE WHEN count(DISTINCT effect_direction) FILTER (evidence_rank IN ('A', 'B')) = 1 THEN max(effect_direction) FILTER (evidence_rank IN ('A', 'B')) ELSE 'mixed' END
       ELSE CASE WHEN count(DISTINCT effect_direction) = 1 THEN max(effect_direction) ELSE 'mixed' END END AS direction,
     least(1.0, CASE WHEN count(*) FILTER (evidence_rank IN ('A', 'B')) > 0 THEN max(aggregation_weight) FILTER (evidence_rank IN ('A', 'B')) ELSE max(aggregation_weight) END) AS weight
   FROM ok GROUP BY ALL),
-gv AS (SELECT exposure_id, outcome_id, organism, population_scope, count(*) AS study_count,
+gv AS (SELECT exposure_id, outcome_id, organism, population_scope, context_json, count(*) AS study_count,
     {', '.join(f"count(*) FILTER (direction = '{d}') AS votes_{d}, coalesce(sum(weight) FILTER (direction = '{d}'), 0) AS support_{d}" for d in rules.DIRECTIONS)} FROM un GROUP BY ALL),
-gr AS (SELECT exposure_id, outcome_id, organism, population_scope, count(*) AS evidence_count, count(DISTINCT paper_id) AS paper_count, count(*) FILTER (evidence_rank IN ('A', 'B')) AS ab_rows,
+gr AS (SELECT exposure_id, outcome_id, organism, population_scope, context_json, count(*) AS evidence_count, count(DISTINCT paper_id) AS paper_count, count(*) FILTER (evidence_rank IN ('A', 'B')) AS ab_rows,
     {', '.join(f"count(*) FILTER (effect_direction = '{d}') AS rows_{d}" for d in rules.DIRECTIONS)}, {', '.join(f"count(*) FILTER (evidence_rank = '{r}') AS rank_{r}" for r in rules.RANKS)},
     bool_or(projection_status = 'needs_review') AS any_review, bool_and(rag_use = 'mechanistic_only') AS all_mech, bool_or(requires_caveat) AS any_caveat, bool_and(causal_language_allowed) AS all_causal,
     bool_or(assertion_type IN ('association', 'no_association')) AS any_assoc FROM ok GROUP BY ALL),
-g0 AS (SELECT gr.*, gv.* EXCLUDE (exposure_id, outcome_id, organism, population_scope), greatest({', '.join(f'votes_{d}' for d in rules.DIRECTIONS)}) AS top
-  FROM gr JOIN gv ON gr.exposure_id IS NOT DISTINCT FROM gv.exposure_id AND gr.outcome_id IS NOT DISTINCT FROM gv.outcome_id AND gr.organism IS NOT DISTINCT FROM gv.organism AND gr.population_scope IS NOT DISTINCT FROM gv.population_scope),
+g0 AS (SELECT gr.*, gv.* EXCLUDE (exposure_id, outcome_id, organism, population_scope, context_json), greatest({', '.join(f'votes_{d}' for d in rules.DIRECTIONS)}) AS top
+  FROM gr JOIN gv ON gr.exposure_id IS NOT DISTINCT FROM gv.exposure_id AND gr.outcome_id IS NOT DISTINCT FROM gv.outcome_id AND gr.organism IS NOT DISTINCT FROM gv.organism AND gr.population_scope IS NOT DISTINCT FROM gv.population_scope AND gr.context_json = gv.context_json),
 g1 AS (SELECT *, CASE WHEN top / study_count < 0.55 THEN 'mixed' {' '.join(f"WHEN votes_{d} = top THEN '{d}'" for d in rules.DIRECTIONS)} END AS dominant_direction FROM g0),
 g2 AS (SELECT *, (CASE dominant_direction {' '.join(f"WHEN '{d}' THEN votes_{d}" for d in rules.DIRECTIONS)} END) AS dom_n FROM g1),
 g3 AS (SELECT *, dom_n / study_count AS share, (study_count - dom_n - CASE WHEN dominant_direction = 'unclear' THEN 0 ELSE votes_unclear END) / study_count AS against FROM g2),
@@ -94,19 +97,18 @@ g5 AS (SELECT *, CASE WHEN any_review THEN 'needs_review' WHEN organism IN ('ani
     WHEN consensus_level IN ('moderate', 'strong') AND rank_A > 0 THEN 'directly_usable' ELSE 'usable_with_caveat' END AS recommendation_use FROM g4),
 g6 AS (SELECT *, recommendation_use <> 'directly_usable' OR any_caveat AS requires_caveat, all_causal AND consensus_level IN ('moderate', 'strong') AS causal_language_allowed,
     CASE WHEN any_review THEN 'needs_review' ELSE 'active' END AS status,
-    'general_evidence_' || sha256(CAST(to_json(list_value('{v.BUILD}', exposure_id, outcome_id, organism, population_scope, '{{}}')) AS VARCHAR)) AS general_evidence_id FROM g5),
+    'general_evidence_' || sha256(CAST(to_json(list_value('{v.BUILD}', exposure_id, outcome_id, organism, population_scope, context_json)) AS VARCHAR)) AS general_evidence_id FROM g5),
 ge AS (SELECT *, 'What is the evidence linking ' || upper(substr(exposure_id, 10, 1)) || substr(exposure_id, 11) || ' to ' ||
     list_aggregate(list_transform(string_split(replace(substr(outcome_id, 9), '_', ' '), ' '), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), 'string_agg', ' ') || '?' AS question FROM g6),
-inn AS (SELECT ok.*, ge.general_evidence_id, ge.dominant_direction FROM ok JOIN ge ON ok.exposure_id IS NOT DISTINCT FROM ge.exposure_id AND ok.outcome_id IS NOT DISTINCT FROM ge.outcome_id AND ok.organism IS NOT DISTINCT FROM ge.organism AND ok.population_scope IS NOT DISTINCT FROM ge.population_scope),
+inn AS (SELECT ok.*, ge.general_evidence_id, ge.dominant_direction FROM ok JOIN ge ON ok.exposure_id IS NOT DISTINCT FROM ge.exposure_id AND ok.outcome_id IS NOT DISTINCT FROM ge.outcome_id AND ok.organism IS NOT DISTINCT FROM ge.organism AND ok.population_scope IS NOT DISTINCT FROM ge.population_scope AND ok.context_json = ge.context_json),
 rp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY general_evidence_id ORDER BY list_position(['A', 'B', 'C', 'D', 'Reject'], evidence_rank), projection_id) AS position FROM inn) WHERE position <= 5)
 """
 
 
 def _registries(spark: SparkSession, sf_dir: str):
-    ev = v.view(spark, sf_dir, v.EVIDENCE)
-    exposures = E.registry(ev.select(c("raw_exposure").alias("term"), "ordinal"), "exposure", T.EXPOSURE_KINDS)
-    outcomes = E.registry(ev.select(F.explode("raw_outcomes").alias("term"), "ordinal").withColumn("ordinal", c("term")), "outcome", T.OUTCOME_KINDS)
-    return ev, exposures, outcomes
+    ev = v.evidence(spark, sf_dir)
+    exposures, outcomes = E.terms(ev)
+    return ev, E.registry(exposures, "exposure", T.EXPOSURE_KINDS), E.registry(outcomes, "outcome", T.OUTCOME_KINDS)
 
 
 def _projections(spark: SparkSession, sf_dir: str):
@@ -115,13 +117,14 @@ def _projections(spark: SparkSession, sf_dir: str):
 
 
 def _general(spark: SparkSession, sf_dir: str):
-    rows, exposures, outcomes = _projections(spark, sf_dir)
-    return rows, E.general_evidence(rows, exposures, outcomes, v.BUILD)
+    """Projections, written once as a build does, and consensus."""
+    rows = kept(_projections(spark, sf_dir)[0], "projections")
+    return rows, E.general_evidence(rows, v.BUILD)
 
 
 def _grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, general = _general(spark, sf_dir)
-    return E.in_groups(rows, general)
+    return kept(E.in_groups(rows, general), "grouped")
 
 
 @query("agg12_scl04_scl07_scl08_exposure_registry", _EV + """SELECT 'exposure.' || n AS exposure_id, n AS canonical_name, upper(substr(n, 1, 1)) || substr(n, 2) AS display_name, term,
@@ -138,7 +141,7 @@ def outcome_registry(spark, sf_dir):
 
 @query("jon01_jon02_jon03_nst01_projections", _EV + "SELECT * FROM pr")
 def projections(spark, sf_dir):
-    return _projections(spark, sf_dir)[0]
+    return _projections(spark, sf_dir)[0].drop("exposure_display", "outcome_display")
 
 
 @query("agg02_support_unit_votes", _EV + "SELECT * FROM un")
@@ -152,7 +155,7 @@ _MEASURES = ["general_evidence_id", *E.GROUP, "paper_count", "study_count", "evi
 
 @query(FLAGSHIP, _EV + f"SELECT {', '.join(_MEASURES)} FROM ge")
 def general_evidence(spark, sf_dir):
-    return _general(spark, sf_dir)[1].select(*_MEASURES)
+    return E.general_evidence(_projections(spark, sf_dir)[0], v.BUILD).select(*_MEASURES)
 
 
 _DIST = [f"{p}_{d}" for p in ("votes", "rows", "support") for d in rules.DIRECTIONS] + [f"rank_{r}" for r in rules.RANKS]
@@ -307,7 +310,7 @@ def markdown_batches(spark, sf_dir):
 
 _DOI = "nullif(lower(trim(regexp_replace(regexp_replace(trim(raw_doi), '^https?://(dx\\.)?doi\\.org/', '', 'i'), '^doi:\\s*', '', 'i'))), '')"
 _LK = f"""WITH lk0 AS ({v.duck(v.LAKE)}), lk AS (SELECT *, {_DOI} AS doi FROM lk0), ln AS ({v.duck(v.LINKS)}),
-kw AS (SELECT *, array_to_string(regexp_extract_all(lower(strip_accents(title)), '[a-z0-9]+'), ' ') AS kt FROM lk)"""
+kw AS (SELECT *, array_to_string(regexp_extract_all(lower(regexp_replace(strip_accents(title), '[^\\x00-\\x7F]', '', 'g')), '[a-z0-9]+'), ' ') AS kt FROM lk)"""
 
 
 def _lake(spark, sf_dir):
@@ -355,15 +358,15 @@ def known(spark, sf_dir):
 
 @query("flt08_scl28_win09_bibliography", _LK + " SELECT metadata_id, replace(metadata_id, ':', '_') AS citekey, '@article{' || replace(metadata_id, ':', '_') || ',' || chr(10) || '  doi = {' || doi || '}' || chr(10) || '}' AS entry FROM lk WHERE decision = 'keep' AND doi IS NOT NULL")
 def bibliography(spark, sf_dir):
-    return D.bibliography(_lake(spark, sf_dir))
+    return D.bibliography(_lake(spark, sf_dir)).drop("base")
 
 
-@query("snk03_upsert_lake", _LK + """, old AS (SELECT metadata_id, doi, 'v1' AS version, 'old' AS created_at FROM lk WHERE doc_id % 2 = 0), new AS (SELECT metadata_id, doi, 'v2' AS version, 'new' AS created_at FROM lk WHERE doc_id % 3 = 0)
+@query("snk03_upsert_lake", _LK + """, old AS (SELECT metadata_id, doi, 'v1' AS version, 'old' AS created_at FROM lk WHERE doc_id % 3 <> 0), new AS (SELECT metadata_id, doi, 'v2' AS version, 'new' AS created_at FROM lk WHERE doc_id % 3 <> 1)
 SELECT n.metadata_id, n.doi, n.version, coalesce(o.created_at, n.created_at) AS created_at FROM new n LEFT JOIN old o USING (metadata_id) UNION ALL SELECT * FROM old WHERE metadata_id NOT IN (SELECT metadata_id FROM new)""")
 def upsert_lake(spark, sf_dir):
     lake = _lake(spark, sf_dir)
     side = lambda cond, version, at: lake.filter(cond).select("metadata_id", "doi", F.lit(version).alias("version"), F.lit(at).alias("created_at"))
-    return D.upsert(side("doc_id % 2 = 0", "v1", "old"), side("doc_id % 3 = 0", "v2", "new"))
+    return D.upsert(side("doc_id % 3 <> 0", "v1", "old"), side("doc_id % 3 <> 1", "v2", "new"))
 
 
 @query("jon07_backfill_links", _LK + " SELECT sha256(l.metadata_id) AS paper_id, l.doi, k.metadata_id, k.metadata_id IS NOT NULL AS linked FROM ln l LEFT JOIN lk k ON k.doi = l.doi")

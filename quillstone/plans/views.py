@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BUILD = "build_1"
 
@@ -10,7 +11,7 @@ BUILD = "build_1"
 EVIDENCE = """
 SELECT 'ce_' || o_orderkey AS canonical_evidence_id, 'paper_' || o_custkey AS paper_id, 'study_' || (o_orderkey % 2) AS study_id,
   lower(c_mktsegment) || CASE o_orderkey % 3 WHEN 0 THEN ' intake' WHEN 1 THEN ' Consumption' ELSE '' END AS raw_exposure,
-  CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN {list}(o_orderpriority, 'BMI') ELSE {list}(o_orderpriority) END AS raw_outcomes,
+  CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN {list}('bmi  Intake', o_orderpriority, 'BMI') WHEN o_orderkey % 5 = 0 THEN {list}(o_orderpriority, 'BMI') ELSE {list}(o_orderpriority) END AS raw_outcomes,
   CASE WHEN o_orderkey % 23 = 0 THEN 'unclear'
        WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN CASE WHEN o_orderkey % 50 = 0 THEN 'decrease' ELSE 'increase' END
        WHEN c_mktsegment = 'FURNITURE' THEN CASE WHEN o_orderkey % 4 = 0 THEN 'no_effect' ELSE 'decrease' END
@@ -18,7 +19,9 @@ SELECT 'ce_' || o_orderkey AS canonical_evidence_id, 'paper_' || o_custkey AS pa
   CASE c_nationkey % 5 WHEN 0 THEN 'animal' WHEN 1 THEN NULL ELSE 'human' END AS organism,
   CASE WHEN o_orderkey % 11 = 0 THEN 'method_detail' WHEN o_orderkey % 7 = 0 THEN 'secondary_result' ELSE 'primary_result' END AS evidence_role_in_paper,
   CASE o_orderkey % 4 WHEN 0 THEN 'association' WHEN 1 THEN 'causal_effect' ELSE 'comparative_effect' END AS assertion_type,
-  o_totalprice > 50000 AS has_quant, o_orderkey % 31 <> 0 AS has_grounding,
+  CASE WHEN o_totalprice > 150000 THEN 'control' WHEN o_orderkey % 2 = 0 THEN '' END AS comparator, CASE WHEN o_totalprice > 100000 THEN 'n = 3' END AS quantitative_summary,
+  CASE WHEN o_totalprice > 50000 THEN {list}(o_totalprice) END AS quantitative_values, o_orderkey % 31 <> 0 AS has_grounding,
+  CASE WHEN o_orderkey % 10 = 3 THEN 'clinic \u00e9' END AS setting, CASE WHEN o_orderkey % 6 = 1 THEN 'dose ' || (o_orderkey % 2) END AS amount,
   CASE WHEN o_orderkey % 37 = 0 THEN 'rejected' ELSE 'accepted' END AS canonical_evidence_status,
   CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 29 = 0 THEN 'cohort_' || (o_orderkey % 997) ELSE n_name END AS population_scope,
   o_orderkey AS ordinal
@@ -47,7 +50,7 @@ FROM events
 LAKE = """
 SELECT 'meta:s2:' || d.doc_id AS metadata_id, CAST(d.doc_id AS {text}) AS source_paper_id,
   CASE d.doc_id % 4 WHEN 0 THEN 'https://doi.org/10.1000/Doc' || d.doc_id WHEN 1 THEN 'doi: 10.1000/Doc' || d.doc_id WHEN 2 THEN 'http://dx.doi.org/10.1000/Doc' || d.doc_id ELSE CASE WHEN d.doc_id % 8 = 3 THEN '  ' ELSE '10.1000/Doc' || d.doc_id END END AS raw_doi,
-  substr(text, 1, 60) AS title, n_chars AS citation_count, 1990 + d.doc_id % 36 AS year,
+  text AS title, n_chars AS citation_count, 1990 + d.doc_id % 36 AS year,
   CASE quality WHEN 1 THEN 'keep' WHEN 0 THEN 'drop' END AS decision, d.doc_id
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
@@ -76,5 +79,11 @@ def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(sql, **{name: table(spark, sf_dir, name) for name in TABLES[text]})
 
 
+def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evidence view with its context as a map, its keys out of order."""
+    named = F.map_filter(F.create_map(F.lit("setting"), "setting", F.lit("amount"), "amount"), lambda k, x: x.isNotNull())
+    return view(spark, sf_dir, EVIDENCE).withColumn("context_identity", named).drop("setting", "amount")
+
+
 def duck(text: str) -> str:
     return text.format(**DUCK).replace("FROM lines", f"FROM {LINES_DUCK}").strip()

@@ -41,8 +41,9 @@ def read_json_documents(spark: SparkSession, pattern: str, schema: str) -> DataF
 
 
 def ordered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, line) without blank lines and comments. Lists are small driver inputs; pos follows the file's splits."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("pos"), F.trim("value").alias("line"))
+    """(pos, line) without blank lines and comments; pos orders the lines by file, by place of the split and within it."""
+    pos = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
+    lines = spark.read.text(path).select(pos.alias("pos"), F.trim("value").alias("line"))
     return lines.filter("line <> '' and not startswith(line, '#')")
 
 

@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ids import nul_joined
 from ..operators.metadata import last_wins
+from ..operators.state import replay
 from .readers import exists
 
 c = F.col
 
 
+def kept(df: DataFrame, tag: str) -> DataFrame:
+    """The rows written to the folder in spark.checkpoint.dir and read again, so that they are made once; as they are where it is unset."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df
+    path = f"{folder.rstrip('/')}/quillstone-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_jsonl(df: DataFrame, path: str) -> None:
     df.select(*sorted(df.columns)).write.mode("append").json(path)
 
@@ -22,21 +35,87 @@ def write_jsonl(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.schema(df.schema).json(path).count()
 
 
-def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: str, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> None:
-    """Merge rows into a Parquet table: written beside it, then put in its place, so that a reader sees either state."""
-    old = spark.read.parquet(path) if exists(spark, path) else new.limit(0)
-    out = merge(old, new) if merge else last_wins(old.unionByName(new), keys, [order])
-    out.write.mode("overwrite").parquet(f"{path}__next")
-    replace(spark, f"{path}__next", path)
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table that the pointer in ``path`` names; None before the first ``put``."""
+    version = pointed(spark, path)
+    return spark.read.parquet(f"{path}/{version}") if version else None
 
 
-def replace(spark: SparkSession, source: str, target: str) -> None:
+def pointed(spark: SparkSession, path: str) -> str | None:
+    """The version that the pointer in ``path`` names."""
+    if not exists(spark, f"{path}/_current"):
+        return None
     jvm = spark.sparkContext._jvm
-    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(dst, True)
-    if not fs.rename(src, dst):
-        raise OSError(f"cannot move {source} to {target}")
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
+    stream = pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(pointer)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put(df: DataFrame, path: str) -> None:
+    """Make ``df`` the table at ``path``: a new version is written, then the pointer is renamed over the old one, in one step.
+
+    A reader sees the old table or the new one, and a crash leaves the old one. Old versions stay for
+    readers that still use them; ``vacuum`` removes them.
+    """
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    point(df.sparkSession, path, version)
+
+
+def point(spark: SparkSession, path: str, version: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    draft, pointer = hadoop.Path(f"{path}/_next-{uuid.uuid4().hex}"), hadoop.Path(f"{path}/_current")
+    out = pointer.getFileSystem(conf).create(draft)
+    out.write(bytearray(version.encode()))
+    out.close()
+    over = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(pointer.getFileSystem(conf).getUri(), conf).rename(draft, pointer, over)
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Remove the versions that the pointer does not name; the number of them."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    now = pointed(spark, path)
+    old = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("version-") and f.getPath().getName() != now]
+    for found in old:
+        fs.delete(found, True)
+    return len(old)
+
+
+def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: str, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> None:
+    """Merge rows into the table at ``path``; a reader sees either state."""
+    old = current(spark, path)
+    old = new.limit(0) if old is None else old
+    put(merge(old, new) if merge else last_wins(old.unionByName(new), keys, [order]), path)
+
+
+def publish_build(spark: SparkSession, tables: dict[str, DataFrame], root: str, build_id: str) -> None:
+    """Replace one build in all tables at once, as one transaction would.
+
+    Registries (without build_id) are upserted by id, of the others the rows of the build are replaced. All
+    tables are written as one version, then one pointer is swung; ``published`` reads what it names.
+    """
+    version = f"version-{uuid.uuid4().hex}"
+    for name, new in tables.items():
+        old = published(spark, root, name)
+        if old is not None and "build_id" in new.columns:
+            new = old.filter(c("build_id") != build_id).unionByName(new, allowMissingColumns=True)
+        elif old is not None:
+            new = old.join(new.select(new.columns[0]), new.columns[0], "left_anti").unionByName(new, allowMissingColumns=True)
+        new.write.parquet(f"{root}/{version}/{name}")
+    point(spark, root, version)
+
+
+def published(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    version = pointed(spark, root)
+    return spark.read.parquet(f"{root}/{version}/{name}") if version and exists(spark, f"{root}/{version}/{name}") else None
 
 
 def replace_build(df: DataFrame, path: str) -> None:
@@ -45,12 +124,14 @@ def replace_build(df: DataFrame, path: str) -> None:
 
 
 def guarded_overwrite(df: DataFrame, path: str) -> None:
-    """Overwrite, unless that would leave a table with rows empty."""
+    """Overwrite the table at ``path``, unless that would leave a table with rows empty."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}__next")
-    if spark.read.parquet(f"{path}__next").isEmpty() and exists(spark, path) and not spark.read.parquet(path).isEmpty():
+    old = current(spark, path)
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    if old is not None and spark.read.schema(df.schema).parquet(f"{path}/{version}").isEmpty() and not old.isEmpty():
         raise ValueError("refusing to replace rows by none")
-    replace(spark, f"{path}__next", path)
+    point(spark, path, version)
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -64,6 +145,7 @@ def export_table(df: DataFrame, folder: str, name: str) -> None:
     out.write.mode("overwrite").option("header", True).csv(f"{folder}/csv/{name}")
 
 
+#: The columns of the state file, in its order.
 STATE_COLUMNS = ["paper_id", "overall_status", "current_stage", "last_successful_stage", "next_stage", "is_processable", "is_complete", "is_ready_for_export", "blocked_reason", "last_error_code", "last_error_message", "has_pdf", "has_markdown", "has_structured_paper", "has_structured_blocks", "has_paper_classification", "has_experiment_map", "has_canonical_evidence", "paper_family"]
 
 
@@ -71,21 +153,72 @@ def write_state_csv(df: DataFrame, path: str) -> None:
     df.select(*[x for x in STATE_COLUMNS if x in df.columns]).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_bibliography(entries: DataFrame, path: str) -> None:
-    """Entries as text, a blank line between them."""
+def write_bibliography(entries: DataFrame, path: str) -> dict[str, int]:
+    """Entries as text, a blank line between them; how many there are, and how many keys were changed to be unique."""
     entries.select(F.concat("entry", F.lit("\n")).alias("value")).write.mode("overwrite").text(path)
+    renamed = F.count_if(c("citekey") != c("base")) if "base" in entries.columns else F.lit(0)
+    n, changed = entries.agg(F.count("*"), renamed).first()
+    return {"entries": n, "renamed": changed}
 
 
-def deliver(df: DataFrame, sink: Callable[[DataFrame], None], outbox: str) -> bool:
-    """Write through ``sink``; if that fails, append the rows to the outbox for a replay."""
+def write_per_paper(rows: DataFrame, folder: str) -> int:
+    """One JSON text (paper_id, payload) per paper in its own folder, those that are there left out; how many were written.
+
+    The folders are what a run that stopped goes on from; a paper is dealt to one task.
+    """
+    spark = rows.sparkSession
+    if exists(spark, folder):
+        rows = rows.join(spark.read.option("basePath", folder).text(folder).select(c("paper_id").cast("string").alias("paper_id")).distinct(), "paper_id", "left_anti")
+    rows = kept(rows.select("paper_id", c("payload").alias("value")), "papers")
+    n = rows.count()
+    if n:
+        rows.repartition("paper_id").write.mode("append").partitionBy("paper_id").text(folder)
+    return n
+
+
+def deliver(df: DataFrame, sink: Callable[[DataFrame], None], outbox: str, batch: int | str | None = None, record_type: str = "record") -> bool:
+    """Write through ``sink``; if that fails, put the rows into the outbox for a replay.
+
+    With a ``batch`` number the rows have its folder, so that a batch that is delivered again is stored once.
+    """
+    batch = uuid.uuid4().hex if batch is None else batch
     try:
         sink(df)
         return True
     except Exception as e:  # noqa: BLE001  any failure of the store goes to the outbox
-        df.select(F.to_json(F.struct(*df.columns)).alias("payload"), F.lit(str(e)[:500]).alias("error"), F.lit(0).alias("attempt_count")).write.mode("append").json(outbox)
+        payload = F.to_json(F.struct(*df.columns))
+        rows = df.select(nul_joined("outbox", F.lit(record_type), payload).alias("outbox_id"), F.lit(record_type).alias("record_type"), payload.alias("payload"), F.lit(str(e)[:500]).alias("error"), F.lit(0).alias("attempt_count"))
+        rows.write.mode("overwrite").json(f"{outbox}/batch={batch}")
         return False
 
 
+def replay_outbox(outbox: DataFrame, delivered: DataFrame, sinks: dict[str, Callable[[DataFrame], None]], dry_run: bool = False) -> DataFrame:
+    """Deliver the outbox rows (outbox_id, record_type, payload, attempt_count) by type: the rows with outcome, error and attempts.
+
+    Delivered before: skipped. Empty payload or a type without a sink: failed. A sink gets the rows of its type; what it
+    raises is the error of these rows. A dry run calls no sink; its outcomes are what there is to do: ``pending``.
+    """
+    plan = kept(replay(outbox, delivered).withColumn("error", F.when(c("outcome") == "failed", "empty payload")), "replay")
+    out = [plan.filter("outcome <> 'delivered'")]
+    due = plan.filter("outcome = 'delivered'")
+    if dry_run:
+        return out[0].unionByName(due.withColumns({"outcome": F.lit("pending"), "attempt_count": c("attempt_count") - 1}))
+    for kind, sink in sinks.items():
+        rows = due.filter(c("record_type") == kind)
+        try:
+            if not rows.isEmpty():
+                sink(rows)
+            out.append(rows)
+        except Exception as e:  # noqa: BLE001  whatever the store raises is the outcome
+            out.append(rows.withColumns({"outcome": F.lit("failed"), "error": F.lit(str(e)[:500])}))
+    unknown = due.filter(~F.coalesce(c("record_type").isin(list(sinks)), F.lit(False)))
+    out.append(unknown.withColumns({"outcome": F.lit("failed"), "error": F.concat(F.lit("no sink for "), F.coalesce("record_type", F.lit("null")))}))
+    report = out[0]
+    for rows in out[1:]:
+        report = report.unionByName(rows)
+    return report
+
+
 def sample_bundle(sample: DataFrame, evidence: DataFrame, pdfs: DataFrame) -> DataFrame:
     """Manifest of sampled papers: rows of evidence and whether a PDF is there."""
     counts = evidence.groupBy("paper_id").agg(F.count("*").alias("n_evidence"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import idempotency_key
 from ..operators import state
 from ..sources.readers import exists
-from ..sources.sinks import deliver, replace
+from ..sources.sinks import current, deliver, put
 
 EVENT_DDL = "event_id string, attempt string, paper_id string, stage string, status string, event_type string, message string, event_at timestamp"
 
@@ -28,9 +29,8 @@ def once(events: DataFrame, delay: str = "1 day") -> DataFrame:
 def merge_states(spark: SparkSession, path: str, changes: DataFrame, keys: list[str]) -> None:
     """Fold changes into the state table. A batch that is delivered again leaves the same state."""
     new = state.fold(state.events_to_states(changes), keys).drop("n_events")
-    old = spark.read.parquet(path) if exists(spark, path) else new.limit(0)
-    state.fold(old.unionByName(new, allowMissingColumns=True), keys).drop("n_events").write.mode("overwrite").parquet(f"{path}__next")
-    replace(spark, f"{path}__next", path)
+    old = current(spark, path)
+    put(state.fold(new if old is None else old.unionByName(new, allowMissingColumns=True), keys).drop("n_events"), path)
 
 
 def run_state(events: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("attempt", "paper_id")):
@@ -44,15 +44,16 @@ def run_state(events: DataFrame, path: str, checkpoint: str, keys: tuple[str, ..
 
 def run_delivery(events: DataFrame, sink: Callable[[DataFrame], None], outbox: str, checkpoint: str):
     """Deliver at least once: what the sink refuses lands in the outbox."""
-    return events.writeStream.foreachBatch(lambda df, _: deliver(df, sink, outbox) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return events.writeStream.foreachBatch(lambda df, n: deliver(df, sink, outbox, n) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def incremental(spark: SparkSession, source: DataFrame, process: Callable[[DataFrame], DataFrame], done: str, key: str = "paper_id") -> DataFrame:
-    """Rows not done before, processed and recorded: a run that stopped goes on where it was."""
+    """Rows not done before, processed and recorded: a run that stopped goes on where it was. What is returned is read back, not made again."""
     left = source.join(spark.read.parquet(done).select(key).distinct(), key, "left_anti") if exists(spark, done) else source
-    out = process(left)
-    out.write.mode("append").parquet(done)
-    return out
+    run = uuid.uuid4().hex
+    out = process(left).withColumn("run", F.lit(run))
+    out.write.mode("append").partitionBy("run").parquet(done)
+    return spark.read.schema(out.schema).parquet(done).filter(F.col("run") == run).drop("run")
 
 
 def windowed_counts(events: DataFrame, every: str = "1 hour", delay: str = "1 day") -> DataFrame:

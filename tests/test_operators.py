@@ -114,10 +114,8 @@ def item(n, **over):
 def derive(spark, items, design="rct"):
     ev = evidence(spark, items)
     scopes = spark.createDataFrame([(p, "s1", None, 0, design) for p in {i[1] for i in items}], "paper_id string, study_id string, experiment_scope_id string, ordinal int, study_design string")
-    ex = E.registry(ev.select(c("raw_exposure").alias("term"), "ordinal"), "exposure", T.EXPOSURE_KINDS)
-    ou = E.registry(ev.select(F.explode("raw_outcomes").alias("term"), "ordinal"), "outcome", T.OUTCOME_KINDS)
-    rows = E.projections(ev, scopes, ex, ou, "b1")
-    return ex, rows, E.general_evidence(rows, ex, ou, "b1")
+    tables = E.build(ev, scopes, "b1")
+    return tables["exposure_registry"], tables["evidence_projections"], tables["general_evidence"]
 
 
 def test_derivation(spark):
@@ -143,6 +141,94 @@ def test_animal_and_counts(spark):
     assert (s.consensus_level, s.recommendation_use, s.causal_language_allowed, s.dominant_direction) == ("strong", "directly_usable", True, "decrease")
 
 
+def test_context_and_equal_outcomes(spark):
+    """The context parts groups and votes, whatever the order of its keys; outcomes with one canonical name are one projection."""
+    ev = evidence(spark, [item(1, outcomes=["BMI intake", "bmi", "LDL"]), item(2, outcomes=["bmi"]), item(3, outcomes=["bmi"])])
+    maps = {"c1": {"b": "x", "a": "\u00e9"}, "c2": {"a": "\u00e9", "b": "x"}, "c3": None}
+    contexts = spark.createDataFrame(list(maps.items()), "canonical_evidence_id string, context_identity map<string,string>")
+    scopes = spark.createDataFrame([(f"p{n}", "s1", None, 0, "rct") for n in (1, 2, 3)], "paper_id string, study_id string, experiment_scope_id string, ordinal int, study_design string")
+    tables = E.build(ev.join(contexts, "canonical_evidence_id"), scopes, "b1")
+    assert tables["evidence_projections"].count() == tables["evidence_projections"].select("projection_id").distinct().count() == 4
+    got = {(r.outcome_id, r.context_json): r for r in tables["general_evidence"].collect()}
+    text = json.dumps(maps["c1"], ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    assert {k: r.paper_count for k, r in got.items()} == {("outcome.bmi", text): 2, ("outcome.bmi", "{}"): 1, ("outcome.ldl", text): 1}
+    want = json.dumps(["b1", "exposure.egg", "outcome.bmi", "human", None, text], ensure_ascii=False, separators=(",", ":"))
+    assert got["outcome.bmi", text].general_evidence_id == "general_evidence_" + hashlib.sha256(want.encode()).hexdigest()
+    first = {r.canonical_name: r.aliases for r in tables["outcome_registry"].collect()}
+    assert first["bmi"] == ["BMI intake"]  # first in scan order, also within a list
+    empty = E.build(ev.limit(0), scopes, "b1")
+    assert all(df.count() == 0 for df in empty.values())
+
+
+def test_published_build_id(spark):
+    items = [{"canonical_evidence_id": "c2", "z": [1, {"b": 1, "a": None}], "t": "\u00e9 \\"}, {"canonical_evidence_id": "c1", "n": 1.5}]
+    maps = [{"paper_id": "p", "experiment_scopes": []}]
+    body = [sorted(items, key=lambda x: x["canonical_evidence_id"]), maps]
+    want = "evidence_build_" + hashlib.sha256(json.dumps(body, ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    frame = lambda rows, key: spark.createDataFrame([(r[key], json.dumps(r)) for r in rows], "id string, item string").repartition(3)
+    assert E.published_build_id(frame(items, "canonical_evidence_id"), frame(maps, "paper_id")) == want
+
+
+def test_quantitative_and_items(spark):
+    rows = spark.createDataFrame([(None, None, None), ("", "", []), ("x", None, None), (None, "s", None), (None, None, [1.0])], "a string, b string, v array<double>")
+    assert [r.y for r in rows.select(rules.has_quantitative(c("a"), c("b"), c("v")).alias("y")).collect()] == [False, False, True, True, True]
+    papers = spark.createDataFrame([("p", [("e1", 1), None, ("e2", 2)]), ("q", None), ("r", [])], "paper_id string, canonical_evidence array<struct<id: string, n: int>>")
+    assert sorted(map(tuple, E.evidence_items(papers).collect())) == [("e1", 1), ("e2", 2)]
+
+
+def test_published_tables(spark, tmp_path):
+    """A build is replaced in all tables by one pointer; other builds and registry rows stay."""
+    root = str(tmp_path / "store")
+    scopes = spark.createDataFrame([("p1", "s1", None, 0, "rct")], "paper_id string, study_id string, experiment_scope_id string, ordinal int, study_design string")
+    tables = lambda b, **over: E.build(evidence(spark, [item(1, **over)]), scopes, b)
+    for b, over in (("b1", {}), ("b2", {"exposure": "Sleep"}), ("b1", {"outcomes": ["BMI", "glucose"]})):
+        K.publish_build(spark, tables(b, **over), root, b)
+    rows = K.published(spark, root, "evidence_projections")
+    assert sorted((r.build_id, r.outcome_id) for r in rows.collect()) == [("b1", "outcome.bmi"), ("b1", "outcome.glucose"), ("b2", "outcome.ldl_cholesterol")]
+    assert sorted(r.exposure_id for r in K.published(spark, root, "exposure_registry").collect()) == ["exposure.egg", "exposure.sleep"]
+    assert K.vacuum(spark, root) == 2 and rows.sparkSession.read.parquet(f"{root}/*/general_evidence").count() == 3
+    assert K.published(spark, root, "nothing") is None
+
+
+def test_replay_delivers(spark, tmp_path):
+    rows = spark.createDataFrame([("o1", "paper", '{"a": 1}', 1), ("o2", "paper", "{}", 0), ("o3", "event", '{"b": 2}', 0), ("o4", "odd", '{"c": 3}', 0), ("o5", "paper", '{"d": 4}', 2)], "outbox_id string, record_type string, payload string, attempt_count int")
+    got = []
+
+    def down(_):
+        raise OSError("down")
+
+    sinks = {"paper": lambda df: got.extend(r.payload for r in df.collect()), "event": down}
+    seen = rows.filter("outbox_id = 'o5'")
+    dry = {r.outbox_id: (r.outcome, r.attempt_count) for r in K.replay_outbox(rows, seen, sinks, dry_run=True).collect()}
+    assert not got and dry["o1"] == ("pending", 1) and dry["o2"] == ("failed", 1)
+    done = {r.outbox_id: (r.outcome, r.error, r.attempt_count) for r in K.replay_outbox(rows, seen, sinks).collect()}
+    assert got == ['{"a": 1}']
+    assert done == {"o1": ("delivered", None, 2), "o2": ("failed", "empty payload", 1), "o3": ("failed", "down", 1), "o4": ("failed", "no sink for odd", 1), "o5": ("skipped", None, 2)}
+
+
+def test_citekeys_that_are_taken(spark):
+    """Against the loop over rows in order, with natural keys that look like successors."""
+    r = random.Random(3)
+    rows = [f"{r.choice(['a', 'a:1', 'a 1', 'a_1_1', 'b', 'b:2', 'c d', 'c:d', 'e_7'])}{r.choice(['', ':', '::'])}" for _ in range(60)]
+    lake = spark.createDataFrame([(x, "keep", "10.1/x") for x in set(rows)], "metadata_id string, decision string, doi string")
+    used, want = set(), {}
+    for x in sorted(set(rows)):
+        base = re.sub("[^A-Za-z0-9]+", "_", x).strip("_") or "paper"
+        key, n = base, 0
+        while key in used:
+            n += 1
+            key = f"{base}_{n}"
+        used.add(key)
+        want[x] = key
+    assert {r.metadata_id: r.citekey for r in D.bibliography(lake).collect()} == want
+
+
+def test_last_decision(spark):
+    found = spark.createDataFrame([("a", "keep", 1), ("a", "drop", 2), ("b", "drop", 1), ("b", "odd", 2)], "candidate_id string, decision string, n int")
+    got = {r.candidate_id: r.decision for r in D.decisions(spark.createDataFrame([("a",), ("b",), ("c",)], "candidate_id string"), found, "n").collect()}
+    assert got == {"a": "drop", "b": "drop", "c": "uncertain"}
+
+
 def test_conclusion_guard(spark):
     row = spark.createDataFrame([(False, "usable_with_caveat", "mixed", "decrease", "It reduces risk.")], "causal_language_allowed boolean, recommendation_use string, consensus_level string, dominant_direction string, t string")
     assert row.select(rules.conclusion_faults(c("t")).alias("x")).first().x == ["causal wording is not allowed", "mixed evidence conclusion must mention conflict"]
@@ -195,13 +281,21 @@ def test_sources_and_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("k1", "b1", 1, ["x"]), ("k2", "b2", 1, ["y"])], "k string, build_id string, t int, l array<string>")
     K.upsert_table(spark, f"{p}/table", rows, ["k"], "t")
     K.upsert_table(spark, f"{p}/table", rows.filter("k = 'k1'").withColumn("t", F.lit(5)), ["k"], "t")
-    assert sorted((r.k, r.t) for r in spark.read.parquet(f"{p}/table").collect()) == [("k1", 5), ("k2", 1)]
+    assert sorted((r.k, r.t) for r in K.current(spark, f"{p}/table").collect()) == [("k1", 5), ("k2", 1)]
     K.replace_build(rows, f"{p}/builds")
     K.replace_build(rows.filter("build_id = 'b1'").withColumn("t", F.lit(9)), f"{p}/builds")
     assert sorted((r.build_id, r.t) for r in spark.read.parquet(f"{p}/builds").collect()) == [("b1", 9), ("b2", 1)]
     K.guarded_overwrite(rows, f"{p}/guarded")
     with pytest.raises(ValueError):
         K.guarded_overwrite(rows.limit(0), f"{p}/guarded")
+    assert K.current(spark, f"{p}/guarded").count() == 2
+    papers = rows.select(c("k").alias("paper_id"), F.to_json(F.struct("t")).alias("payload"))
+    assert [K.write_per_paper(papers, f"{p}/papers") for _ in range(2)] == [2, 0]
+    assert K.write_bibliography(spark.createDataFrame([("a", "a", "x"), ("a_1", "a", "y")], "citekey string, base string, entry string"), f"{p}/bib") == {"entries": 2, "renamed": 1}
+    (tmp_path / "two").mkdir()
+    for n, lines in (("b.txt", "3\n4\n"), ("a.txt", "1\n2\n")):
+        (tmp_path / "two" / n).write_text(lines)
+    assert [r.line for r in R.ordered_lines(spark, f"{p}/two").orderBy("pos").collect()] == ["1", "2", "3", "4"]
     K.export_table(rows, p, "export")
     assert spark.read.option("header", True).csv(f"{p}/csv/export").orderBy("k").first().l == '["x"]'
     assert K.write_jsonl(rows, f"{p}/out") == 2
