@@ -40,6 +40,13 @@ def read_json_documents(spark: SparkSession, pattern: str, schema: str) -> DataF
     return df.withColumn("folder", F.regexp_extract(c("_metadata.file_path"), r"^(.*)/[^/]*$", 1))
 
 
+def join_siblings(documents: DataFrame, siblings: DataFrame, columns: list[str]) -> DataFrame:
+    """Documents with the columns of the sibling in the folder of the same name; null where there is none."""
+    name = lambda df: F.regexp_extract(df["folder"], r"([^/]*)$", 1).alias("__name")
+    other = siblings.select(name(siblings), *columns).dropDuplicates(["__name"])
+    return documents.select(*[x for x in documents.columns if x not in columns], name(documents)).join(other, "__name", "left").drop("__name")
+
+
 def ordered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(pos, line) without blank lines and comments; pos orders the lines by file, by place of the split and within it."""
     pos = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
@@ -144,6 +151,26 @@ def call_port(df: DataFrame, port: Callable[[dict], dict], ddl: str) -> DataFram
     return df.mapInPandas(run, f"{ddl}, error string")
 
 
+def read_paged(requests: DataFrame, fetch: Callable[[dict, int, int], list[dict]], ddl: str, size: int = 100) -> DataFrame:
+    """All rows of a paged service for each request: ``fetch(request, offset, size)`` is called until a page is not full.
+
+    The request's columns, limits of a filter among them, go to the service, which applies them. Rows leave page by page.
+    """
+    ship(requests.sparkSession)
+    names = [f.name for f in requests.sparkSession.createDataFrame([], ddl).schema]
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in it:
+            for request in frame.to_dict("records"):
+                offset, page = 0, None
+                while page is None or len(page) == size:
+                    page = fetch(request, offset, size)
+                    offset += len(page)
+                    yield pd.DataFrame([{**request, **row} for row in page], columns=names)
+
+    return requests.mapInPandas(run, ddl)
+
+
 def call_port_in_order(df: DataFrame, key: str, order: str, port: Callable[[dict, dict | None], dict], ddl: str) -> DataFrame:
     """Rows of a key one after another, each with what the one before gave: batches that carry context."""
     ship(df.sparkSession)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -16,12 +17,20 @@ from .readers import exists
 c = F.col
 
 
-def kept(df: DataFrame, tag: str) -> DataFrame:
-    """The rows written to the folder in spark.checkpoint.dir and read again, so that they are made once; as they are where it is unset."""
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder's name under spark.checkpoint.dir. Where that is unset, a temporary one on a single machine; an error on a cluster."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        return df
-    path = f"{folder.rstrip('/')}/quillstone-{tag}-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="quillstone-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return f"{folder.rstrip('/')}/quillstone-{tag}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, tag: str) -> DataFrame:
+    """The rows written to the folder in spark.checkpoint.dir and read again, so that they are made once."""
+    path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,11 +1,11 @@
 import pytest
 
-from quillstone.plans import records, registry
+from quillstone.plans import files, records, registry
 
 from .conftest import against_sql
 
 
-assert records.NOW
+assert records.NOW and files.c  # they add their queries
 
 
 @pytest.mark.parametrize("name", list(registry.ORACLE_SQL))
