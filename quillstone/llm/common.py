@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from ..sources.sinks import scratch
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -30,18 +29,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="quillstone-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 def written(df: DataFrame, tag: str) -> DataFrame:
-    """Write as Parquet into the shared folder and read again: lineage ends, lost executors cost nothing."""
-    path = f"{shared_dir(df.sparkSession)}/quillstone-{tag}-{uuid.uuid4().hex}"
+    """Write as Parquet into the folder in spark.checkpoint.dir and read again: lineage ends, lost executors cost nothing.
+
+    Where that is unset, a temporary folder takes its place on a single machine, as in tests; on a cluster it is an error.
+    """
+    path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -14,8 +14,9 @@ from .common import crc_mod, prepare, rows_of, table
 
 WINDOW = 256
 WIDTHS, FILTERS, CLASSES = (2, 3, 4), 16, 160
-#: Bound of the labelled rows a model is fitted on: about so many for each language, and characters of each.
-PER_LANGUAGE, SAMPLE_CHARS = 1500, 1024
+#: Bound of the labelled rows a model is fitted on: about so many for each language. Texts up to so many characters are
+#: learnt whole; of a longer one, a run of that length from a place that its hash chooses. None learns all of every text.
+PER_LANGUAGE, SAMPLE_CHARS = 800, 16_384
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 UND = "und"
 
@@ -128,21 +129,24 @@ def predict(model: Model, texts: list[bytes], step: int = 48) -> np.ndarray:
     return _softmax(total / np.maximum(1, np.bincount(owner, weights=letters, minlength=len(texts)))[:, None])
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model | None:
-    """Fit on a hash-chosen sample of the labelled rows, about ``per_language`` for each language.
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, sample_chars: int | None = SAMPLE_CHARS) -> Model | None:
+    """Fit on a hash-chosen sample of the labelled rows, about ``per_language`` for each language, the same in every run.
 
-    A row's sampled characters begin at a place that its hash chooses in the text.
+    ``sample_chars`` bounds what one text brings to the driver, so that a very long one does no harm; None takes all of it.
     """
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
     if not counts:
         return None
     share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, per_language / n)))])
-    h = F.xxhash64(F.col(id_col))
+    h = F.xxhash64(F.col(id_col), F.col(text_col))
     chosen = rows.filter(F.pmod(h, F.lit(1 << 20)) < share[F.col(lang_col)] * (1 << 20))
-    start = 1 + F.pmod(F.shiftright(h, 20), F.greatest(F.lit(1), F.length(text_col) - SAMPLE_CHARS + 1)).cast("int")
     bound = int(1.2 * per_language * len(counts)) + 100
-    sample = chosen.select(F.col(lang_col), F.substring(F.col(text_col), start, F.lit(SAMPLE_CHARS))).limit(bound).collect()
+    text = F.col(text_col)
+    if sample_chars is not None:
+        start = 1 + F.pmod(F.shiftright(h, 20), F.greatest(F.lit(1), F.length(text_col) - sample_chars + 1)).cast("int")
+        text = F.substring(text, start, F.lit(sample_chars))
+    sample = chosen.select(F.col(lang_col), text, h.alias("h")).orderBy("h").limit(bound).collect()
     return train(sorted((r[0], r[1]) for r in sample))
 
 

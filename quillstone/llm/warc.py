@@ -46,6 +46,14 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return packer.compress(raw) + packer.flush()
 
 
+def info(name: str, date: str = DATE) -> bytes:
+    """The warcinfo record that begins an archive."""
+    block = b"software: quillstone\r\nformat: WARC File Format 1.1\r\n"
+    fields = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:archive:{name}>"), ("WARC-Date", date), ("WARC-Filename", name), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"), ("Content-Type", "application/warc-fields"), ("Content-Length", str(len(block)))]
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return packer.compress(b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + block + b"\r\n\r\n") + packer.flush()
+
+
 def members(content: bytes, step: int = 1 << 16) -> Iterator[bytes]:
     """The gzip members of an archive, decompressed step by step."""
     at, rest = 0, b""
@@ -89,6 +97,8 @@ _READ_DDL = "page_id long, payload_bytes long, payload_digest string, record_typ
 def read_records(content: bytes) -> Iterator[tuple]:
     for raw in members(content):
         fields, block = parse(raw)
+        if fields["warc-type"] not in ("response", "revisit"):
+            continue
         http, _, payload = block.partition(b"\r\n\r\n")
         digest, kind = fields["warc-payload-digest"].removeprefix("sha256:"), fields["warc-type"]
         size = int(re.search(rb"(?i)\r\ncontent-length: *(\d+)", http)[1])
@@ -97,43 +107,81 @@ def read_records(content: bytes) -> Iterator[tuple]:
         yield _page(fields["warc-record-id"]), size, digest, kind, _page(fields.get("warc-refers-to", "")), fields["warc-target-uri"], payload if kind == "response" else None
 
 
+def _archives(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """(name, content) of a task's archives, each closed when its records exceed ARCHIVE_BYTES."""
+    pid, n, size, kept = TaskContext.get().partitionId(), 0, 0, []
+    for batch in it:
+        for page_id, url, payload, first in rows_of(batch):
+            name = f"{pid:06d}-{n:06d}.warc.gz"
+            kept = kept or [info(name)]
+            kept.append(record(page_id, url, payload, first))
+            size += len(kept[-1])
+            if size >= ARCHIVE_BYTES:
+                yield name, b"".join(kept)
+                kept, size, n = [], 0, n + 1
+    if kept:
+        yield f"{pid:06d}-{n:06d}.warc.gz", b"".join(kept)
+
+
 def _write(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pid = TaskContext.get().partitionId()
+    yield from batches(_archives(it), pa.schema([("name", pa.string()), ("content", pa.binary())]))
+
+
+def _store(folder: str):
+    """Writes a task's archives as files; a file gets its name when it is whole, so that a task that runs again changes nothing."""
 
-    def out() -> Iterator[tuple]:
-        kept, size, n = [], 0, 0
-        for batch in it:
-            for page_id, url, payload, first in rows_of(batch):
-                kept.append(record(page_id, url, payload, first))
-                size += len(kept[-1])
-                if size >= ARCHIVE_BYTES:
-                    yield f"{pid:06d}-{n:06d}.warc.gz", b"".join(kept)
-                    kept, size, n = [], 0, n + 1
-        if kept:
-            yield f"{pid:06d}-{n:06d}.warc.gz", b"".join(kept)
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
 
-    yield from batches(out(), pa.schema([("name", pa.string()), ("content", pa.binary())]))
+        store, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store.create_dir(base, recursive=True)
+        attempt = TaskContext.get().taskAttemptId()
+
+        def out() -> Iterator[tuple]:
+            for name, content in _archives(it):
+                draft = f"{base}/_{attempt}-{name}"
+                with store.open_output_stream(draft, compression=None) as f:
+                    f.write(content)
+                store.move(draft, f"{base}/{name}")
+                yield name, len(content)
+
+        yield from batches(out(), pa.schema([("name", pa.string()), ("bytes", pa.int64())]))
+
+    return run
 
 
 def _read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from batches((r for b in it for content in b.column(0).to_pylist() for r in read_records(content)), _READ)
 
 
-def write_archives(pages: DataFrame) -> DataFrame:
-    """Archives (name, content) of ``pages`` (page_id, url, html).
-
-    Null html is an empty payload, a null url an empty one. Of records with equal payloads of at least
-    REVISIT_BYTES bytes the smallest page_id is the response; rows that repeat that id are responses
-    too. If all ids of a group are null, all are responses. An empty table gives no archive.
-    """
+def _deduplicated(pages: DataFrame) -> DataFrame:
+    """(page_id, url, payload, first): first is the response that a revisit refers to."""
     prepare(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), utf8(F.col("html")).alias("payload"))
     rows = rows.withColumn("digest", F.when(F.octet_length("payload") >= REVISIT_BYTES, F.sha2("payload", 256)))
-    groups = rows.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    groups = written(groups.filter("n > 1").select("digest", "first"), "payloads")
+    groups = rows.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("size"))
+    groups = written(groups.filter("size > 1"), "payloads")
     joined = join_small(rows, groups, ["digest"], "left")
     first = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return joined.select("page_id", "url", "payload", first.alias("first")).mapInArrow(_write, "name string, content binary")
+    return joined.select("page_id", "url", "payload", first.alias("first"))
+
+
+def write_archives(pages: DataFrame) -> DataFrame:
+    """Archives (name, content) of ``pages`` (page_id, url, html), each with a warcinfo record first.
+
+    Null html is an empty payload, a null url an empty one. Of records with equal payloads of at least
+    REVISIT_BYTES bytes the smallest page_id is the response; rows that repeat that id are responses
+    too. If all ids of a group are null, all are responses. An empty table gives no archive. Other columns are not read.
+    """
+    return _deduplicated(pages).mapInArrow(_write, "name string, content binary")
+
+
+def write_files(pages: DataFrame, folder: str) -> DataFrame:
+    """The same archives as .warc.gz files in a folder that all executors reach (a path or a URI): (name, bytes) of each.
+
+    ``spark.read.format("binaryFile")`` brings them to ``read_archives``, and any other WARC reader opens them.
+    """
+    return written(_deduplicated(pages).mapInArrow(_store(folder), "name string, bytes long"), "files")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:

@@ -98,6 +98,26 @@ def test_shards_awkward(spark, awkward, empty):
     assert sharding.extendible_shards(empty).count() == 0
 
 
+def test_write_shards(spark, tmp_path):
+    """Folders hold what the directory says; rows that share a key lie together, also over the limit, also without a key."""
+    rows = [(n % 40, "x" * (n % 7 * 10)) for n in range(200)] + [(None, "y" * 90)] * 3
+    source = docs(spark, rows)
+    sharding.write_shards(source, str(tmp_path / "shards"), limit=400)
+    want = {}
+    for r in sharding.extendible_shards(source, limit=400).collect():
+        want.setdefault(r.shard, []).append(r)
+        if r.overflow:
+            assert r.depth == sharding.BITS
+    for own in want.values():  # several rows on one key: sums still hold
+        assert sum(r.n_bytes for r in own) == own[0].shard_bytes and len(own) == own[0].shard_docs
+    from pyspark.sql import functions as F
+
+    back = spark.read.schema(f"{DOCS}, shard string").parquet(str(tmp_path / "shards"))
+    assert back.count() == len(rows)
+    got = {r.shard: (r.n, r.b) for r in back.groupBy("shard").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).collect()}
+    assert got == {s: (len(own), own[0].shard_bytes) for s, own in want.items()}
+
+
 # 3: near duplicates
 
 
@@ -644,6 +664,22 @@ def test_warc_records(spark):
     assert warc.read_archives(warc.write_archives(pages.limit(0))).count() == 0
 
 
+def test_warc_files(spark, tmp_path):
+    """Real files, also for a reader that knows nothing of this package; extra columns of clashing names; a long page."""
+    import gzip
+
+    rows = [(n, f"http://h/{n}", ("page " * 40 + str(n % 5)) if n else "z" * 2_000_000, 1, "d", "f") for n in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, size long, digest string, first string").repartition(3)
+    files = warc.write_files(pages, str(tmp_path / "warc")).collect()
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(str(tmp_path / "warc"))
+    assert len(files) == found.count() > 1 and {r.path.rsplit("/", 1)[1]: r.length for r in found.select("path", "length").collect()} == {f.name: f.bytes for f in files}
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_archives(found).collect()}
+    least = {n: next(k for k in range(1, 30) if k % 5 == n % 5) for n in range(1, 30)}
+    assert got == {0: ("response", None)} | {n: ("response", None) if m == n else ("revisit", m) for n, m in least.items()}
+    raw = b"".join(gzip.decompress((tmp_path / "warc" / f.name).read_bytes()) for f in files)
+    assert raw.count(b"WARC-Type: warcinfo\r\n") == len(files) and raw.count(b"WARC-Type: re") == 30
+
+
 def test_warc_broken():
     good = warc.record(1, "u", b"payload", None)
     assert len(list(warc.read_records(good + warc.record(2, "u", b"x" * 200_000, None)))) == 2
