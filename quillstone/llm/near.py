@@ -27,7 +27,7 @@ DEPTHS, LONG = (4, 8, 12), 512
 #: The same share for their sketches of LONG bytes.
 LONG_SIMILAR = 0.71
 #: Documents of a cell in which a crowded node is compared; with more than WIDE cells' outside the largest component it branches on.
-OUTSIDE, WIDE = 2048, 4
+OUTSIDE, WIDE = 1024, 8
 
 _RNG = np.random.default_rng(3)
 _A = _RNG.integers(1, 1 << 62, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

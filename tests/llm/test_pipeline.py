@@ -42,6 +42,13 @@ def test_stages_on_awkward_rows(spark, sf_dir):
         assert bool(found.count()) == bool(rows)
 
 
+def test_language_stage_without_labels(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    rows = docs(spark, [(1, "some words"), (2, "123"), (3, None)]).withColumn("lang", F.lit(None).cast("string"))
+    assert dict(cp.STAGES)["language_id"](spark, rows, sf_dir).count() == 3
+
+
 def test_near_dedup_drops_rows_not_identifiers(spark, sf_dir):
     """A repeated identifier with a copy and a unique text, and copies without one."""
     copy, unique = " ".join(f"w{k}" for k in range(60)), " ".join(f"u{k}" for k in range(60))
