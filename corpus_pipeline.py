@@ -18,8 +18,14 @@ LEAST_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised, by a model fitted on the labelled ones; lang holds the label as it was."""
-    found = language.identify(docs, language.fit(docs), into=("__lang", "__score"))
+    """Documents whose language is recognised, by a model fitted on the labelled ones; lang holds the label as it was.
+
+    Without any labelled document there is no model to reject by, and all documents stay.
+    """
+    model = language.fit(docs)
+    if model is None:
+        return docs
+    found = language.identify(docs, model, into=("__lang", "__score"))
     return found.filter((F.col("__lang") != language.UND) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
 
 
