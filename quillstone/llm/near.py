@@ -76,8 +76,9 @@ class Shingler:
 def signature(items: np.ndarray, a: np.ndarray = _A, b: np.ndarray = _B) -> np.ndarray:
     """Minwise values of a non-empty set, one for each function."""
     low = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(items), 4096):
-        part = items[k : k + 4096]
+    step = 4096 * HASHES // len(a)
+    for k in range(0, len(items), step):
+        part = items[k : k + step]
         low = np.minimum(low, ((part[None] * a[:, None] + b[:, None]) >> np.uint64(11)).min(axis=1))
     return low
 

@@ -26,7 +26,7 @@ REDACTED = "[SECRET]"
 CONTEXT = 32
 #: Texts of labelled findings that the transitions and the forest are fitted on, at most.
 FINDINGS = 8000
-TREES, DEPTH, SEED = 24, 8, 8
+TREES, DEPTH, SEED = 16, 7, 8
 SECRET_WORDS = "token|secret|passw|pwd|api[_-]?key|apikey|auth|credential|bearer|private|access[_-]?key"
 HARMLESS_WORDS = "commit|sha1|sha256|md5|digest|checksum|hash|uuid|guid|etag|revision|version|build|isbn|doi|page|file|url|href|order|invoice|phone"
 #: Common words and parts of names; ``Forest`` takes other ones.
@@ -255,7 +255,7 @@ def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str
     repeated rows give repeated findings; an empty table gives none. Other columns are not read. Whole
     texts are cut at their candidates, without joins or shuffles, in time linear in the candidates.
     """
-    cut = docs.select(F.col(id_col), _path(path_col).alias("__path"), _cut(F.col(text_col)).alias("__cut")).filter(F.size("__cut.found") > 0)
+    cut = docs.select(F.col(id_col), _path(path_col).alias("__path"), _cut(F.col(text_col)).alias("__cut"))
     lengths = F.zip_with("__cut.gaps", "__cut.found", lambda g, x: (F.length(g) + F.coalesce(F.length(x), F.lit(0))).cast("long"))
     found = _scored(cut, forest).withColumn("__starts", _starts(lengths))
     rows = F.zip_with(F.zip_with("__cut.found", "__p", lambda x, p: F.struct(x.alias("x"), p.alias("p"))), F.zip_with("__starts", "__cut.gaps", lambda s, g: s + F.length(g)), lambda a, s: F.struct(a["x"].alias("x"), a["p"].alias("p"), s.alias("s")))
