@@ -53,7 +53,9 @@ FEATURES = ["length", "digits", "uppers", "others", "different", "letter_odds",
 
 
 def _table(values: list) -> Column:
-    return F.array(*map(F.lit, values))
+    """Array of numbers or strings, all of one type, written as one string: a plan of few nodes, which the optimizer folds to a literal."""
+    kind = {int: "int", float: "double", str: "string"}[type(values[0])]
+    return F.split(F.lit("\x1f".join(map(str, values))), "\x1f").cast(f"array<{kind}>")
 
 
 def _letters(word: Column) -> Column:
@@ -113,12 +115,13 @@ def example_texts(spark: SparkSession, n: int = FINDINGS, first: int = 0) -> Dat
     words such as ``commit``; and keys and passwords after a secret's name in files of tests.
     """
     c, lit = F.col, F.lit
-    pick = lambda salt, *xs: F.element_at(F.array(*[x if isinstance(x, Column) else lit(x) for x in xs]), (1 + F.pmod(F.xxhash64("id", lit(salt)), lit(len(xs)))).cast("int"))
+    at = lambda salt, n: (1 + F.pmod(F.xxhash64("id", lit(salt)), lit(n))).cast("int")
+    pick = lambda salt, *xs: F.element_at(F.array(*[x if isinstance(x, Column) else lit(x) for x in xs]) if any(isinstance(x, Column) for x in xs) else _table(xs), at(salt, len(xs)))
     number = lambda salt, below: F.pmod(F.xxhash64("id", lit(salt)), lit(below)).cast("string")
     syllables = "an be cor de el fi gra ho in ju kel lo mer no or pe qui ra so ti ur ve wa yo the ing tion ment ness ver ein ung keit heit lich schaft ach eau aire oux ette ci\u00f3n dad mente os ble er st th ch".split()
     odd = lambda salt, n=3: F.concat(*[pick(f"{salt}{k}", *syllables) for k in range(n)])
     word = lambda salt: F.when(F.pmod(F.xxhash64("id", lit(salt)), lit(3)) == 0, pick(f"d{salt}", *DICTIONARY[::3])).otherwise(odd(salt))
-    cut = lambda x, *sizes: pick("size", *[F.substring(x, 1, s) for s in sizes])
+    cut = lambda x, *sizes: F.substr(x, lit(1), pick("size", *sizes))
     h = F.sha2(F.concat(lit("finding"), c("id").cast("string")).cast("binary"), 512)
     mixed = F.translate(F.base64(F.unhex(h)), "=\n", "xQ")
     plain = F.translate(mixed, "+/", "pZ")
@@ -148,10 +151,11 @@ def example_texts(spark: SparkSession, n: int = FINDINGS, first: int = 0) -> Dat
         "hex": [name, name, prose], "mixed": [name, prose], "upper": [name, prose], "letters": [name, prose], "password": [name], "block": [prose, name, told], "user": [user], "prefixed": [name, told, prose],
         "uuid": [told, prose], "digest": [told], "file": [name, told, prose], "date": [name, told, prose], "version": [name, told, prose], "address": [name, told, prose], "number": [name, told, prose], "placeholder": [name, name, prose], "identifier": [name, told, prose], "compound": [told, prose, prose, prose], "word": [name, told, prose],
     }
-    kinds = [(k, v, 1.0) for k, v in secrets.items()] * 5 + [(k, v, 0.0) for k, v in harmless.items()] * 4
     place = lambda k: pick(f"g{k}", *[pick(f"l{j}", *g) for j, g in enumerate(where[k])])
-    made = pick("kind", *[F.struct(v.alias("value"), place(k).alias("lead"), lit(y).alias("label"), lit(k in ("password", "hex", "mixed")).alias("fixture")) for k, v, y in kinds])
-    rows = spark.range(first, first + n, 1, 1).select("id", made.alias("x"), pick("path", "src0", "src7", "", "docs/readme.md", "tests/fixture.json", "test_login.py", "samples/mock_data.py", "app/settings.yaml", "web.conf", "lib/client.py").alias("path"))
+    one = lambda k, v, y: F.struct(v.alias("value"), place(k).alias("lead"), lit(y).alias("label"), lit(k in ("password", "hex", "mixed")).alias("fixture"))
+    kinds = spark.range(first, first + n, 1, 1).select("id", pick("kind", *[*secrets] * 5, *[*harmless] * 4).alias("kind"))
+    made = F.coalesce(*[F.when(c("kind") == k, one(k, v, float(k in secrets))) for k, v in (secrets | harmless).items()])
+    rows = kinds.select("id", made.alias("x"), pick("path", "src0", "src7", "", "docs/readme.md", "tests/fixture.json", "test_login.py", "samples/mock_data.py", "app/settings.yaml", "web.conf", "lib/client.py").alias("path"))
     quoted = F.regexp_extract("x.lead", "[\"']$", 0)
     after = F.when(c("x.lead").contains("://") & c("x.lead").endswith(":"), lit("@host.org/db")).otherwise(F.concat(quoted, pick("z", " and more words", ".", "\n", ", then others", " here")))
     mock = c("x.fixture") & F.lower("path").rlike(PATH_FLAGS["test_path"]) & c("x.lead").isin(name)
