@@ -96,17 +96,17 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The kept rows with all their columns, one of each group and one of repeated rows.
 
     With identifiers that are unique and not null, the dropped ones are anti-joined: as a broadcast within
-    the bound, so that texts are not shuffled again. Otherwise rows are told apart by identifier and text.
+    the bound, so that texts are not shuffled again. Otherwise rows are told apart by identifier and normalised text.
     """
     found = written(content_sort(docs, id_col, text_col, keep).select(F.col(id_col).alias("__id"), "kept", "text_sha256"), "found")
     plain = found.filter("__id is null").isEmpty() and found.groupBy("__id").count().filter("count > 1").isEmpty()
     if plain:
         gone = written(found.filter("not kept").select(F.col("__id").alias(id_col)), "gone")
         return join_small(docs, gone, [id_col], "left_anti").select(*docs.columns)
-    kept = found.filter("kept").select("__id", F.col("text_sha256").alias("__sha"))
-    sha = F.sha2(lower_az(F.col(text_col)).cast("binary"), 256)
-    joined = docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_semi")
-    return joined.dropDuplicates([id_col, text_col])
+    kept = found.filter("kept").select(F.col("__id").alias("__kept"), F.col("text_sha256").alias("__kept_sha"))
+    own = docs.withColumn("__sha", F.sha2(lower_az(F.col(text_col)).cast("binary"), 256))
+    joined = own.join(kept, own[id_col].cast("long").eqNullSafe(F.col("__kept")) & (F.col("__sha") == F.col("__kept_sha")), "left_semi")
+    return joined.dropDuplicates([id_col, "__sha"]).drop("__sha")
 
 
 def op1_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:

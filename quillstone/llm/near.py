@@ -397,9 +397,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the whole sequence is the one shingle); two are linked if their sets' Jaccard similarity is at least
     ``percent`` / 100, confirmed on the full sets. Documents with equal sets are one representative.
 
-    Null and wordless texts have an empty set, are linked with nothing and kept. Repeated rows with one
-    id get the same component; a null id gets a null component and is not kept unless its set is empty.
-    An empty table gives no rows. Other columns are not read.
+    Null and wordless texts have an empty set, are linked with nothing and kept. Rows that share an id and a set
+    get the same component; those that share an id only are linked apart, each with what resembles its own text. A null
+    id gets a null component and is not kept unless its set is empty. An empty table gives no rows. Other columns
+    are not read.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -408,6 +409,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = written(rows.mapInArrow(_signatures(k, n), _SIG_DDL), "signatures")
     some = sigs.filter("n_shingles > 0 and doc_id is not null")
     heads = written(some.groupBy("set_hash").agg(F.min("doc_id").alias("head"), F.count("*").alias("size")), "heads")
+    if not heads.groupBy("head").count().filter("count > 1").isEmpty():
+        return _by_row(docs, id_col, text_col, k, percent)
     reps = some.join(heads.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "sig", "paths").dropDuplicates(["doc_id"])
     pairs, crowded = candidate_edges(reps, n)
     groups = components(pairs)
@@ -425,5 +428,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
+def _by_row(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """``near_duplicates`` where an id has several texts: rows are written with numbers, linked by number, and named by the smallest id of their component."""
+    rows = written(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row")), "numbered")
+    named = rows.filter("id is not null").select("row", "text")
+    found = near_duplicates(named, "row", "text", k, percent).drop("kept").join(rows.select("row", "id"), "row")
+    found = written(found.select("id", "n_shingles", "component_id"), "rows")
+    names = written(found.groupBy("component_id").agg(F.min("id").alias("name"), F.count("*").alias("size")), "names")
+    out = join_counted(found, names, "component_id").select(F.col("id").alias(id_col), "n_shingles", F.col("name").alias("component_id"), (F.col("id") == F.col("name")).alias("kept"))
+    none = near_sets(rows.filter("id is null").select("text"), k)
+    return out.unionByName(none.select(F.lit(None).cast("long").alias(id_col), "n_shingles", F.lit(None).cast("long").alias("component_id"), (F.col("n_shingles") == 0).alias("kept")))
+
+
+def near_sets(texts: DataFrame, k: int) -> DataFrame:
+    """n_shingles of each text."""
+    sized = texts.select(F.lit(0).cast("long").alias("cc"), F.lit(0).cast("long").alias("doc_id"), utf8(F.col("text")).alias("t")).mapInArrow(_sets(k), "cc long, doc_id long, items binary")
+    return sized.select((F.octet_length("items") / 8).cast("long").alias("n_shingles"))
+
+
 def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)

@@ -8,13 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 
 _PEM = r"-----BEGIN [A-Z ]{0,40}?PRIVATE KEY-----[^-]++(?:-[^-]++){0,8}?-----END [A-Z ]{0,40}?PRIVATE KEY-----"
 _USER = r"(?<=:)(?<=://[A-Za-z0-9._%+\-]{1,64}:)[^\s/@:\"'<>]{3,}+(?=@)"
 _QUOTED = r"(?<=[\"'`])(?<=[=:][ \t]{0,2}[\"'`])[^\s\"'`]{4,}+(?=[\"'`])"
 _VALUE = r"[^\s\"'`<>,;()\[\]{}&]"
-_PLAIN = rf"(?<=[=: \t])(?<=[A-Za-z0-9_\-\"'\])][ \t]?[=:][ \t]{{0,2}})(?<![0-9]:)(?![/\"'`])(?={_VALUE}{{5}})(?=[A-Za-z]*+[^A-Za-z\s,;.?!])(?:{_VALUE}+(?:&(?![A-Za-z0-9_]{{1,32}}=){_VALUE}+){{0,16}})(?<![.:])"
+#: A bracket inside a password: between characters of which one is no letter, as in a call it is not.
+_INNER = r"(?:(?<=[0-9!@#$%^*+=?~|])[()\[\]{}]|[()\[\]{}](?=[0-9!@#$%^*+=?~|]))"
+_PLAIN = rf"(?<=[=: \t])(?<=[A-Za-z0-9_\-\"'\])][ \t]?[=:][ \t]{{0,2}})(?<![0-9]:)(?![/\"'`])(?={_VALUE}{{5}})(?=[A-Za-z]*+[^A-Za-z\s,;.?!])(?:{_VALUE}+(?:(?:&(?![A-Za-z0-9_]{{1,32}}=)|{_INNER}){_VALUE}+){{0,16}})(?<![.:])"
 _RUN = r"(?<![A-Za-z0-9+/_.\-])(?=[A-Za-z+/_.\-]*+[0-9]|[A-Za-z+/_.\-]{20})[A-Za-z0-9+/_.\-]{7,}[A-Za-z0-9+/_]=*+"
 #: A candidate: a private key block, the password of a URL, a quoted or a plain value after '=' or ':' of any alphabet,
 #: or a run of at least 8 characters with a digit or 20 without. Names and signs before it are context.
@@ -31,11 +33,13 @@ SECRET_WORDS = "token|secret|passw|pwd|api[_-]?key|apikey|auth|credential|bearer
 HARMLESS_WORDS = "commit|sha1|sha256|md5|digest|checksum|hash|uuid|guid|etag|revision|version|build|isbn|doi|page|file|url|href|order|invoice|phone"
 #: Common words and parts of names; ``Forest`` takes other ones.
 DICTIONARY = (
-    "about access account action active address admin after all also amount and any api app archive array article at author auth back base be before body book buffer build business but by cache call can card case "
-    "catalog change chapter check class client cloud code column com command comment common company config connect content context copy core count country create current customer data database date day db debug default "
-    "delete demo description detail dev device directory disabled display document domain download edit email enabled end entry error event example export false field figure file filter first for form format from full "
-    "function general get group handler have help home host html http https id image import in index info input install internal invoice is item job json key label language last layout level library line link list load "
-    "local location log login mail main manager map max menu message method min mode model module month my name net new next no node none not number object of on open option optional or order org output package page"
+    "about access account action active address admin after all and any api app archive array article auth backup base before body book buffer build business cache call card case change chapter check "
+    "class client cloud code column command comment company config connect content context copy count country create current customer data database date debug default delete detail device directory disabled "
+    "display document domain edit email enabled end error event example export false field figure file filter first for format from function general group handler header help home host html http image import "
+    "index info input install item job json key label language last level library line link list load local location login main manager map message method mode model module month name net new next not null "
+    "number object only option order output package page part password path pattern plan port print product profile project public query random read record report request response result role root route "
+    "safe schema search secret section select server service session shop source stage start state storage string system table target test text time title token total true type unit update upload user "
+    "value version view web week window word work world year zone"
 ).split()
 _SYMBOLS = "abcdefghijklmnopqrstuvwxyz"
 #: Symbols of the letter transitions: 26 letters, digit, other; and of the shape transitions: lower, upper, digit, other.
@@ -49,7 +53,7 @@ SHAPE_FLAGS = {
     "block": "^-----BEGIN",
 }
 PATH_FLAGS = {"test_path": "test|fixture|example|sample|mock", "settings_path": "\\.(env|ya?ml|ini|cfg|conf|toml|properties|json)$|settings|config", "text_path": "\\.(md|rst|txt|html?)$|readme|docs?/"}
-FEATURES = ["length", "digits", "uppers", "others", "different", "letter_odds", "shape_odds", "coverage", "separators", *SHAPE_FLAGS, *PATH_FLAGS, "secret_name", "secret_near", "harmless_near", "assigned", "quoted", "in_url", "names"]
+FEATURES = ["length", "digits", "uppers", "others", "different", "letter_odds", "shape_odds", "coverage", "separators", *SHAPE_FLAGS, *PATH_FLAGS, "secret_name", "harmless_name", "secret_near", "harmless_near", "assigned", "quoted", "in_url", "names"]
 
 
 def _table(values: list) -> Column:
@@ -98,6 +102,7 @@ def features(word: Column, before: Column, after: Column, path: Column, letter_o
         "letter_odds": _odds(_letters(word), LETTERS, letter_odds), "shape_odds": _odds(_shapes(word), SHAPES, shape_odds),
         "coverage": known / n, "separators": share("[^./_-]"),
         **{k: flag(word.rlike(p)) for k, p in SHAPE_FLAGS.items()}, **{k: flag(F.lower(path).rlike(p)) for k, p in PATH_FLAGS.items()},
+        "harmless_name": flag(at.rlike(f"({HARMLESS_WORDS})[a-z0-9_-]*[\"']?(\\s*[=:]\\s*|\\s+)[\"'`]?$")),
         "secret_name": flag(at.rlike(f"({SECRET_WORDS})[a-z0-9_-]*[\"']?(\\s*[=:]\\s*|\\s+(is\\s+)?)[\"'`]?$")), "secret_near": flag(near.rlike(SECRET_WORDS)), "harmless_near": flag(near.rlike(HARMLESS_WORDS)),
         "assigned": flag(before.rlike("[=:]\\s*[\"'`]?$")), "quoted": flag(before.rlike("[\"'`]$") & after.rlike("^[\"'`]")),
         "in_url": flag(before.rlike("://[^\\s:@/]+:$") & after.startswith("@")), "names": flag(after.rlike("^[\"']?\\s*[=:(]")),
@@ -109,10 +114,10 @@ def example_texts(spark: SparkSession, n: int = FINDINGS, first: int = 0) -> Dat
     """Texts (text, value, path, label) with one labelled value each, made by a fixed rule from row numbers.
 
     Kind of value, words before it and path are drawn apart, so that no word and no form decides alone. Hexadecimal
-    and mixed-case keys, random letters and passwords stand after names such as ``token =``, keys also in bare
+    keys, passwords and strings with symbols stand after names such as ``token =``, mixed-case keys and random letters also in bare
     prose and prefixed keys, key blocks and URL passwords anywhere. Harmless are UUIDs, file names, dates, versions,
     addresses, numbers, placeholders, identifiers, compounds and words, after the same names and in the same prose; digests after
-    words such as ``commit``; and keys and passwords after a secret's name in files of tests.
+    words such as ``commit`` and in prose; and keys and passwords after a secret's name in files of tests.
     """
     c, lit = F.col, F.lit
     at = lambda salt, n: (1 + F.pmod(F.xxhash64("id", lit(salt)), lit(n))).cast("int")
@@ -129,7 +134,7 @@ def example_texts(spark: SparkSession, n: int = FINDINGS, first: int = 0) -> Dat
     password = F.concat(pick("pw", F.initcap(word("pw")), word("pw"), leet, F.concat(leet, word("pw"))), pick("pq", number("pn", 10), number("pn", 100), number("pn", 10_000)), pick("ps", "!", "#", "$", "&", "@", "", "?x"))
     block = F.concat(lit("-----BEGIN RSA PRIVATE KEY-----\n"), F.substring(mixed, 1, 64), lit("\n"), F.substring(mixed, 9, 64), lit("\n-----END RSA PRIVATE KEY-----"))
     secrets = {
-        "hex": cut(h, 32, 40, 48, 64), "mixed": cut(mixed, 20, 24, 32, 40, 64), "upper": F.upper(cut(h, 32, 40)), "letters": F.substring(F.regexp_replace(mixed, "[^A-Za-z]", ""), 1, 36), "password": password, "block": block, "user": password,
+        "hex": cut(h, 32, 40, 48, 64), "mixed": cut(mixed, 20, 24, 32, 40, 64), "upper": F.upper(cut(h, 32, 40)), "letters": F.substring(F.regexp_replace(mixed, "[^A-Za-z]", ""), 1, 36), "password": password, "symbols": F.concat(word("s1"), lit("-"), word("s2"), lit("-"), F.translate(cut(plain, 16, 24, 32), "aeiouAEIOUst", "!@#$%^*=+~()")), "block": block, "user": password,
         "prefixed": pick("px", F.concat(lit("AKIA"), F.upper(F.substring(plain, 1, 16))), F.concat(lit("ghp_"), F.substring(plain, 1, 36)), F.concat(lit("xoxb-"), number("x1", 1 << 30), lit("-"), F.substring(plain, 1, 24)), F.concat(lit("sk_live_"), F.substring(plain, 1, 24))),
     }
     harmless = {
@@ -148,16 +153,17 @@ def example_texts(spark: SparkSession, n: int = FINDINGS, first: int = 0) -> Dat
     prose = ["the ", "and then ", "we saw ", "with ", "", "value ", "it was ", 'x = "', "item: ", "key ", "id="]
     user = ["postgres://admin:", "https://user:", "amqp://svc:"]
     where = {
-        "hex": [name, name, prose], "mixed": [name, prose], "upper": [name, prose], "letters": [name, prose], "password": [name], "block": [prose, name, told], "user": [user], "prefixed": [name, told, prose],
-        "uuid": [told, prose], "digest": [told], "file": [name, told, prose], "date": [name, told, prose], "version": [name, told, prose], "address": [name, told, prose], "number": [name, told, prose], "placeholder": [name, name, prose], "identifier": [name, told, prose], "compound": [told, prose, prose, prose], "word": [name, told, prose],
+        "hex": [name], "symbols": [name], "mixed": [name, prose], "upper": [name, prose], "letters": [name, prose], "password": [name], "block": [prose, name, told], "user": [user], "prefixed": [name, told, prose],
+        "uuid": [told, prose], "digest": [told, told, prose], "file": [name, told, prose], "date": [name, told, prose], "version": [name, told, prose], "address": [name, told, prose], "number": [name, told, prose], "placeholder": [name, name, prose], "identifier": [name, told, prose], "compound": [told, prose, prose, prose], "word": [name, told, prose],
     }
     place = lambda k: pick(f"g{k}", *[pick(f"l{j}", *g) for j, g in enumerate(where[k])])
     one = lambda k, v, y: F.struct(v.alias("value"), place(k).alias("lead"), lit(y).alias("label"), lit(k in ("password", "hex", "mixed")).alias("fixture"))
+    path = pick("path", "src0", "src7", "", "docs/readme.md", "tests/fixture.json", "test_login.py", "samples/mock_data.py", "app/settings.yaml", "web.conf", "lib/client.py").alias("path")
     kinds = spark.range(first, first + n, 1, 1).select("id", pick("kind", *[*secrets] * 5, *[*harmless] * 4).alias("kind"))
-    made = F.coalesce(*[F.when(c("kind") == k, one(k, v, float(k in secrets))) for k, v in (secrets | harmless).items()])
-    rows = kinds.select("id", made.alias("x"), pick("path", "src0", "src7", "", "docs/readme.md", "tests/fixture.json", "test_login.py", "samples/mock_data.py", "app/settings.yaml", "web.conf", "lib/client.py").alias("path"))
+    made = [kinds.filter(c("kind") == k).select("id", one(k, v, float(k in secrets)).alias("x"), path) for k, v in (secrets | harmless).items()]
+    rows = written(reduce(DataFrame.unionByName, made), "examples")  # a small plan for each kind of value
     quoted = F.regexp_extract("x.lead", "[\"']$", 0)
-    after = F.when(c("x.lead").contains("://") & c("x.lead").endswith(":"), lit("@host.org/db")).otherwise(F.concat(quoted, pick("z", " and more words", ".", "\n", ", then others", " here")))
+    after = F.when(c("x.lead").contains("://") & c("x.lead").endswith(":"), lit("@host.org/db")).otherwise(F.concat(quoted, pick("z", " and more words", ".", "\n", ", then others", " here", ". See commit", " in the file", " by token", " or build")))
     mock = c("x.fixture") & F.lower("path").rlike(PATH_FLAGS["test_path"]) & c("x.lead").isin(name)
     text = F.concat(word("b1"), lit(" "), word("b2"), pick("b", " ", ". ", "\n"), "x.lead", "x.value", after, lit(" "), word("b3"))
     return rows.select("id", text.alias("text"), c("x.value").alias("value"), "path", F.when(mock, 0.0).otherwise(c("x.label")).alias("label"))
@@ -233,6 +239,17 @@ class Forest:
         return f"round(({' + '.join(map(tree, self.roots))}) / {len(self.roots)}, 9)"
 
 
+_fitted: dict[str, Forest] = {}
+
+
+def fitted(spark: SparkSession) -> Forest:
+    """The forest of ``example_texts``, fitted once in an application: the texts do not hang on any input."""
+    key = spark.sparkContext.applicationId
+    if key not in _fitted:
+        _fitted[key] = Forest(example_texts(spark))
+    return _fitted[key]
+
+
 def _scored(cut: DataFrame, forest: Forest) -> DataFrame:
     """Adds __p, the probabilities of the candidates in __cut."""
     found, gaps, path = F.col("__cut.found"), F.col("__cut.gaps"), F.col("__path")
@@ -276,4 +293,4 @@ def redact(docs: DataFrame, forest: Forest, text_col: str = "text", path_col: st
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"), Forest(example_texts(spark)))
+    return scan(table(spark, sf_dir, "documents"), fitted(spark))

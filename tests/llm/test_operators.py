@@ -72,6 +72,14 @@ def test_deduplicated_keeps_columns(spark, awkward, empty):
     assert exact.deduplicated(empty).count() == exact.content_sort(empty).count() == 0
 
 
+def test_deduplicated_under_repeated_ids(spark):
+    """Copies that differ in case under one id are one row; different texts under one id both stay."""
+    rows = [(7, "Abc def"), (7, "abc def"), (7, "other"), (None, "ABC"), (None, "abc"), (9, "ABC def"), (9, "x"), (9, "X")]
+    for _ in range(3):
+        kept = exact.deduplicated(docs(spark, rows)).collect()
+        assert sorted(((r.doc_id, low(r.text)) for r in kept), key=str) == sorted([(7, "abc def"), (7, "other"), (None, "abc"), (9, "x")], key=str)
+
+
 # 2: sharding
 
 
@@ -254,6 +262,16 @@ def test_near_awkward(spark, awkward, empty):
     assert near.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_repeated_id_with_two_texts(spark, seed):
+    """(5, A), (5, B), (9, near B), (11, near A): both links stand, whichever text of 5 comes first."""
+    a, b = ([f"{x}{seed}_{n}" for n in range(80)] for x in "ab")
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (9, " ".join([*b, "end"])), (11, " ".join(["start", *a])), (2, "alone here and there"), (None, "no id"), (None, ""), (5, ""), (12, " ".join(b))]
+    random.Random(seed).shuffle(rows)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near.near_duplicates(docs(spark, rows)).collect()), key=str)
+    assert got == sorted([(5, 76, 5, True), (5, 76, 5, True), (9, 77, 5, False), (11, 77, 5, False), (2, 1, 2, True), (None, 1, None, False), (None, 0, None, True), (5, 0, 5, True), (12, 76, 5, False)], key=str)
+
+
 # 4: language
 
 
@@ -475,7 +493,7 @@ def test_ctw_awkward(spark, awkward, empty):
 
 @pytest.fixture(scope="module")
 def forest(spark):
-    return secrets.Forest(secrets.example_texts(spark))
+    return secrets.fitted(spark)
 
 
 def test_secret_scan(spark, forest):
@@ -561,6 +579,7 @@ def test_secrets_against_brute_force(spark, forest, sf_dir):
             "length": math.log2(n), "digits": share("[0-9]"), "uppers": share("[A-Z]"), "others": share("[^A-Za-z0-9]"), "different": len(set(word)) / min(n, 64),
             "letter_odds": odds([letter(c) for c in word], secrets.LETTERS, forest.letter_odds), "shape_odds": odds([shape(c) for c in word], secrets.SHAPES, forest.shape_odds),
             "coverage": sum(len(w) for w in regex.findall("[A-Z]?[a-z]+|[A-Z]+", word) if w.lower() in secrets.DICTIONARY) / n, "separators": share("[./_-]"),
+            "harmless_name": lowered(f"({secrets.HARMLESS_WORDS})[a-z0-9_-]*[\"']?(\\s*[=:]\\s*|\\s+)[\"'`]?$", at),
             "secret_name": lowered(f"({secrets.SECRET_WORDS})[a-z0-9_-]*[\"']?(\\s*[=:]\\s*|\\s+(is\\s+)?)[\"'`]?$", at), "secret_near": lowered(secrets.SECRET_WORDS, near), "harmless_near": lowered(secrets.HARMLESS_WORDS, near),
             "assigned": lowered("[=:]\\s*[\"'`]?$", before), "quoted": lowered("[\"'`]$", before) and lowered("^[\"'`]", after), "in_url": lowered("://[^\\s:@/]+:$", before) and after.startswith("@"), "names": lowered("^[\"']?\\s*[=:(]", after),
         }
@@ -592,6 +611,22 @@ def test_secrets_against_brute_force(spark, forest, sf_dir):
     assert clean[marked] == '\x01 token = "[SECRET]" \x01'
 
 
+def test_secret_with_brackets_is_whole(spark, forest):
+    key = "django-insecure-x8!k2@m#q9$z1^w4&e7*r0(t5)y6"
+    text = f"SECRET_KEY={key}\ncall token = get_token(user) and x=[1, 2]"
+    found = {text[r.start : r.start + r.length] for r in secrets.scan(docs(spark, [(1, text)]), forest).collect()}
+    assert key in found and key not in secrets.redact(docs(spark, [(1, text)]), forest).first().text and "r0(t5)" not in secrets.redact(docs(spark, [(1, text)]), forest).first().text and not any("(user" in x or "[1" in x for x in found)
+
+
+def test_dictionary_covers_the_alphabet():
+    assert {w[0] for w in secrets.DICTIONARY} >= set("abcdefghijklmnopqrstuvwyz") and secrets.DICTIONARY == sorted(set(secrets.DICTIONARY)) and len(secrets.DICTIONARY) <= 200
+    assert {"password", "secret", "server", "token", "user", "value", "version"} <= set(secrets.DICTIONARY)
+
+
+def test_forest_is_fitted_once(spark):
+    assert secrets.fitted(spark) is secrets.fitted(spark)
+
+
 def test_secrets_awkward(spark, awkward, empty, forest):
     assert secrets.scan(awkward, forest).filter("is_secret").count() == 0
     clean = secrets.redact(awkward, forest)
