@@ -49,7 +49,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced; n_chars follows the text."""
-    clean = secrets.redact(docs, secrets.Forest(secrets.example_texts(spark)))
+    clean = secrets.redact(docs, secrets.fitted(spark))
     return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
