@@ -1,4 +1,4 @@
-"""Records as the store's typed rows: keys, derived ids and rules for nulls of each table. ``sinks.upsert_table`` merges them."""
+"""Records as the store's typed rows: keys, derived ids, rules and nulls of each table. ``tables.Store`` keeps them."""
 
 from __future__ import annotations
 
@@ -7,12 +7,36 @@ from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..functions import text as T
+from ..sources.tables import Table
 
 c = F.col
-#: Keys of each table's rows.
-KEYS = {
-    "structured_papers": ["paper_id"], "structured_blocks": ["block_id"], "paper_classifications": ["paper_id", "pipeline_run_id"], "experiment_maps": ["experiment_map_id"],
-    "canonical_evidence": ["canonical_evidence_id"], "paper_processing_state": ["paper_id"],
+#: Roles of a support edge and statuses of a stage, as the tables' checks have them.
+SUPPORT_ROLES = ["supporting", "null", "opposing", "mixed", "representative"]
+STAGE_STATUSES = ["pending", "running", "succeeded", "failed", "skipped", "blocked", "warning"]
+
+
+def one_of(column: str, values: list[str]) -> dict[str, str]:
+    return {f"{column} is none of its values": f"{column} IN ({', '.join(map(repr, values))})"}
+
+
+#: The store's tables and the rules of their rows.
+TABLES = {
+    "structured_papers": Table(("paper_id",)),
+    "structured_blocks": Table(("block_id",), required=("paper_id",)),
+    "paper_classifications": Table(("paper_id", "pipeline_run_id")),
+    "experiment_maps": Table(("experiment_map_id",), required=("paper_id",)),
+    "canonical_evidence": Table(("canonical_evidence_id",), required=("paper_id", "study_id")),
+    "paper_processing_state": Table(("paper_id",)),
+    "paper_pipeline_state": Table(("paper_id", "stage", "attempt"), required=("status",), checks=one_of("status", STAGE_STATUSES)),
+    "exposure_registry": Table(("exposure_id",), required=("canonical_name",), unique=("canonical_name",)),
+    "outcome_registry": Table(("outcome_id",), required=("canonical_name",), unique=("canonical_name",)),
+    "evidence_projections": Table(("projection_id",), part="build_id", required=("canonical_evidence_id", "paper_id", "effect_direction", "evidence_rank")),
+    "general_evidence": Table(("general_evidence_id",), part="build_id", required=("dominant_direction", "consensus_level"), checks={"counts are not negative": "paper_count >= 0 AND study_count >= 0 AND evidence_count >= 0"}),
+    "general_evidence_support": Table(
+        ("general_evidence_id", "projection_id", "role"), part="build_id", checks=one_of("role", SUPPORT_ROLES),
+        refers={"general_evidence_id": ("general_evidence", "general_evidence_id"), "projection_id": ("evidence_projections", "projection_id")},
+    ),
+    "retrieval_export": Table(("document_type", "id"), part="build_id"),
 }
 
 
@@ -61,3 +85,11 @@ def primary_research(rows: DataFrame, latest_classification: DataFrame) -> DataF
     """Rows of papers whose classification is primary research; all other papers stop here with no row."""
     primary = latest_classification.filter("paper_family = 'primary_research'").select("paper_id").distinct()
     return rows.join(primary, "paper_id", "left_semi")
+
+
+def publish(store, tables: dict[str, DataFrame], build_id: str) -> int:
+    """Replace one build in the given tables at once: registries are upserted by id, of the others the build's rows are replaced.
+
+    Other tables, and other builds of these, stay as they are. A row that breaks a rule leaves the store as it was.
+    """
+    return store.commit(*[store.replace(name, rows, [build_id]) if store.tables[name].part else store.upsert(name, rows) for name, rows in tables.items()])

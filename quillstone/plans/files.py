@@ -19,6 +19,7 @@ from ..operators import validation as V
 from ..sources import config as C
 from ..sources import readers as R
 from ..sources import sinks as K
+from ..sources.tables import BrokenRulesError, Store, Table
 from ..streaming import events as X
 from . import views as v
 from .registry import _BL, _EV, _FACTS, _LK, _PS, _blocks, _facts, _general, _grouped, _lake, _projections, query
@@ -170,11 +171,10 @@ def settings(spark, sf_dir):
 
 def _upserted(spark, name: str, rows: DataFrame) -> DataFrame:
     """A table after two upserts: of the earlier rows, then of the later ones."""
-    path = K.scratch(spark, name)
-    middle = "at <= 0"
-    for part in (rows.withColumn("at", c("updated_at") - 1).filter(middle), rows.withColumn("at", c("updated_at") - 1).filter(f"not ({middle})")):
-        K.upsert_table(spark, path, part.drop("at"), store.KEYS[name], "updated_at")
-    return K.current(spark, path)
+    stored = Store(spark, K.scratch(spark, name), {name: store.TABLES[name]})
+    for part in (rows.filter("updated_at <= 1"), rows.filter("not (updated_at <= 1)")):
+        stored.commit(stored.upsert(name, part, "updated_at"))
+    return stored.read(name)
 
 
 @query("snk05_aux10_structured_papers", "SELECT 'paper_' || o_custkey AS paper_id, '{\"paper_id\":\"paper_' || o_custkey || '\",\"title\":\"t' || max(o_orderkey) || '\"}' AS payload FROM orders GROUP BY o_custkey")
@@ -240,15 +240,20 @@ def state_csv(spark, sf_dir):
 
 @query("snk10_val10_published_build", _EV + " SELECT 'evidence_projections' AS name, projection_id AS id FROM pr UNION ALL SELECT 'general_evidence', general_evidence_id FROM ge UNION ALL SELECT 'outcome_registry', 'outcome.' || n FROM our")
 def published_build(spark, sf_dir):
-    """A build is published twice over another one; its rows are there once, and all of its build."""
+    """A build is published twice; its rows are there once, and all of its build. A publication that breaks a rule, and one of a single table, change no other rows."""
     tables = E.build(v.evidence(spark, sf_dir), v.view(spark, sf_dir, v.SCOPES), v.BUILD, lambda name, df: K.kept(df, name))
-    root = K.scratch(spark, "store")
-    K.publish_build(spark, tables, root, v.BUILD)
-    K.publish_build(spark, tables, root, v.BUILD)
+    stored = Store(spark, K.scratch(spark, "store"), store.TABLES)
+    store.publish(stored, tables, v.BUILD)
+    store.publish(stored, tables, v.BUILD)
+    try:
+        store.publish(stored, {"evidence_projections": tables["evidence_projections"].limit(0)}, v.BUILD)
+        raise AssertionError("edges were left without their projections")
+    except BrokenRulesError:
+        store.publish(stored, {"retrieval_export": tables["retrieval_export"]}, v.BUILD)
     key = {"evidence_projections": "projection_id", "general_evidence": "general_evidence_id", "outcome_registry": "outcome_id"}
     parts = []
     for name, k in key.items():
-        rows = K.published(spark, root, name)
+        rows = stored.read(name)
         rows = V.one_build(rows, v.BUILD).filter(F.size("errors") == 0) if "build_id" in rows.columns else rows
         parts.append(rows.select(F.lit(name).alias("name"), c(k).alias("id")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -257,11 +262,11 @@ def published_build(spark, sf_dir):
 @query("snk12_aux14_status_file", _PS + " SELECT paper_id, CASE s WHEN 'succeeded' THEN 'done' ELSE s END AS status FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY event_at DESC) AS n FROM se) WHERE n = 1 AND s IN ('succeeded', 'failed')")
 def status_file(spark, sf_dir):
     log = S.events_to_states(v.view(spark, sf_dir, v.EVENTS)).select("paper_id", F.when(c("status") == "succeeded", "done").otherwise(c("status")).alias("status"), c("event_at").alias("line"))
-    path, cut = K.scratch(spark, "status"), log.agg(F.expr("percentile(unix_micros(cast(line as timestamp)), 0.5)")).first()[0]
+    stored, cut = Store(spark, K.scratch(spark, "status"), {"status": Table(("paper_id",))}), log.agg(F.expr("percentile(unix_micros(cast(line as timestamp)), 0.5)")).first()[0]
     late = F.unix_micros(c("line").cast("timestamp")) > cut
     for part in (log.filter(~late), log.filter(late)):
-        K.upsert_table(spark, path, part.groupBy("paper_id").agg(F.max(F.struct("line", "status")).alias("r")).select("paper_id", "r.status", "r.line"), ["paper_id"], "line")
-    return R.status_index(K.current(spark, path)).orderBy("paper_id")
+        stored.commit(stored.upsert("status", part.groupBy("paper_id").agg(F.max(F.struct("line", "status")).alias("r")).select("paper_id", "r.status", "r.line"), "line"))
+    return R.status_index(stored.read("status")).orderBy("paper_id")
 
 
 @query("snk15_bibliography_file", _LK + " SELECT count(*) AS entries, 0 AS renamed, count(*) AS in_file FROM lk WHERE decision = 'keep' AND doi IS NOT NULL")
@@ -398,17 +403,20 @@ def streamed_states(spark, sf_dir):
     log, state, checkpoint = _event_log(spark, sf_dir), K.scratch(spark, "states"), K.scratch(spark, "stream")
     for _ in range(2):  # the second run finds nothing new
         X.run_state(X.event_stream(spark, log, 2), state, checkpoint, ("paper_id",)).awaitTermination()
-    return K.current(spark, state).select("paper_id", "status", F.lit(0).cast("long").alias("none"), "updated_at")
+    return X.states(spark, state, ("paper_id",)).select("paper_id", "status", F.lit(0).cast("long").alias("none"), "updated_at")
 
 
 @query("str03_once_delivered", "SELECT event_id, count(*) AS n FROM events GROUP BY 1")
 def once_delivered(spark, sf_dir):
-    """A log that holds each event twice, delivered once each."""
+    """A log of which each event comes twice in one run, again in a later run, and all again with a new checkpoint: delivered once each."""
     first = _event_log(spark, sf_dir)
     spark.read.text(first).write.mode("append").text(first)
-    target, outbox, checkpoint = K.scratch(spark, "delivered"), K.scratch(spark, "outbox"), K.scratch(spark, "stream")
-    stream = X.once(X.event_stream(spark, first), "3650 days")
-    X.run_delivery(stream, lambda df: df.select("event_id").write.mode("append").parquet(target), outbox, checkpoint).awaitTermination()
+    target, outbox, log, checkpoint = K.scratch(spark, "delivered"), K.scratch(spark, "outbox"), K.scratch(spark, "keys"), K.scratch(spark, "stream")
+    sink = lambda df: df.select("event_id").write.mode("append").parquet(target)
+    X.run_once(X.event_stream(spark, first), sink, outbox, log, checkpoint).awaitTermination()
+    spark.read.text(first).limit(100).write.mode("append").text(first)
+    for place in (checkpoint, K.scratch(spark, "stream")):
+        X.run_once(X.event_stream(spark, first), sink, outbox, log, place).awaitTermination()
     return spark.read.parquet(target).groupBy(c("event_id").cast("long").alias("event_id")).agg(F.count("*").alias("n"))
 
 

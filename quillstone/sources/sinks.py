@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import nul_joined
-from ..operators.metadata import last_wins
 from ..operators.state import replay
 from .readers import exists
 
@@ -98,35 +97,6 @@ def vacuum(spark: SparkSession, path: str) -> int:
     return len(old)
 
 
-def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: str, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> None:
-    """Merge rows into the table at ``path``; a reader sees either state."""
-    old = current(spark, path)
-    old = new.limit(0) if old is None else old
-    put(merge(old, new) if merge else last_wins(old.unionByName(new), keys, [order]), path)
-
-
-def publish_build(spark: SparkSession, tables: dict[str, DataFrame], root: str, build_id: str) -> None:
-    """Replace one build in all tables at once, as one transaction would.
-
-    Registries (without build_id) are upserted by id, of the others the rows of the build are replaced. All
-    tables are written as one version, then one pointer is swung; ``published`` reads what it names.
-    """
-    version = f"version-{uuid.uuid4().hex}"
-    for name, new in tables.items():
-        old = published(spark, root, name)
-        if old is not None and "build_id" in new.columns:
-            new = old.filter(c("build_id") != build_id).unionByName(new, allowMissingColumns=True)
-        elif old is not None:
-            new = old.join(new.select(new.columns[0]), new.columns[0], "left_anti").unionByName(new, allowMissingColumns=True)
-        new.write.parquet(f"{root}/{version}/{name}")
-    point(spark, root, version)
-
-
-def published(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    version = pointed(spark, root)
-    return spark.read.parquet(f"{root}/{version}/{name}") if version and exists(spark, f"{root}/{version}/{name}") else None
-
-
 def replace_build(df: DataFrame, path: str) -> None:
     """Replace the builds that ``df`` holds, and no others."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("build_id").parquet(path)

@@ -13,10 +13,12 @@ from quillstone.operators import blocks as B
 from quillstone.operators import evidence as E
 from quillstone.operators import metadata as D
 from quillstone.operators import state as S
+from quillstone.operators.store import TABLES, publish
 from quillstone.operators import validation as V
 from quillstone.sources import config as C
 from quillstone.sources import readers as R
 from quillstone.sources import sinks as K
+from quillstone.sources.tables import Store
 
 c = F.col
 
@@ -178,16 +180,15 @@ def test_quantitative_and_items(spark):
 
 def test_published_tables(spark, tmp_path):
     """A build is replaced in all tables by one pointer; other builds and registry rows stay."""
-    root = str(tmp_path / "store")
+    store = Store(spark, str(tmp_path / "store"), TABLES)
     scopes = spark.createDataFrame([("p1", "s1", None, 0, "rct")], "paper_id string, study_id string, experiment_scope_id string, ordinal int, study_design string")
     tables = lambda b, **over: E.build(evidence(spark, [item(1, **over)]), scopes, b)
     for b, over in (("b1", {}), ("b2", {"exposure": "Sleep"}), ("b1", {"outcomes": ["BMI", "glucose"]})):
-        K.publish_build(spark, tables(b, **over), root, b)
-    rows = K.published(spark, root, "evidence_projections")
+        publish(store, tables(b, **over), b)
+    rows = store.read("evidence_projections")
     assert sorted((r.build_id, r.outcome_id) for r in rows.collect()) == [("b1", "outcome.bmi"), ("b1", "outcome.glucose"), ("b2", "outcome.ldl_cholesterol")]
-    assert sorted(r.exposure_id for r in K.published(spark, root, "exposure_registry").collect()) == ["exposure.egg", "exposure.sleep"]
-    assert K.vacuum(spark, root) == 2 and rows.sparkSession.read.parquet(f"{root}/*/general_evidence").count() == 3
-    assert K.published(spark, root, "nothing") is None
+    assert sorted(r.exposure_id for r in store.read("exposure_registry").collect()) == ["exposure.egg", "exposure.sleep"]
+    assert store.vacuum(older_than=-1) == 4 and store.read("general_evidence").count() == 3
 
 
 def test_replay_delivers(spark, tmp_path):
@@ -279,9 +280,6 @@ def test_sources_and_sinks(spark, tmp_path):
     f = R.list_files(spark, f"{p}/pdfs", "*.pdf").first()
     assert (f.stem, f.hash) == ("x", "sha256:" + hashlib.sha256(b"%PDF-1").hexdigest())
     rows = spark.createDataFrame([("k1", "b1", 1, ["x"]), ("k2", "b2", 1, ["y"])], "k string, build_id string, t int, l array<string>")
-    K.upsert_table(spark, f"{p}/table", rows, ["k"], "t")
-    K.upsert_table(spark, f"{p}/table", rows.filter("k = 'k1'").withColumn("t", F.lit(5)), ["k"], "t")
-    assert sorted((r.k, r.t) for r in K.current(spark, f"{p}/table").collect()) == [("k1", 5), ("k2", 1)]
     K.replace_build(rows, f"{p}/builds")
     K.replace_build(rows.filter("build_id = 'b1'").withColumn("t", F.lit(9)), f"{p}/builds")
     assert sorted((r.build_id, r.t) for r in spark.read.parquet(f"{p}/builds").collect()) == [("b1", 9), ("b2", 1)]
