@@ -32,14 +32,43 @@ def metadata_id(source_id: Column, doi: Column) -> Column:
     return F.when(source_id.isNotNull(), F.concat(F.lit("meta:s2:"), source_id)).when(doi.isNotNull(), F.concat(F.lit("meta:crossref:"), doi))
 
 
-def canonical_json(text: Column) -> Column:
-    """JSON text with keys in order, without spaces, characters as they are; null and text that is no JSON stay."""
+#: Characters with a short escape in JSON.
+SHORT_ESCAPES = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+
+def json_text(text: Column) -> Column:
+    """A text as a JSON string in ASCII: other characters as their UTF-16 units, \\u and four lower-case digits. Null stays."""
+    units = F.regexp_extract_all(F.hex(F.encode(text, "UTF-16BE")), F.lit("(.{4})"), 1)
+
+    def one(unit: Column) -> Column:
+        out = F.when(unit == "0022", SHORT_ESCAPES['"'])
+        for x, escape in SHORT_ESCAPES.items():
+            out = out.when(unit == f"{ord(x):04X}", escape)
+        return out.when(unit.between("0020", "007E"), F.char(F.conv(unit, 16, 10).cast("int"))).otherwise(F.concat(F.lit("\\u"), F.lower(unit)))
+
+    return F.when(text.rlike(r"^[ !#-\[\]-~]*$"), F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.concat(F.lit('"'), F.array_join(F.transform(units, one), ""), F.lit('"')))
+
+
+def python_repr(text: Column) -> Column:
+    """A text as Python writes it in a tuple: in single quotes, or double ones around a text with single ones only. Null stays.
+
+    Backslashes, line ends and tabs are escaped; other control characters stay as they are.
+    """
+    plain = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for x in "\n\r\t":
+        plain = F.replace(plain, F.lit(x), F.lit(SHORT_ESCAPES[x]))
+    single = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"')), F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(single)
+
+
+def canonical_json(text: Column, ascii_only: bool = False) -> Column:
+    """JSON text with keys in order, without spaces, numbers in Python's form, characters as they are or all in ASCII; null and text that is no JSON stay."""
 
     @F.pandas_udf("string")
     def ordered(texts: pd.Series) -> pd.Series:
         def one(t: str | None) -> str | None:
             try:
-                return t if t is None else json.dumps(json.loads(t), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+                return t if t is None else json.dumps(json.loads(t), ensure_ascii=ascii_only, sort_keys=True, separators=(",", ":"))
             except ValueError:
                 return t
 

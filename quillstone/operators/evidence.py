@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.ids import canonical_json, stable_id
+from ..functions.ids import canonical_json, json_text, stable_id
 from ..functions.text import EXPOSURE_KINDS, OUTCOME_KINDS, canonical_name, display_name, kind_of
 
 GROUP = ["exposure_id", "outcome_id", "organism", "population_scope", "context_json"]
@@ -45,10 +45,18 @@ def terms(evidence: DataFrame) -> tuple[DataFrame, DataFrame]:
     return exposures, outcomes.select("term", F.struct("ordinal", "pos").alias("ordinal"))
 
 
-def context_json() -> Column:
-    """Canonical JSON of the column context_identity, a map of text: keys in order, compact, {} for none."""
+def context_json(nested: bool = False) -> Column:
+    """Canonical JSON of the column context_identity: keys in order, compact, in ASCII, {} for none.
+
+    A map of text is written by built-in functions; of ``nested`` contexts, given as JSON text, numbers get Python's form.
+    """
+    if nested:
+        return F.coalesce(canonical_json(c("context_identity"), ascii_only=True), F.lit("{}"))
     entries = F.array_sort(F.map_entries("context_identity"))
-    return F.coalesce(F.to_json(F.map_from_entries(entries)), F.lit("{}"))
+    plain = F.to_json(F.map_from_entries(entries))
+    pairs = F.transform(entries, lambda e: F.concat(json_text(e["key"]), F.lit(":"), F.coalesce(json_text(e["value"]), F.lit("null"))))
+    escaped = F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+    return F.coalesce(F.when(plain.rlike("^[ -~]*$") & ~F.contains(plain, F.lit("\\u")), plain).otherwise(escaped), F.lit("{}"))
 
 
 def last_scopes(scopes: DataFrame) -> DataFrame:
@@ -60,7 +68,7 @@ def last_scopes(scopes: DataFrame) -> DataFrame:
 def projections(evidence: DataFrame, scopes: DataFrame, exposures: DataFrame, outcomes: DataFrame, build_id: str) -> DataFrame:
     """Ranked projections. Registries hold one row per distinct term; Spark broadcasts them if their size allows."""
     active = lambda r, p: r.filter("status = 'active'").select(c("canonical_name").alias(f"{p}_name"), f"{p}_id", c("display_name").alias(f"{p}_display"))
-    evidence = evidence.withColumn("context_json", context_json() if "context_identity" in evidence.columns else F.lit("{}"))
+    evidence = evidence.withColumn("context_json", context_json(evidence.schema["context_identity"].dataType.typeName() == "string") if "context_identity" in evidence.columns else F.lit("{}"))
     if "has_quant" not in evidence.columns:
         evidence = evidence.withColumn("has_quant", rules.has_quantitative(c("comparator"), c("quantitative_summary"), c("quantitative_values")))
     rows = fan_out(evidence).withColumns({"exposure_name": canonical_name(c("raw_exposure")), "outcome_name": canonical_name(c("raw_outcome")), "study_id": F.coalesce("study_id", F.lit("unclear"))})

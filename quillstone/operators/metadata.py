@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import ids
 from ..functions import text as T
+from ..shipping import ship
+from ..sources import sinks
 
 c = F.col
 
@@ -62,6 +67,48 @@ def seed_candidates(lake: DataFrame, keywords: list[str], min_citations: int, ex
     return m.orderBy(c("citation_count").desc(), F.lower("title"), "doi").limit(limit).select("doi", "title", "citation_count", "matched_keywords")
 
 
+def _matcher(patterns):
+    """Adds to ``found`` the (place, keyword) of the patterns that a batch's texts hold."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        words, automaton = patterns.value, ahocorasick.Automaton()
+        for n, (keyword, _) in enumerate(words):
+            automaton.add_word(keyword if " " in keyword else f" {keyword}", n)
+        automaton.make_automaton()
+        for b in it:
+            texts, old = b.column("__text").to_pylist(), b.column("__found").to_pylist()
+            new = [[*o, *({"place": words[n][1], "keyword": words[n][0]} for n in {n for _, n in automaton.iter(f" {t}")})] if t else o for t, o in zip(texts, old)]
+            at = b.schema.get_field_index("__found")
+            yield pa.RecordBatch.from_arrays([pa.array(new, b.column(k).type) if k == at else x for k, x in enumerate(b.columns)], names=b.schema.names)
+
+    return run
+
+
+#: Keywords of one automaton; more are matched in blocks, one after the other.
+KEYWORD_BLOCK = 200_000
+
+
+def match_keywords(rows: DataFrame, keywords: DataFrame, text: str = "normalised") -> DataFrame:
+    """The rows with matched_keywords, in order of place: of a table (keyword, place) those in a column of normalised text.
+
+    As ``matched_keywords``: a phrase as a substring, a word as the beginning of a token. One automaton over all keywords of a block
+    reads each text once, whatever their number. Blank keywords match nothing, repeated ones count once at their first place.
+    """
+    spark = rows.sparkSession
+    ship(spark)
+    words = sinks.kept(keywords.filter("trim(keyword) <> ''").groupBy("keyword").agg(F.min("place").alias("place")), "keywords")
+    kind = words.schema["place"].dataType.simpleString()
+    blocks = -(-words.count() // KEYWORD_BLOCK)
+    out = rows.withColumns({"__text": c(text), "__found": F.array().cast(f"array<struct<place: {kind}, keyword: string>>")})
+    for k in range(blocks):
+        own = spark.sparkContext.broadcast([tuple(r) for r in words.filter(F.pmod(F.xxhash64("keyword"), F.lit(blocks)) == k).select("keyword", "place").collect()])
+        out = out.mapInArrow(_matcher(own), out.schema)
+        out = out if blocks == 1 else sinks.kept(out, "matched")
+    return out.withColumn("matched_keywords", F.transform(F.array_sort("__found"), lambda x: x["keyword"])).drop("__text", "__found")
+
+
 def missing_pdfs(lake: DataFrame, links: DataFrame) -> DataFrame:
     """Lake rows to keep without a link by metadata_id or by DOI: two anti-joins, in which null never matches."""
     rows = lake.filter(should_keep(c("decision"))).join(links.select("metadata_id"), "metadata_id", "left_anti")

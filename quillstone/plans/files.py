@@ -15,10 +15,12 @@ from ..operators import metadata as D
 from ..operators import records as O
 from ..operators import state as S
 from ..operators import store
+from ..operators.ordering import numbered, tuple_text
 from ..operators import validation as V
 from ..sources import config as C
 from ..sources import readers as R
 from ..sources import sinks as K
+from ..sources.paged import Service, register_paged
 from ..sources.tables import BrokenRulesError, Store, Table
 from ..streaming import events as X
 from . import views as v
@@ -515,9 +517,52 @@ def run_manifests(spark, sf_dir):
     return O.manifest(v.table(spark, sf_dir, "nation").select(F.concat(F.lit("run_"), "n_nationkey").alias("run_id"), c("n_name").alias("name"), c("n_nationkey").alias("n")))
 
 
-@query("srt03_general_order", _EV + " SELECT general_evidence_id, row_number() OVER (ORDER BY exposure_id NULLS FIRST, outcome_id NULLS FIRST, organism NULLS FIRST, population_scope NULLS FIRST, context_json) AS place FROM ge")
+_REPR = "'''' || replace(replace({0}, '\\', '\\\\'), '''', '\\''') || ''''"
+_KEY = " || ', ' || ".join(f"coalesce({_REPR.format(k)}, 'None')" for k in E.GROUP)
+
+
+@query("srt03_general_order", _EV + f" SELECT general_evidence_id, row_number() OVER (ORDER BY '(' || {_KEY} || ')') AS place FROM ge")
 def general_order(spark, sf_dir):
-    general = _general(spark, sf_dir)[1].orderBy(*[c(k).asc_nulls_first() for k in E.GROUP]).select("general_evidence_id", *E.GROUP)
-    from pyspark.sql import Window
+    """Places in the order of the text of the key tuple."""
+    general = _general(spark, sf_dir)[1].select("general_evidence_id", tuple_text(E.GROUP).alias("key"))
+    return numbered(general, [c("key"), c("general_evidence_id")]).select("general_evidence_id", "place")
+
+
+# Keywords, lookups, services at size
+
+
+@query("jon18_src06_keyword_table", _LK + """, bw AS (SELECT item_id, regexp_extract_all(lower(regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g')), '[a-z0-9]+') AS w FROM benchmark),
+bi AS (SELECT w, unnest(range(1, len(w) + 1)) AS i FROM bw), ky AS (SELECT DISTINCT k FROM (SELECT w[i] AS k FROM bi UNION ALL SELECT w[i] || ' ' || w[i + 1] FROM bi WHERE i < len(w)))
+SELECT metadata_id, coalesce(string_agg(k, ',' ORDER BY k), '') AS matched FROM kw LEFT JOIN ky ON CASE WHEN contains(k, ' ') THEN contains(kt, k) ELSE contains(' ' || kt, ' ' || k) END GROUP BY 1""")
+def keyword_table(spark, sf_dir):
+    """Each word and pair of words of the benchmark as a keyword."""
+    items = K.kept(v.table(spark, sf_dir, "benchmark").select(F.split(T.keyword_text(c("text")), " ").alias("words")), "items")
+    words = c("words")
+    pairs = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda x, i: F.concat(x, F.lit(" "), F.get(words, i + 1)))
+    keywords = items.select(F.explode(F.concat(words, pairs)).alias("keyword")).withColumn("place", c("keyword"))
+    lake = _lake(spark, sf_dir).select("metadata_id", T.keyword_text(c("title")).alias("normalised"))
+    return D.match_keywords(lake, keywords).select("metadata_id", F.array_join("matched_keywords", ",").alias("matched"))
+
+
+@query("src11_aux09_clustered_lookup", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey = (SELECT max(o_custkey) FROM orders)")
+def clustered_lookup(spark, sf_dir):
+    orders = v.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    path = _made(spark, "clustered", lambda p: K.write_clustered(orders, p, "o_custkey", 16))
+    last = orders.agg(F.max("o_custkey")).first()[0]
+    return R.lookup_clustered(spark, path, "o_custkey", last)
+
+
+@query("src15_paged_data_source", "SELECT i AS item, 1990 + i % 36 AS year, i % 97 AS citations FROM (SELECT unnest(range((SELECT count(*) FROM orders))) AS i) WHERE 1990 + i % 36 >= 2005 AND i % 97 > 3")
+def paged_data_source(spark, sf_dir):
+    """A service with one item per order; it applies the limit of the year, Spark that of the citations."""
+    n = v.table(spark, sf_dir, "orders").count()
+
+    def found(conditions: list) -> list[int]:
+        least = max([x for _, op, x in conditions if op == ">="], default=0)
+        return [i for i in range(n) if 1990 + i % 36 >= least]
+
+    def fetch(conditions: list, offset: int, size: int) -> list[tuple]:
+        return [(i, 1990 + i % 36, i % 97) for i in found(conditions)[offset : offset + size]]
 
-    return general.select("general_evidence_id", F.row_number().over(Window.orderBy(*[c(k).asc_nulls_first() for k in E.GROUP])).cast("long").alias("place"))
+    register_paged(spark, "papers_service", Service(fetch, lambda x: len(found(x)), ("year",), size=500, pages_per_task=4), "item long, year long, citations long")
+    return spark.read.format("papers_service").load().filter("year >= 2005 and citations > 3")

@@ -40,6 +40,7 @@ def query(name: str, sql: str | None = None):
 # Evidence
 
 _NAME = "replace(regexp_replace(regexp_replace(trim(regexp_replace(lower({0}), '[^a-z0-9]+', '_', 'g'), '_'), '_consumption$', ''), '_intake$', ''), 'whole_egg', 'egg')"
+_ASCII = "array_to_string(list_transform(string_split(setting, ''), lambda x: CASE WHEN x = '\"' THEN '\\\"' WHEN ord(x) < 127 THEN x WHEN ord(x) < 65536 THEN '\\u' || printf('%04x', ord(x)) ELSE '\\u' || printf('%04x', 55296 + (ord(x) - 65536) // 1024) || '\\u' || printf('%04x', 56320 + (ord(x) - 65536) % 1024) END), '')"
 _EV = f"""
 WITH ev AS ({v.duck(v.EVIDENCE)}), sc AS ({v.duck(v.SCOPES)}),
 o0 AS (SELECT ordinal, unnest(range(len(raw_outcomes))) AS pos, unnest(raw_outcomes) AS term FROM ev WHERE raw_outcomes IS NOT NULL),
@@ -51,7 +52,7 @@ fan AS (SELECT ev.*, o.term AS raw_outcome FROM ev LEFT JOIN outs o ON ev.ordina
 pj AS (SELECT canonical_evidence_id, f.paper_id, f.study_id, 'exposure.' || e.n AS exposure_id, 'outcome.' || o.n AS outcome_id,
     coalesce(organism, CASE d WHEN 'animal_experiment' THEN 'animal' WHEN 'in_vitro' THEN 'in_vitro' ELSE 'unclear' END) AS organism,
     population_scope, effect_direction, coalesce(d, 'unclear') AS study_design, evidence_role_in_paper, assertion_type, coalesce(comparator <> '', false) OR coalesce(quantitative_summary <> '', false) OR coalesce(len(quantitative_values) > 0, false) AS has_quant, has_grounding, canonical_evidence_status,
-    '{{' || concat_ws(',', '"amount":"' || amount || '"', '"setting":"' || setting || '"') || '}}' AS context_json
+    '{{' || concat_ws(',', '"amount":"' || amount || '"', '"setting":"' || {_ASCII} || '"') || '}}' AS context_json
   FROM fan f LEFT JOIN exr e ON e.n = {_NAME.format('raw_exposure')} LEFT JOIN our o ON o.n = {_NAME.format('raw_outcome')}
   LEFT JOIN ls ON ls.paper_id = f.paper_id AND ls.study_id = f.study_id),
 pf AS (SELECT *, concat_ws('; ', CASE WHEN NOT has_grounding THEN 'missing source grounding' END,

@@ -21,7 +21,7 @@ SELECT 'ce_' || o_orderkey AS canonical_evidence_id, 'paper_' || o_custkey AS pa
   CASE o_orderkey % 4 WHEN 0 THEN 'association' WHEN 1 THEN 'causal_effect' ELSE 'comparative_effect' END AS assertion_type,
   CASE WHEN o_totalprice > 150000 THEN 'control' WHEN o_orderkey % 2 = 0 THEN '' END AS comparator, CASE WHEN o_totalprice > 100000 THEN 'n = 3' END AS quantitative_summary,
   CASE WHEN o_totalprice > 50000 THEN {list}(o_totalprice) END AS quantitative_values, o_orderkey % 31 <> 0 AS has_grounding,
-  CASE WHEN o_orderkey % 10 = 3 THEN 'clinic \u00e9' END AS setting, CASE WHEN o_orderkey % 6 = 1 THEN 'dose ' || (o_orderkey % 2) END AS amount,
+  CASE WHEN o_orderkey % 10 = 3 THEN 'clinic \u00e9' WHEN o_orderkey % 50 = 4 THEN 'ward \U0001f600 \"b\"' END AS setting, CASE WHEN o_orderkey % 6 = 1 THEN 'dose ' || (o_orderkey % 2) END AS amount,
   CASE WHEN o_orderkey % 37 = 0 THEN 'rejected' ELSE 'accepted' END AS canonical_evidence_status,
   CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 29 = 0 THEN 'cohort_' || (o_orderkey % 997) ELSE n_name END AS population_scope,
   o_orderkey AS ordinal

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -105,6 +106,13 @@ def point_lookup(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.filter(c(key) == value)
 
 
+def lookup_clustered(spark: SparkSession, path: str, key: str, value) -> DataFrame:
+    """Rows of one key of a table that ``sinks.write_clustered`` wrote: only files whose range holds it are opened, and Bloom filters skip their row groups."""
+    files = [r.file for r in spark.read.parquet(f"{path}/ranges").filter((c("first") <= F.lit(value)) & (c("last") >= F.lit(value))).select("file").collect()]
+    schema = spark.read.parquet(f"{path}/rows").schema
+    return spark.read.schema(schema).parquet(*files).filter(c(key) == value) if files else spark.createDataFrame([], schema)
+
+
 def ordered_ids(df: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     out = df.select(key).distinct().orderBy(key)
     return out if limit is None else out.limit(limit)
@@ -171,19 +179,33 @@ def read_paged(requests: DataFrame, fetch: Callable[[dict, int, int], list[dict]
     return requests.mapInPandas(run, ddl)
 
 
-def call_port_in_order(df: DataFrame, key: str, order: str, port: Callable[[dict, dict | None], dict], ddl: str) -> DataFrame:
-    """Rows of a key one after another, each with what the one before gave: batches that carry context."""
-    ship(df.sparkSession)
-    names = [f.name for f in df.sparkSession.createDataFrame([], ddl).schema]
+def call_port_in_order(df: DataFrame, key: str, order: str, port: Callable[[dict, dict | None], dict], ddl: str, done: DataFrame | None = None) -> DataFrame:
+    """Rows of a key one after another, each with what the one before gave: batches that carry context.
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        out, before = [], None
-        for row in frame.sort_values(order).to_dict("records"):
-            before = {**dict.fromkeys(names), **port(row, before)}
-            out.append(before)
-        return pd.DataFrame(out, columns=names)
+    Rows are dealt by key, sorted, and streamed: a task holds one batch of rows and the last answer of one key. ``done`` are
+    answers of a run that stopped (the columns of ``ddl``, with key and order): a key goes on after its last one.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    names = [f.name for f in spark.createDataFrame([], ddl).schema]
+    rows = df.withColumn("__before", F.lit(None).cast("string"))
+    if done is not None:
+        last = done.groupBy(key).agg(F.max_by(F.to_json(F.struct(*names)), order).alias("__before"), F.max(order).alias("__done"))
+        rows = df.join(last, key, "left").filter(c("__done").isNull() | (c(order) > c("__done"))).drop("__done").select(*df.columns, "__before")
 
-    return df.groupBy(key).applyInPandas(run, ddl)
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, before = None, None
+        for frame in it:
+            out = []
+            for row in frame.to_dict("records"):
+                mark = row.pop("__before")
+                if before is None or row[key] != now and not (pd.isna(row[key]) and pd.isna(now)):
+                    now, before = row[key], ({**dict.fromkeys(names), **json.loads(mark)} if isinstance(mark, str) else None)
+                before = {**dict.fromkeys(names), **port(row, before)}
+                out.append(before)
+            yield pd.DataFrame(out, columns=names)
+
+    return rows.repartition(c(key)).sortWithinPartitions(key, order).mapInPandas(run, ddl)
 
 
 PROVIDER_SCHEMAS = {

@@ -97,6 +97,14 @@ def vacuum(spark: SparkSession, path: str) -> int:
     return len(old)
 
 
+def write_clustered(df: DataFrame, path: str, key: str, files: int) -> None:
+    """Write ``df`` in ranges of a key, sorted, with Bloom filters on it, and beside it a table of each file's first and last key."""
+    rows = df.repartitionByRange(files, key).sortWithinPartitions(key)
+    rows.write.option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(f"{path}/rows")
+    each = df.sparkSession.read.schema(df.schema).parquet(f"{path}/rows").groupBy(c("_metadata.file_path").alias("file"))
+    each.agg(F.min(key).alias("first"), F.max(key).alias("last")).write.parquet(f"{path}/ranges")
+
+
 def replace_build(df: DataFrame, path: str) -> None:
     """Replace the builds that ``df`` holds, and no others."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("build_id").parquet(path)
