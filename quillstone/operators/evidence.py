@@ -135,10 +135,9 @@ def general_evidence(rows: DataFrame, build_id: str) -> DataFrame:
 
 
 def in_groups(rows: DataFrame, general: DataFrame) -> DataFrame:
-    """Accepted projections with their group's id and dominant direction. Null keys are equal to each other."""
-    keys = general.select("general_evidence_id", "dominant_direction", *[c(k).alias(f"g_{k}") for k in GROUP])
-    on = [c(k).eqNullSafe(c(f"g_{k}")) for k in GROUP]
-    return rows.filter("projection_status <> 'rejected'").join(keys, on).drop(*[f"g_{k}" for k in GROUP])
+    """Accepted projections with their group's id and dominant direction. The id is that of the keys, null ones too, so one key joins them."""
+    keyed = rows.filter("projection_status <> 'rejected'").withColumn("general_evidence_id", stable_id("general_evidence", c("build_id"), *map(c, GROUP)))
+    return keyed.join(general.select("general_evidence_id", "dominant_direction"), "general_evidence_id")
 
 
 def rank_order(rank: Column) -> Column:

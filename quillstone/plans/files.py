@@ -18,6 +18,7 @@ from ..operators import store
 from ..operators.ordering import numbered, tuple_text
 from ..operators import validation as V
 from ..sources import config as C
+from ..sources import moves
 from ..sources import readers as R
 from ..sources import sinks as K
 from ..sources.paged import Service, register_paged
@@ -65,11 +66,12 @@ def doi_lists(spark, sf_dir):
     return R.load_seeds(spark, path, f"{path}-none").select("doi")
 
 
-@query("src06_keyword_dictionary", "SELECT unnest(['cafe', 'whole grain', 'the']) AS keyword, unnest([1, 2, 3]) AS place")
+@query("src06_keyword_dictionary", "SELECT k AS keyword, row_number() OVER (ORDER BY min(p_partkey)) AS place FROM (SELECT p_partkey, array_to_string(regexp_extract_all(lower(p_name), '[a-z0-9]+'), ' ') AS k FROM part) WHERE k <> '' GROUP BY k")
 def keyword_dictionary(spark, sf_dir):
-    lines = spark.range(1).select(F.explode(F.array(*map(F.lit, ["Café", "# no", "", "whole  GRAIN", "cafe", "The"]))).alias("value"))
-    path = _made(spark, "words", lambda p: lines.coalesce(1).write.text(p))
-    return spark.createDataFrame([(k, n) for n, k in enumerate(R.read_keywords(spark, path), 1)], "keyword string, place int")
+    """The names of parts as a dictionary with notes and blank lines."""
+    parts = v.table(spark, sf_dir, "part").orderBy("p_partkey")
+    path = _made(spark, "words", lambda p: parts.select(F.explode(F.array(F.lit("# note"), F.concat(F.lit(" "), "p_name"), F.lit(""), F.initcap("p_name"))).alias("value")).write.text(p))
+    return numbered(R.keyword_lines(spark, path), [c("pos")]).select("keyword", "place")
 
 
 @query("src09_snk16_aux24_paper_files", "SELECT 'sha256:' || sha256(chr(123) || '\"name\":\"' || s_name || '\"}' || chr(10)) AS hash, count(*) AS n FROM supplier GROUP BY 1")
@@ -91,9 +93,9 @@ def tables(spark, sf_dir):
     return part(R.point_lookup(found, "paper_id", "paper_7"), "one", "paper_7", F.count("*")).unionByName(first).unionByName(part(found, "all", "any", F.count("*")))
 
 
-@query("src14_aux01_sibling_maps", "SELECT s_name AS name, CASE WHEN s_suppkey % 3 <> 0 THEN 'design ' || s_suppkey % 4 END AS design FROM supplier WHERE s_suppkey <= 60")
+@query("src14_aux01_sibling_maps", "SELECT s_name AS name, CASE WHEN s_suppkey % 3 <> 0 THEN 'design ' || s_suppkey % 4 END AS design FROM supplier")
 def sibling_maps(spark, sf_dir):
-    rows = v.table(spark, sf_dir, "supplier").filter("s_suppkey <= 60").withColumn("paper", c("s_suppkey"))
+    rows = v.table(spark, sf_dir, "supplier").withColumn("paper", c("s_suppkey")).repartition("paper")
     folder = K.scratch(spark, "siblings")
     rows.select("paper", c("s_name").alias("name")).write.partitionBy("paper").json(f"{folder}/evidence")
     rows.filter("s_suppkey % 3 <> 0").select("paper", F.concat(F.lit("design "), (c("paper") % 4).cast("string")).alias("design")).write.partitionBy("paper").json(f"{folder}/maps")
@@ -148,24 +150,34 @@ def provider_url(spark, sf_dir):
     return R.provider_urls(asked).select("metadata_id", "url")
 
 
-@query("src19_src20_scl27_scl35_scl36_scl47_aux33_settings", """SELECT unnest(['answer', 'compiled', 'merged', 'mode', 'prompt', 'public', 'value']) AS name, unnest(['{"a": {"b": "}"}}', '1 {x} 3', '{"q": 1, "x": {"y": 3, "z": 2}}', 'full_text', 'from the folder', '{"model": "m"}', 'set']) AS value""")
+@query("src19_src20_scl27_scl35_scl36_scl47_aux33_settings", """SELECT c_custkey, '{"a": {"b": "}' || c_custkey || '"}}' AS answer, c_name || ' {x} ' || c_custkey AS compiled, '{"seen": ' || c_custkey || ', "x": {"y": 3, "z": 2}}' AS merged,
+CASE WHEN c_custkey % 2 = 0 THEN 'full_text' ELSE 'abstract' END AS mode, CASE WHEN c_custkey % 3 = 0 THEN 'from the folder' ELSE 'remote ' || c_custkey END AS prompt, '{"model": "' || c_mktsegment || '"}' AS public, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'unset' END AS value FROM customer""")
 def settings(spark, sf_dir):
-    import tempfile
-    from pathlib import Path
-
+    """Settings, prompts and answers for each customer: files are read once, by Spark, and overlaid with the row's values."""
     from ..functions.ids import public_config
 
-    def down(_):
-        raise OSError("the registry is down")
-
-    with tempfile.TemporaryDirectory() as folder:  # settings are read by the driver alone
-        for name, text in (("a.json", '{"x": {"y": 1, "z": 2}}'), ("b.json", '{"x": {"y": 3}}'), ("p.md", "from the folder")):
-            (Path(folder) / name).write_text(text)
-        rows = {
-            "answer": json.dumps(C.extract_json('```json\n{"a": {"b": "}"}} tail\n```')), "compiled": C.compile_template("{{a}} {b} {{c}}", {"a": 1, "b": "{x}", "c": 3}), "merged": json.dumps(C.load_config(Path(folder), {"q": 1}), sort_keys=True),
-            "mode": C.selection_mode(" full ", {"full": "full_text"}), "prompt": C.Prompts(Path(folder), down).get("p"), "public": json.dumps(public_config({"api_key": "x", "model": "m"})), "value": C.first_setting(None, " ", "set", default="unset"),
+    cust = v.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    files = spark.createDataFrame([("a.json", '{"x": {"y": 1, "z": 2}}'), ("b.json", '{"x": {"y": 3}}'), ("p.md", "from the folder")], "name string, value string")
+    folder = _made(spark, "settings", lambda p: files.coalesce(1).write.partitionBy("name").text(p))
+    texts = {k: C.texts_in(spark, f"{folder}/name={k}") for k in ("a.json", "b.json", "p.md")}
+    texts = {k: next(iter(t.values())).rstrip("\n") for k, t in texts.items()}
+
+    def settled(row: dict) -> dict:
+        k = row["c_custkey"]
+
+        def remote(_: str) -> str:
+            if k % 3 == 0:
+                raise OSError("the registry is down")
+            return f"remote {k}"
+
+        return {
+            "c_custkey": k, "answer": json.dumps(C.extract_json(f'```json\n{{"a": {{"b": "}}{k}"}}}} tail\n```')), "compiled": C.compile_template("{{name}} {b} {{key}}", {"name": row["c_name"], "b": "{x}", "key": k}),
+            "merged": json.dumps(C.load_config(texts, {"seen": k}), sort_keys=True), "mode": C.selection_mode(" full " if k % 2 == 0 else "short", {"full": "full_text", "short": "abstract"}), "prompt": C.Prompts(texts, remote).get("p"),
+            "public": json.dumps(public_config({"api_key": str(k), "model": row["c_mktsegment"]})), "value": C.first_setting(None, " ", row["c_name"] if k % 2 == 0 else None, default="unset"),
         }
-    return spark.createDataFrame(sorted(rows.items()), "name string, value string")
+
+    names = ["answer", "compiled", "merged", "mode", "prompt", "public", "value"]
+    return R.call_port(cust, settled, "c_custkey long, " + ", ".join(f"{x} string" for x in names)).filter("error is null").drop("error")
 
 
 # Stores
@@ -316,6 +328,22 @@ def link_rows(spark, sf_dir):
     return D.link_rows(_lake(spark, sf_dir).withColumn("source_pdf_path", F.lit("in.pdf")), "now").select("metadata_id", "paper_id", "artifact_pdf_path")
 
 
+@query("snk21_snk23_aux31_moved_files", "SELECT 's' || s_suppkey AS name, CASE WHEN s_suppkey % 5 = 0 THEN 'missing' WHEN s_suppkey % 3 = 0 THEN 'conflict' WHEN s_suppkey % 7 = 0 THEN 'same' ELSE 'copied' END AS outcome, s_suppkey % 5 <> 0 AND s_suppkey % 3 <> 0 AS equal FROM supplier")
+def moved_files(spark, sf_dir):
+    """A file per supplier copied to its new place: some are there already, alike or not, and some sources are missing. A second run finds all done."""
+    rows = v.table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("name"), "s_suppkey", "s_name")
+    root = K.scratch(spark, "moves")
+    at = lambda side: F.concat(F.lit(f"{root}/{side}/name="), "name", F.lit("/x.pdf"))
+    moves.write_files(rows.filter("s_suppkey % 5 <> 0").select(at("old").alias("path"), c("s_name").cast("binary").alias("content")))
+    there = rows.filter("s_suppkey % 5 <> 0 and (s_suppkey % 3 = 0 or s_suppkey % 7 = 0)")
+    moves.write_files(there.select(at("new").alias("path"), F.when(c("s_suppkey") % 3 == 0, "other").otherwise(c("s_name")).cast("binary").alias("content")))
+    plan = rows.select(at("old").alias("source"), at("new").alias("target"), "name")
+    first = K.kept(moves.copy_files(plan), "report")
+    again = moves.copy_files(plan).select("target", c("outcome").alias("second"), c("sha256").alias("now"))
+    done = first.join(again, "target").filter("second = if(outcome = 'copied', 'same', outcome)")
+    return done.select("name", "outcome", (c("second") == "same").alias("equal"))
+
+
 # Filters, nested values, scalars, validators
 
 

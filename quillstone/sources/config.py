@@ -7,6 +7,9 @@ import re
 from collections.abc import Mapping
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
 
 def deep_merge(base: Mapping, more: Mapping) -> dict:
     """Settings of ``base`` overlaid by ``more``, mappings merged at each level."""
@@ -16,11 +19,18 @@ def deep_merge(base: Mapping, more: Mapping) -> dict:
     return out
 
 
-def load_config(folder: Path, override: Mapping | None = None, parse=json.loads) -> dict:
-    """All files of a folder in order of name, then the override; ``parse`` reads YAML where a parser is at hand."""
+def texts_in(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The texts of a folder's files by name, from any store that Spark reads; for settings and prompts, which are few and small."""
+    rows = spark.read.text(folder, wholetext=True).select(F.regexp_extract("_metadata.file_path", "([^/]+)$", 1).alias("name"), "value")
+    return {r["name"]: r["value"] for r in rows.collect()}
+
+
+def load_config(folder: Path | Mapping[str, str], override: Mapping | None = None, parse=json.loads) -> dict:
+    """All files of a folder, or texts by file name, in order of name, then the override; ``parse`` reads YAML where a parser is at hand."""
+    texts = folder if isinstance(folder, Mapping) else {p.name: p.read_text(encoding="utf-8") for p in folder.iterdir() if p.is_file()}
     out: dict = {}
-    for f in sorted(p for p in folder.iterdir() if p.suffix in (".json", ".yaml", ".yml")):
-        out = deep_merge(out, parse(f.read_text(encoding="utf-8")) or {})
+    for name in sorted(n for n in texts if n.endswith((".json", ".yaml", ".yml"))):
+        out = deep_merge(out, parse(texts[name]) or {})
     return deep_merge(out, override or {})
 
 
@@ -40,9 +50,9 @@ def compile_template(template: str, values: Mapping[str, object]) -> str:
 
 
 class Prompts:
-    """Prompts of a remote registry, or of a folder where that fails."""
+    """Prompts of a remote registry, or of a folder (or texts by file name) where that fails."""
 
-    def __init__(self, folder: Path, remote=None) -> None:
+    def __init__(self, folder: Path | Mapping[str, str], remote=None) -> None:
         self.folder, self.remote = folder, remote
 
     def get(self, name: str) -> str:
@@ -51,7 +61,7 @@ class Prompts:
                 return self.remote(name)
             except Exception:  # noqa: BLE001  any failure of the registry falls back
                 pass
-        return (self.folder / f"{name}.md").read_text(encoding="utf-8")
+        return self.folder[f"{name}.md"] if isinstance(self.folder, Mapping) else (self.folder / f"{name}.md").read_text(encoding="utf-8")
 
 
 def extract_json(answer: str) -> dict:

@@ -68,10 +68,15 @@ def load_seeds(spark: SparkSession, path: str, fallback: str) -> DataFrame:
     return read_doi_list(spark, path if exists(spark, path) else fallback)
 
 
+def keyword_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(keyword, pos) of a dictionary: normalised, each at its first place; pos orders them."""
+    rows = ordered_lines(spark, path).select("pos", T.keyword_text(c("line")).alias("keyword")).filter("keyword <> ''")
+    return rows.groupBy("keyword").agg(F.min("pos").alias("pos"))
+
+
 def read_keywords(spark: SparkSession, path: str) -> list[str]:
-    """Normalised keywords in order, each once; an empty dictionary is an error."""
-    rows = ordered_lines(spark, path).select("pos", T.keyword_text(c("line")).alias("k")).filter("k <> ''")
-    words = [r.k for r in rows.groupBy("k").agg(F.min("pos").alias("pos")).orderBy("pos").collect()]
+    """Normalised keywords in order, each once; an empty dictionary is an error. For one of any size take ``keyword_lines``."""
+    words = [r.keyword for r in keyword_lines(spark, path).orderBy("pos").collect()]
     if not words:
         raise ValueError("the keyword dictionary is empty")
     return words
