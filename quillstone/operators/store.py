@@ -21,6 +21,8 @@ def one_of(column: str, values: list[str]) -> dict[str, str]:
 
 #: The store's tables and the rules of their rows.
 TABLES = {
+    "paper_metadata": Table(("metadata_id",)),
+    "delivered_outbox": Table(("outbox_id",), grows=True),
     "structured_papers": Table(("paper_id",)),
     "structured_blocks": Table(("block_id",), required=("paper_id",)),
     "paper_classifications": Table(("paper_id", "pipeline_run_id")),

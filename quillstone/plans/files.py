@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import commands
 from ..functions import text as T
 from ..operators import blocks as B
 from ..operators import evidence as E
@@ -25,7 +26,7 @@ from ..sources.paged import Service, register_paged
 from ..sources.tables import BrokenRulesError, Store, Table
 from ..streaming import events as X
 from . import views as v
-from .registry import _BL, _EV, _FACTS, _LK, _PS, _blocks, _facts, _general, _grouped, _lake, _projections, query
+from .registry import ORACLE_SQL, _BL, _EV, _FACTS, _LK, _PS, _blocks, _facts, _general, _grouped, _lake, _projections, query
 
 c = F.col
 
@@ -273,6 +274,28 @@ def published_build(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("snk03_metadata_store", ORACLE_SQL["snk03_upsert_lake"])
+def metadata_store(spark, sf_dir):
+    lake, stored = _lake(spark, sf_dir), commands.open_store(spark, K.scratch(spark, "store"))
+    for cond, version, at in (("doc_id % 3 <> 0", "v1", "old"), ("doc_id % 3 <> 1", "v2", "new")):
+        commands.upsert_metadata(stored, lake.filter(cond).select("metadata_id", "doi", "title", F.lit(version).alias("version"), F.lit(at).alias("created_at")))
+    return stored.read("paper_metadata").select("metadata_id", "doi", "version", "created_at")
+
+
+@query("aux02_from_doi_store", _LK + " SELECT doi, CASE WHEN doc_id % 2 = 0 AND doc_id % 11 <> 0 THEN 'skipped' WHEN doc_id % 11 = 0 THEN 'failed' ELSE 'created' END AS status FROM lk WHERE doi IS NOT NULL")
+def from_doi_store(spark, sf_dir):
+    """DOIs of even documents are fetched first, then all: what the store has is not asked for again."""
+    lake, stored = _lake(spark, sf_dir).filter("doi is not null"), commands.open_store(spark, K.scratch(spark, "store"))
+
+    def fetch(row: dict) -> dict:
+        if int(row["doi"].rpartition("doc")[2]) % 11 == 0:
+            raise ValueError("not found")
+        return {"title": f"paper {row['doi']}"}
+
+    K.kept(commands.metadata_from_dois(stored, lake.filter("doc_id % 2 = 0").select("doi"), fetch, "now"), "first")
+    return commands.metadata_from_dois(stored, lake.select("doi"), fetch, "later").select("doi", "status")
+
+
 @query("snk12_aux14_status_file", _PS + " SELECT paper_id, CASE s WHEN 'succeeded' THEN 'done' ELSE s END AS status FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY event_at DESC) AS n FROM se) WHERE n = 1 AND s IN ('succeeded', 'failed')")
 def status_file(spark, sf_dir):
     log = S.events_to_states(v.view(spark, sf_dir, v.EVENTS)).select("paper_id", F.when(c("status") == "succeeded", "done").otherwise(c("status")).alias("status"), c("event_at").alias("line"))

@@ -63,12 +63,16 @@ def _chunks(fs: pafs.FileSystem, path: str) -> Iterator[bytes]:
             yield part
 
 
-def moved(source: str, target: str, move: bool, overwrite: bool) -> tuple[str, str | None, int | None]:
+def moved(source: str, target: str, move: bool, overwrite: bool, starts: bytes = b"") -> tuple[str, str | None, int | None]:
     """(outcome, SHA-256 of what the target holds, bytes of the source) of one file."""
     (from_fs, a), (to_fs, b) = opened(source), opened(target)
     new, old = digest(from_fs, a), digest(to_fs, b)
     if new is None:
         return "missing", old and old[0], None
+    if starts:
+        with from_fs.open_input_stream(a) as f:
+            if f.read(len(starts)) != starts:
+                raise ValueError("the file is of another kind")
     if old == new:
         outcome, sha = "same", old[0]
     elif old is not None and not overwrite:
@@ -80,11 +84,11 @@ def moved(source: str, target: str, move: bool, overwrite: bool) -> tuple[str, s
     return outcome, sha, new[1]
 
 
-def copy_files(plan: DataFrame, move: bool = False, overwrite: bool = False) -> DataFrame:
+def copy_files(plan: DataFrame, move: bool = False, overwrite: bool = False, starts: bytes = b"") -> DataFrame:
     """The plan (source, target, ...) with outcome, sha256, n_bytes, error: each source copied, or moved, to its target.
 
     copied; same (the target holds the same bytes); conflict (it holds others, and stays, unless ``overwrite``); missing (no source);
-    failed, with the error. A null source or target is failed. The files are their own journal: a run that stopped is run again, and what it
+    failed, with the error: a null source or target, or a file that does not begin with ``starts``. The files are their own journal: a run that stopped is run again, and what it
     copied is the same then. A moved source goes after its target has been read back. Sources of one target are taken
     in order by one task: the first is copied, those that differ from it are conflicts. Write the result once: each action on it copies anew.
     """
@@ -98,7 +102,7 @@ def copy_files(plan: DataFrame, move: bool = False, overwrite: bool = False) ->
                 try:
                     if source is None or target is None:
                         raise ValueError("source and target are required")
-                    out.append((*moved(source, target, move, overwrite), None))
+                    out.append((*moved(source, target, move, overwrite, starts), None))
                 except Exception as e:  # noqa: BLE001  what a store raises is the outcome
                     out.append(("failed", None, None, f"{type(e).__name__}: {e}"))
             kinds = (pa.string(), pa.string(), pa.int64(), pa.string())

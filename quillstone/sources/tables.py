@@ -24,6 +24,8 @@ from .sinks import kept
 c = F.col
 #: Layers of changes on a bucket; the change after them writes the bucket anew.
 LAYERS = 8
+#: A column that marks keys as removed, in the layers alone.
+GONE = "__gone"
 #: Tries of a writer that others overtake.
 TRIES = 20
 
@@ -152,7 +154,7 @@ class Store:
         whole = self.spark.createDataFrame([], schema) if not out else out[0]
         for rows in out[1:]:
             whole = whole.unionByName(rows)
-        return whole
+        return whole.filter(f"{GONE} is null").drop(GONE) if GONE in schema.names else whole
 
     def _rows(self, folder: str, schema: StructType, labels: list[str] | None) -> DataFrame:
         """Rows of a folder under some labels, or all, with the label; columns that the table has got since are null."""
@@ -186,8 +188,8 @@ class Store:
         rows.repartition(max(1, min(len(labels), 1000)), "__label").write.partitionBy("__label").parquet(f"{self.root}/{folder}")
         return Change(name, folder, labels, replaced, {x: entry["labels"].get(x, []) for x in labels}, schema.json())
 
-    def upsert(self, name: str, rows: DataFrame, order: str | None = None, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> Callable[[dict], Change]:
-        """The change that puts rows over those of their keys: the last by ``order``, what ``merge(old, new)`` makes of them, or the new ones.
+    def upsert(self, name: str, rows: DataFrame, order: str | None = None, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None, gone: DataFrame | None = None) -> Callable[[dict], Change]:
+        """The change that puts rows over those of their keys: the last by ``order``, what ``merge(old, new)`` makes of them, or the new ones. Rows of the keys in ``gone`` are removed.
 
         Only rows of these keys are written, as a layer; a bucket with LAYERS of them is written anew. Old rows are
         read from the touched buckets alone.
@@ -198,18 +200,22 @@ class Store:
         def change(version: dict) -> Change:
             if not written:
                 written.append(kept(rows, name))
-            new = written[0].withColumn("__label", self._label(name, version))
-            labels = sorted(r[0] for r in new.select("__label").distinct().collect())
+                written.append(written[0].select(*table.key).limit(0) if gone is None else kept(gone.select(*table.key).distinct(), name))
+            keys = written[0].select(*table.key).unionByName(written[1])
+            labels = sorted(r[0] for r in keys.select(self._label(name, version)).distinct().collect())
             entry = version["tables"].get(name, {"labels": {}})
             full = {x for x in labels if len(entry["labels"].get(x, [])) >= LAYERS}
             new, key = written[0], list(table.key)
             touched = None if table.grows and not full else self.read(name, version, set(labels))
             old = new.limit(0) if touched is None else touched
             known = old.join(new.select(*key).distinct(), key, "left_semi")
+            removed = written[1].join(new.select(*key), key, "left_anti").withColumn(GONE, F.lit(True))
             out = merge(known, new) if merge else last_wins(known.unionByName(new, allowMissingColumns=True), key, [order]) if order else new
             if full:
-                rest = self.read(name, version, full).join(new.select(*key).distinct(), key, "left_anti")
+                rest = self.read(name, version, full).join(keys.distinct(), key, "left_anti")
                 out = out.unionByName(rest, allowMissingColumns=True)
+            if gone is not None:
+                out = out.unionByName(removed, allowMissingColumns=True)
             return self._written(name, out.withColumn("__label", self._label(name, version)), labels, full, version)
 
         return change
@@ -263,6 +269,7 @@ class Store:
         for own in changes:
             table, name = self.tables[own.name], own.name
             rows = self._rows(own.folder, StructType.fromJson(json.loads(own.schema)), own.labels).drop("__label")
+            rows = rows.filter(f"{GONE} is null").drop(GONE) if GONE in rows.columns else rows
             key = list(table.key)
 
             def say(df: DataFrame, rule: str, key: list[str] = key, name: str = name) -> None:

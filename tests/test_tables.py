@@ -138,3 +138,19 @@ def test_metadata_upsert_keeps_created(spark, tmp_path):
     store.commit(store.upsert("lake", old))
     store.commit(store.upsert("lake", old.filter("metadata_id = 'm1'").withColumns({"version": F.lit("v2"), "created_at": F.lit("new")}), merge=upsert))
     assert sorted((r.metadata_id, r.version, r.created_at) for r in store.read("lake").collect()) == [("m1", "v2", "old"), ("m2", "v1", "old")]
+
+
+def test_removed_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(T, "LAYERS", 2)
+    store = Store(spark, str(tmp_path / "s"), {"t": Table(("k",), buckets=2, required=("v",))})
+    put = lambda *x: spark.createDataFrame(list(x), "k int, v string")
+    keys = lambda *x: spark.createDataFrame([(k,) for k in x], "k int")
+    state = lambda: sorted(map(tuple, store.read("t").collect()))
+    store.commit(store.upsert("t", put((1, "a"), (2, "b"), (3, "c"))))
+    store.commit(store.upsert("t", put((4, "d")), gone=keys(2, 9)))
+    assert state() == [(1, "a"), (3, "c"), (4, "d")] and store.read("t").columns == ["k", "v"]
+    store.commit(store.upsert("t", put((2, "e"), (3, "f")), gone=keys(3, 4)))  # a key that is given too stays
+    assert state() == [(1, "a"), (2, "e"), (3, "f")]
+    for k in range(3):  # through buckets written anew
+        store.commit(store.upsert("t", put((2, f"g{k}")), gone=keys(1)))
+    assert state() == [(2, "g2"), (3, "f")]
