@@ -50,7 +50,7 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inne
 HOT_ROWS = 1000
 
 
-def join_counted(rows: DataFrame, counted: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def join_counted(rows: DataFrame, counted: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """Join with a written table of one row per key, whose ``size`` is the key's number of rows.
 
     Keys over HOT_ROWS come as a broadcast, so that their rows stay where they are; the others are shuffled. There is
@@ -63,6 +63,13 @@ def join_counted(rows: DataFrame, counted: DataFrame, on: str, how: str = "inner
     return rows.join(F.broadcast(hot), on).unionByName(apart)
 
 
+def join_sized(rows: DataFrame, counted: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """``join_small`` within the bound of a broadcast, else ``join_counted``; without the column ``size``."""
+    if counted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(counted.drop("size")), on, how)
+    return join_counted(rows, counted, on, how).drop("size")
+
+
 def lower_az(text: Column) -> Column:
     """Lower-case A-Z only; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, batches, join_small, prepare, rows_of, table, written
+from .common import LOWER, UPPER, batches, join_sized, prepare, rows_of, table, written
 
 #: A line in more than this share (in per cent) of a host's documents is removed there, if it is in more than LINE_FLOOR of them.
 LINE_PERCENT, LINE_FLOOR = 5, 5
@@ -79,17 +79,19 @@ def _counted(docs: DataFrame, row: F.Column, id_col: str, text_col: str, host_co
 
     Rows that share an identifier are one document; a row without one is a document of its own. A null host
     is a host of its own. Both counts first bring a document's rows together, spread by the whole key,
-    and then combine on the map side, so that neither a hot host nor a hot line meets in one task.
+    and then combine on the map side, and the joins keep rows of hot hosts and hot lines where they are, so that neither
+    meets in one task.
     """
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("")).alias("host"), row.alias("row"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw"))
     stats = written(rows.mapInArrow(_stats, _STATS_DDL), "lines")
     document = ["doc_id", F.when(F.col("doc_id").isNull(), F.col("row")).alias("own")]
     size = stats.groupBy("host", *document).agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("documents"))
+    size = written(size.withColumn("size", F.col("documents")), "hosts")
     lines = stats.select("row", "host", "doc_id", F.inline("lines"))
     found = lines.groupBy("host", "h", *document).agg(F.lit(1)).groupBy("host", "h").agg(F.count("*").alias("n"))
-    often = found.filter(F.col("n") > floor).join(size, "host").filter(100 * F.col("n") > percent * F.col("documents"))
-    return stats, lines, written(often.select("host", "h"), "frequent-lines")
+    often = join_sized(found.filter(F.col("n") > floor), size, "host").filter(100 * F.col("n") > percent * F.col("documents"))
+    return stats, lines, written(often.select("host", "h", F.col("n").alias("size")), "frequent-lines")
 
 
 def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", line_percent: int = LINE_PERCENT, line_floor: int = LINE_FLOOR, keep_percent: int = KEEP_PERCENT) -> DataFrame:
@@ -105,7 +107,7 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     table gives no rows.
     """
     stats, lines, often = _counted(docs, F.monotonically_increasing_id(), id_col, text_col, host_col, line_percent, line_floor)
-    removed = join_small(lines, often, ["host", "h"]).groupBy("row").agg(F.sum("words").alias("removed"))
+    removed = join_sized(lines, often, ["host", "h"]).groupBy("row").agg(F.sum("words").alias("removed"))
     judged = stats.drop("lines", "host").join(removed, "row", "left")
     left = F.col("n_words") - F.coalesce("removed", F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
@@ -122,7 +124,7 @@ def without_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     _, lines, often = _counted(numbered, F.col("__row"), id_col, text_col, host_col, line_percent, line_floor)
-    gone = join_small(lines, often, ["host", "h"]).groupBy(F.col("row").alias("__row")).agg(F.collect_set("h").alias("__gone"))
+    gone = join_sized(lines, often, ["host", "h"]).groupBy(F.col("row").alias("__row")).agg(F.collect_set("h").alias("__gone"))
     kept = numbered.join(gone, "__row", "left").drop("__row")
     names, text, at = docs.columns, kept.columns.index(text_col), kept.columns.index("__gone")
 

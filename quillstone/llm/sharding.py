@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import join_counted, table, written
 
 #: Bits of an address: the first 15 hexadecimal digits of MD5 of the key as text.
 BITS = 60
@@ -40,12 +40,13 @@ def extendible_shards(docs: DataFrame, key_col: str = "doc_id", text_col: str =
         depths = depths.withColumn("prefix", F.expr(f"shiftright(cell, {bits} - depth)"))
         sizes = depths.groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"), F.sum("docs").alias("shard_docs"))
         fits = sizes.filter((F.col("shard_bytes") <= limit) | (F.col("depth") == BITS))
-        best = depths.join(fits, ["depth", "prefix"]).groupBy("cell").agg(F.min(F.struct("depth", "prefix", "shard_bytes", "shard_docs")).alias("s"))
-        best = written(best.select("cell", "s.*"), "directory")
-        found.append(rows.withColumn("cell", cell).join(best, "cell"))
+        best = depths.join(fits, ["depth", "prefix"]).groupBy("cell").agg(F.min(F.struct("depth", "prefix", "shard_bytes", "shard_docs")).alias("s"), F.max("docs").alias("size"))
+        best = written(best.select("cell", "s.*", "size"), "directory")
+        placed = join_counted(rows.withColumn("cell", cell), best, "cell", "left").drop("size")  # rows of one key are one cell, and stay where they are
+        found.append(placed.filter("depth is not null"))
         if bits == BITS:
             break
-        rows = rows.withColumn("cell", cell).join(best.select("cell"), "cell", "left_anti").drop("cell")
+        rows = written(placed.filter("depth is null").select(rows.columns), "rest")
         if rows.isEmpty():
             break
         start, bits = bits + 1, min(BITS, bits + 8)

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, join_small, prepare, rows_of, table, utf8, written
+from .common import batches, join_sized, prepare, rows_of, table, utf8, written
 
 #: Compressed bytes after which an archive is closed.
 ARCHIVE_BYTES = 4 << 20
@@ -161,7 +161,9 @@ def _deduplicated(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("digest", F.when(F.octet_length("payload") >= REVISIT_BYTES, F.sha2("payload", 256)))
     groups = rows.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("size"))
     groups = written(groups.filter("size > 1"), "payloads")
-    joined = join_small(rows, groups, ["digest"], "left")
+    columns = ["page_id", "url", "payload", "first"]
+    short = rows.filter(F.col("digest").isNull()).withColumn("first", F.lit(None).cast("long")).select(columns)
+    joined = join_sized(rows.filter(F.col("digest").isNotNull()), groups, "digest", "left").select(columns).unionByName(short)
     first = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     return joined.select("page_id", "url", "payload", first.alias("first"))
 

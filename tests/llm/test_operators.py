@@ -126,6 +126,18 @@ def test_write_shards(spark, tmp_path):
     assert got == {s: (len(own), own[0].shard_bytes) for s, own in want.items()}
 
 
+def test_shards_of_one_hot_key(spark, monkeypatch):
+    """Half of the rows on one key, over the limit: one shard at full depth, with all their bytes."""
+    from quillstone.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 50)
+    rows = [(None, "x" * 100)] * 400 + [(n, "y" * 50) for n in range(400)]
+    found = sharding.extendible_shards(docs(spark, rows), limit=2000).collect()
+    hot = [r for r in found if r.doc_id is None]
+    assert len(found) == 800 and {(r.shard_bytes, r.shard_docs, r.depth, r.overflow) for r in hot} == {(40_000, 400, sharding.BITS, True)}
+    assert all(r.shard_bytes <= 2000 for r in found if r.doc_id is not None)
+
+
 # 3: near duplicates
 
 
@@ -391,6 +403,26 @@ def test_repeated_words():
         assert lines.repeated_words(words) == len(hit)
 
 
+@pytest.mark.parametrize("query, source", [("op6_line_frequency", "documents"), ("op10_warc", "pages")])
+def test_hot_keys_past_the_broadcast(spark, tmp_path, sf_dir, monkeypatch, query, source):
+    """Half of the rows have one host and one line, or one payload, and nothing may be broadcast but hot keys: the result is the same."""
+    from pyspark.sql import functions as F
+
+    from quillstone.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    given = table(spark, sf_dir, source).limit(150)
+    key, text = given.columns[0], "text" if source == "documents" else "html"
+    same = " ".join(f"word{n}" for n in range(30))
+    hot = given.withColumn(key, F.col(key) + 10_000_000).withColumn(text, F.concat(F.lit(same + "\n"), F.col(key)) if source == "documents" else F.lit(same * 5))
+    if source == "documents":
+        hot = hot.withColumn("source", F.lit("hot"))
+    given.unionByName(hot).write.parquet(str(tmp_path / f"{source}.parquet"))
+    want = sorted(map(str, registry.QUERIES[query](spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 3)
+    assert sorted(map(str, registry.QUERIES[query](spark, str(tmp_path)).collect())) == want and len(want) == 2 * given.count()
+
+
 # 7: context-tree weighting
 
 
