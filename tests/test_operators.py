@@ -152,7 +152,7 @@ def test_context_and_equal_outcomes(spark):
     tables = E.build(ev.join(contexts, "canonical_evidence_id"), scopes, "b1")
     assert tables["evidence_projections"].count() == tables["evidence_projections"].select("projection_id").distinct().count() == 4
     got = {(r.outcome_id, r.context_json): r for r in tables["general_evidence"].collect()}
-    text = json.dumps(maps["c1"], ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    text = json.dumps(maps["c1"], sort_keys=True, separators=(",", ":"))
     assert {k: r.paper_count for k, r in got.items()} == {("outcome.bmi", text): 2, ("outcome.bmi", "{}"): 1, ("outcome.ldl", text): 1}
     want = json.dumps(["b1", "exposure.egg", "outcome.bmi", "human", None, text], ensure_ascii=False, separators=(",", ":"))
     assert got["outcome.bmi", text].general_evidence_id == "general_evidence_" + hashlib.sha256(want.encode()).hexdigest()
