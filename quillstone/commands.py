@@ -30,22 +30,32 @@ def upsert_metadata(store: Store, records: DataFrame, overwrite: bool = True) ->
     """Put lake records (metadata_id, doi, created_at, ...) over those of their id or else DOI: (metadata_id, status), created, updated or skipped.
 
     A replaced record keeps its created_at; one that had another id under the same DOI goes. Without ``overwrite`` a record
-    that is there by id or DOI is skipped. Only the keys and DOIs of the lake are read, and the new rows written. Of
-    repeated records the last by DOI and title counts.
+    that is there by id or DOI is skipped. Of repeated records the last by DOI and title counts. ``records`` are read
+    several times and must be the same each time: a table, or what expressions make of one. Matches are found on ids and DOIs
+    alone, of the lake and of the records; whole records are moved once, into their buckets.
     """
-    new = kept(D.last_wins(records, ["metadata_id"], ["doi", "title"]), "records")
+    repeated = kept(records.groupBy("metadata_id").count().filter("count > 1").select("metadata_id"), "repeated")
+    new = records
+    if not repeated.isEmpty():
+        last = D.last_wins(records.join(repeated, "metadata_id", "left_semi"), ["metadata_id"], ["doi", "title"])
+        new = records.join(repeated, "metadata_id", "left_anti").unionByName(last)
     lake = store.read("paper_metadata")
     if lake is None:
-        store.commit(store.upsert("paper_metadata", new))
+        store.commit(store.upsert("paper_metadata", new, settled=True))
         return new.select("metadata_id", F.lit("created").alias("status"))
-    held = lake.select("metadata_id", "doi", "created_at")
+    held, asked = lake.select("metadata_id", "doi", "created_at"), new.select("metadata_id", "doi")
     by_id = held.select("metadata_id", c("created_at").alias("__by_id"), F.lit(True).alias("__same"))
     by_doi = held.filter("doi is not null").groupBy("doi").agg(F.min("created_at").alias("__by_doi"), F.lit(True).alias("__other"))
-    found = kept(new.join(by_id, "metadata_id", "left").join(by_doi, "doi", "left").select(*new.columns, "__by_id", "__by_doi", (c("__same").isNotNull() | c("__other").isNotNull()).alias("__known")), "found")
-    due = found if overwrite else found.filter(~c("__known"))
-    rows = due.withColumn("created_at", F.coalesce("__by_id", "__by_doi", "created_at")).select(*new.columns)
-    moved = held.join(due.filter("doi is not null").select("doi", c("metadata_id").alias("__new")), "doi").filter("metadata_id <> __new").select("metadata_id")
-    store.commit(store.upsert("paper_metadata", rows, gone=kept(moved, "moved")))
+    own = asked.withColumn("__doi", F.coalesce("doi", F.concat(F.lit("\0"), "metadata_id")))  # records without a DOI match none, and stay apart
+    matched = own.join(by_id, "metadata_id", "left").join(by_doi.withColumnRenamed("doi", "__doi"), "__doi", "left")
+    found = kept(matched.select("metadata_id", F.coalesce("__by_id", "__by_doi").alias("__created"), (c("__same").isNotNull() | c("__other").isNotNull()).alias("__known")), "found")
+    known = found.filter("__known")
+    if overwrite:
+        created = known.select("metadata_id", c("__created").alias("created_at"))
+        moved = held.join(asked.filter("doi is not null").withColumnRenamed("metadata_id", "__new"), "doi").filter("metadata_id <> __new").select("metadata_id")
+        store.commit(store.upsert("paper_metadata", new, gone=kept(moved, "moved"), settled=True, fill=created))
+    else:
+        store.commit(store.upsert("paper_metadata", new.join(known.select("metadata_id"), "metadata_id", "left_anti"), settled=True))
     return found.select("metadata_id", F.when(~c("__known"), "created").when(F.lit(overwrite), "updated").otherwise("skipped").alias("status"))
 
 

@@ -276,9 +276,10 @@ def published_build(spark, sf_dir):
 
 @query("snk03_metadata_store", ORACLE_SQL["snk03_upsert_lake"])
 def metadata_store(spark, sf_dir):
-    lake, stored = _lake(spark, sf_dir), commands.open_store(spark, K.scratch(spark, "store"))
+    papers = v.view(spark, sf_dir, v.PAPERS).withColumn("doi", T.normalize_doi(c("raw_doi")))
+    stored = commands.open_store(spark, K.scratch(spark, "store"))
     for cond, version, at in (("doc_id % 3 <> 0", "v1", "old"), ("doc_id % 3 <> 1", "v2", "new")):
-        commands.upsert_metadata(stored, lake.filter(cond).select("metadata_id", "doi", "title", F.lit(version).alias("version"), F.lit(at).alias("created_at")))
+        commands.upsert_metadata(stored, papers.filter(cond).select("metadata_id", "doi", "title", F.lit(version).alias("version"), F.lit(at).alias("created_at")))
     return stored.read("paper_metadata").select("metadata_id", "doi", "version", "created_at")
 
 

@@ -47,13 +47,17 @@ SELECT event_id, 'attempt_' || (user_id % 40) || '_' || CAST(user_id AS {text})
   CASE WHEN event_type = 'purchase' THEN 'out/' || event_id END AS artifact_path, user_id
 FROM events
 """
-LAKE = """
+_PAPER = """
 SELECT 'meta:s2:' || d.doc_id AS metadata_id, CAST(d.doc_id AS {text}) AS source_paper_id,
   CASE d.doc_id % 4 WHEN 0 THEN 'https://doi.org/10.1000/Doc' || d.doc_id WHEN 1 THEN 'doi: 10.1000/Doc' || d.doc_id WHEN 2 THEN 'http://dx.doi.org/10.1000/Doc' || d.doc_id ELSE CASE WHEN d.doc_id % 8 = 3 THEN '  ' ELSE '10.1000/Doc' || d.doc_id END END AS raw_doi,
   text AS title, n_chars AS citation_count, 1990 + d.doc_id % 36 AS year,
+"""
+LAKE = _PAPER + """
   CASE quality WHEN 1 THEN 'keep' WHEN 0 THEN 'drop' END AS decision, d.doc_id
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
+#: The lake before any decision.
+PAPERS = _PAPER + "d.doc_id FROM documents d"
 LINKS = """
 SELECT CASE WHEN doc_id % 3 = 0 THEN 'meta:s2:' || doc_id ELSE 'other:' || doc_id END AS metadata_id,
   CASE WHEN doc_id % 5 = 0 THEN '10.1000/doc' || doc_id END AS doi, doc_id
@@ -61,7 +65,7 @@ FROM documents WHERE doc_id % 3 = 0 OR doc_id % 5 = 0
 """
 SPARK = {"list": "array", "text": "string"}
 DUCK = {"list": "list_value", "text": "VARCHAR"}
-TABLES = {EVIDENCE: ("orders", "customer", "nation"), SCOPES: ("customer",), EVENTS: ("events",), LAKE: ("documents", "labels"), LINKS: ("documents",)}
+TABLES = {EVIDENCE: ("orders", "customer", "nation"), SCOPES: ("customer",), EVENTS: ("events",), LAKE: ("documents", "labels"), PAPERS: ("documents",), LINKS: ("documents",)}
 LINES_SPARK = "(SELECT doc_id, posexplode(split(text, '\n')) AS (pos, line) FROM {documents})"
 LINES_DUCK = "(SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM documents)"
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,6 +26,8 @@ c = F.col
 LAYERS = 8
 #: A column that marks keys as removed, in the layers alone.
 GONE = "__gone"
+#: A column that marks rows which only bring values to others.
+FILL = "__fill"
 #: Tries of a writer that others overtake.
 TRIES = 20
 
@@ -150,7 +152,10 @@ class Store:
                 place = F.create_map(*[F.lit(x) for at, label in found for x in (label, at)])
                 rows = self._rows(folder, schema, [label for _, label in found]).withColumn("__place", place[c("__label")])
                 stacked = rows if stacked is None else stacked.unionByName(rows)
-            out.append(last_wins(stacked.drop("__label"), list(self.tables[name].key), ["__place"]).drop("__place"))
+            key = list(self.tables[name].key)
+            newest = [F.max_by(x, "__place").alias(x) for x in schema.names if x not in key]  # one by one, so that columns nobody asks for are not read
+            rows = stacked.groupBy(*key)
+            out.append(rows.agg(*newest).select(*schema.names) if newest else stacked.select(*key).distinct())
         whole = self.spark.createDataFrame([], schema) if not out else out[0]
         for rows in out[1:]:
             whole = whole.unionByName(rows)
@@ -177,30 +182,37 @@ class Store:
         buckets = version["tables"].get(name, {}).get("buckets") or table.buckets
         return F.pmod(F.xxhash64(*table.key), F.lit(buckets)).cast("string")
 
-    def _written(self, name: str, rows: DataFrame, labels: list[str], replaced: set[str], version: dict) -> Change:
+    def _written(self, name: str, rows: DataFrame, labels: list[str], replaced: set[str], version: dict, fill: list[str] | None = None) -> Change:
         entry = version["tables"].get(name, {"labels": {}})
         folder = f"data/{uuid.uuid4().hex}/{name}"
-        plain = rows.drop("__label")
+        plain = rows.drop("__label", FILL)
         schema = plain.schema
         if "schema" in entry:  # columns are added, never lost
             old = StructType.fromJson(json.loads(entry["schema"]))
             schema = StructType([*old.fields, *[f for f in schema.fields if f.name not in old.names]])
-        rows.repartition(max(1, min(len(labels), 1000)), "__label").write.partitionBy("__label").parquet(f"{self.root}/{folder}")
+        dealt = rows.repartition(max(1, min(len(labels), 1000)), "__label")
+        if fill:  # the window is over the buckets as dealt, so it moves nothing
+            w = Window.partitionBy("__label", *self.tables[name].key)
+            dealt = dealt.withColumns({x: F.coalesce(F.max(F.when(c(FILL), c(x))).over(w), c(x)) for x in fill}).filter(~c(FILL)).drop(FILL)
+        dealt.write.partitionBy("__label").parquet(f"{self.root}/{folder}")
         return Change(name, folder, labels, replaced, {x: entry["labels"].get(x, []) for x in labels}, schema.json())
 
-    def upsert(self, name: str, rows: DataFrame, order: str | None = None, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None, gone: DataFrame | None = None) -> Callable[[dict], Change]:
+    def upsert(self, name: str, rows: DataFrame, order: str | None = None, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None, gone: DataFrame | None = None, settled: bool = False, fill: DataFrame | None = None) -> Callable[[dict], Change]:
         """The change that puts rows over those of their keys: the last by ``order``, what ``merge(old, new)`` makes of them, or the new ones. Rows of the keys in ``gone`` are removed.
 
         Only rows of these keys are written, as a layer; a bucket with LAYERS of them is written anew. Old rows are
-        read from the touched buckets alone.
+        read from the touched buckets alone. Rows are written aside first, since they are made several times, unless they are
+        ``settled``: made of tables by expressions that give the same each time. ``fill``, unique by key and with keys of ``rows``, has values that take
+        the place of theirs where it is not null; it goes into the buckets with the rows, so that these move once.
         """
         table = self.tables[name]
         written: list[DataFrame] = []
 
         def change(version: dict) -> Change:
             if not written:
-                written.append(kept(rows, name))
-                written.append(written[0].select(*table.key).limit(0) if gone is None else kept(gone.select(*table.key).distinct(), name))
+                once = (lambda df: df) if settled else (lambda df: kept(df, name))
+                written.append(once(rows))
+                written.append(written[0].select(*table.key).limit(0) if gone is None else once(gone.select(*table.key).distinct()))
             keys = written[0].select(*table.key).unionByName(written[1])
             labels = sorted(r[0] for r in keys.select(self._label(name, version)).distinct().collect())
             entry = version["tables"].get(name, {"labels": {}})
@@ -216,7 +228,10 @@ class Store:
                 out = out.unionByName(rest, allowMissingColumns=True)
             if gone is not None:
                 out = out.unionByName(removed, allowMissingColumns=True)
-            return self._written(name, out.withColumn("__label", self._label(name, version)), labels, full, version)
+            brought = None if fill is None else [x for x in fill.columns if x not in key]
+            if brought is not None:
+                out = out.withColumn(FILL, F.lit(False)).unionByName(fill.withColumn(FILL, F.lit(True)), allowMissingColumns=True)
+            return self._written(name, out.withColumn("__label", self._label(name, version)), labels, full, version, brought)
 
         return change
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quillstone import commands as C
 from quillstone.operators import state as S
 from quillstone.sources.sinks import kept
+from quillstone.sources.tables import BrokenRulesError
 
 from .test_operators import evidence, item
 
@@ -33,6 +34,19 @@ def test_upsert_metadata_by_id_or_doi(spark, store):
     assert lake(store) == [("m1", "d1", "a2", "old"), ("m3", None, "c2", "old"), ("m4", None, "d", "old"), ("m5", None, "e", "new"), ("n2", "d2", "b2", "old")]
 
 
+def test_upsert_metadata_of_repeated_records(spark, store):
+    rows = lambda *x: spark.createDataFrame(list(x), LAKE)
+    C.upsert_metadata(store, rows(("m1", "d1", "a", "old"), ("m1", "d1", "b", "old"), ("m1", "d0", "z", "old"), ("m2", None, "c", "old")))
+    assert lake(store) == [("m1", "d1", "b", "old"), ("m2", None, "c", "old")]
+    said = C.upsert_metadata(store, rows(("m2", None, "d", "new"), ("m2", None, "e", "new"), ("m3", "d1", "f", "new"), ("m3", "d1", "f", "new")))
+    assert sorted(map(tuple, said.collect())) == [("m2", "updated"), ("m3", "updated")]
+    assert lake(store) == [("m2", None, "e", "old"), ("m3", "d1", "f", "old")]
+    before = store.latest()[0]
+    with pytest.raises(BrokenRulesError):
+        C.upsert_metadata(store, rows((None, "d9", "x", "new")))
+    assert store.latest()[0] == before
+
+
 def test_metadata_from_dois(spark, store):
     def fetch(row):
         if row["doi"].endswith("down"):

@@ -32,6 +32,29 @@ def test_changed_rows_alone_are_written(spark, tmp_path):
     assert store.read("t").filter("k = 7").first().at == 2
 
 
+def test_columns_that_nobody_asks_for_are_not_read(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), {"t": Table(("k",), buckets=4), "keys": Table(("k",), buckets=2)})
+    for first, at in ((0, 1), (50, 2)):
+        store.commit(store.upsert("t", rows(spark, first, first + 100, at), "at"))
+        store.commit(store.upsert("keys", rows(spark, first, first + 100, at).select("k"), settled=True))
+    found = store.read("t").select("k", "at")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:bigint,at:int>" in plan and "v:string" not in plan
+    assert found.count() == 150 and found.filter("at = 2").count() == 100
+    assert store.read("keys").count() == 150 and store.read("t").columns == ["k", "at", "v"]
+
+
+def test_filled_values_move_the_rows_once(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), {"t": Table(("k",), buckets=2)})
+    new = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, None, "z")], "k int, made string, v string")
+    fill = spark.createDataFrame([(1, "old"), (2, None), (9, "other")], "k int, made string")
+    gone = spark.createDataFrame([(4,), (1,)], "k int")
+    store.commit(store.upsert("t", new.withColumn("k", F.col("k") + 3)))
+    store.commit(store.upsert("t", new, fill=fill, gone=gone, settled=True))
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, "old", "x"), (2, "b", "y"), (3, None, "z"), (5, "b", "y"), (6, None, "z")]
+    assert store.read("t").columns == ["k", "made", "v"]
+
+
 def test_a_bucket_with_many_layers_is_written_anew(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(T, "LAYERS", 3)
     store = Store(spark, str(tmp_path / "s"), {"t": Table(("k",), buckets=2)})
