@@ -15,6 +15,7 @@ from .operators import state as S
 from .operators import store as O
 from .sources import moves
 from .sources import readers as R
+from .sources import sinks
 from .sources.sinks import kept, replay_outbox
 from .sources.tables import Store
 
@@ -138,6 +139,33 @@ def replay(store: Store, outbox: DataFrame, schemas: dict[str, str], dry_run: bo
     return report
 
 
+def write_sample_bundle(sample: DataFrame, evidence: DataFrame, pdf_dir: str, folder: str, created_at: str, seed: str | None = None) -> DataFrame:
+    """Bundle of the sampled papers (paper_id) in ``folder``, for review by hand: the manifest.
+
+    canonical_evidence.csv (nested values as JSON text) and canonical_evidence.json hold their rows of evidence, a row each, so that
+    a paper of any size is never one row; pdfs/ their PDFs, copied from ``pdf_dir``; manifest.csv a row per paper with its rows of
+    evidence and whether its PDF was there; sample_metadata.json the totals. A paper without evidence stays in the
+    manifest; repeated papers and null ids go. The tables of an earlier bundle are replaced; its PDFs stay beside the new ones.
+    """
+    root = folder.rstrip("/")
+    papers = kept(sample.select("paper_id").filter("paper_id is not null").distinct(), "sample")
+    rows = kept(evidence.join(papers, "paper_id", "left_semi"), "evidence")
+    sinks.flat(rows).write.mode("overwrite").option("header", True).csv(f"{root}/canonical_evidence.csv")
+    rows.write.mode("overwrite").json(f"{root}/canonical_evidence.json")
+    at = lambda where: F.concat(F.lit(where.rstrip("/") + "/"), "paper_id", F.lit(".pdf"))
+    copied = kept(moves.copy_files(papers.select("paper_id", at(pdf_dir).alias("source"), at(f"{root}/pdfs").alias("target")), overwrite=True), "pdfs")
+    counts = rows.groupBy("paper_id").agg(F.count("*").alias("evidence_rows"))
+    have = c("outcome").isin("copied", "same")
+    manifest = copied.join(counts, "paper_id", "left").select(
+        "paper_id", F.coalesce("evidence_rows", F.lit(0)).alias("evidence_rows"), c("source").alias("source_pdf_path"), F.when(have, c("target")).otherwise("").alias("sample_pdf_path"), have.alias("pdf_copied"), (~have).alias("missing_pdf"),
+    )
+    manifest.write.mode("overwrite").option("header", True).csv(f"{root}/manifest.csv")
+    totals = manifest.agg(F.count("*").alias("requested_papers"), F.coalesce(F.sum("evidence_rows"), F.lit(0)).alias("evidence_rows"))
+    about = F.to_json(F.struct(F.lit(created_at).alias("created_at"), F.lit(seed).alias("seed"), "requested_papers", "evidence_rows", F.lit(root).alias("sample_dir"), F.lit(pdf_dir).alias("pdf_dir")), {"ignoreNullFields": "false"})
+    moves.write_files(totals.select(F.lit(f"{root}/sample_metadata.json").alias("path"), about.cast("binary").alias("content")))
+    return manifest
+
+
 def link_pdfs(links: DataFrame, artifacts: str, linked_at: str, move: bool = False) -> DataFrame:
     """Copy or move each PDF (metadata_id, doi, source_pdf_path) to its place under ``artifacts``: the link rows with outcome and error.
 

@@ -347,6 +347,21 @@ def sample_bundle(spark, sf_dir):
     return K.sample_bundle(cust.filter("c_custkey % 2 = 0").select(named("c_custkey")), evidence, cust.filter("c_custkey % 3 = 0").select(named("c_custkey")))
 
 
+@query("snk20_bundle_files", "SELECT 'paper_' || s_suppkey AS paper_id, n AS evidence_rows, n AS in_csv, n AS in_json, s_suppkey % 3 <> 0 AS missing_pdf FROM (SELECT s_suppkey, (SELECT count(*) FROM lineitem WHERE l_suppkey = s_suppkey) AS n FROM supplier WHERE s_acctbal > 0)")
+def bundle_files(spark, sf_dir):
+    """A bundle of the suppliers with money, their items as evidence, read back from its files."""
+    named = lambda k: F.concat(F.lit("paper_"), k).alias("paper_id")
+    papers, root = v.table(spark, sf_dir, "supplier"), K.scratch(spark, "bundle")
+    evidence = v.table(spark, sf_dir, "lineitem").select(named("l_suppkey"), "l_orderkey", F.array(F.concat(F.lit("b"), "l_linenumber")).alias("source_block_ids"))
+    moves.write_files(papers.filter("s_suppkey % 3 = 0").select(F.concat(F.lit(f"{root}/in/"), named("s_suppkey"), F.lit(".pdf")).alias("path"), c("s_name").cast("binary").alias("content")))
+    commands.write_sample_bundle(papers.filter("s_acctbal > 0").select(named("s_suppkey")), evidence, f"{root}/in", f"{root}/out", "now")
+    manifest = spark.read.option("header", True).csv(f"{root}/out/manifest.csv")
+    rows = spark.read.option("header", True).csv(f"{root}/out/canonical_evidence.csv").filter("source_block_ids like '[\"b%\"]'").groupBy("paper_id").agg(F.count("*").alias("in_csv"))
+    items = R.read_jsonl(spark, f"{root}/out/canonical_evidence.json", "paper_id string, source_block_ids array<string>").groupBy("paper_id").agg(F.count("*").alias("in_json"))
+    j = manifest.join(rows, "paper_id", "left").join(items, "paper_id", "left")
+    return j.select("paper_id", c("evidence_rows").cast("long").alias("evidence_rows"), F.coalesce("in_csv", F.lit(0)).alias("in_csv"), F.coalesce("in_json", F.lit(0)).alias("in_json"), c("missing_pdf").cast("boolean").alias("missing_pdf"))
+
+
 @query("snk21_aux31_link_rows", _LK + " SELECT metadata_id, sha256(metadata_id) AS paper_id, 'artifacts/pdfs/' || sha256(metadata_id) || '.pdf' AS artifact_pdf_path FROM lk")
 def link_rows(spark, sf_dir):
     return D.link_rows(_lake(spark, sf_dir).withColumn("source_pdf_path", F.lit("in.pdf")), "now").select("metadata_id", "paper_id", "artifact_pdf_path")

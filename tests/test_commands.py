@@ -118,3 +118,19 @@ def test_link_pdfs(spark, tmp_path):
     assert (tmp_path / "artifacts" / f"{hashlib.sha256(b'm1').hexdigest()}.pdf").read_bytes() == b"%PDF-1 a" and got["m1"].link_method == "manual"
     moved = {r.metadata_id: r.outcome for r in C.link_pdfs(links, str(tmp_path / "artifacts"), "now", move=True).collect()}
     assert moved["m1"] == "same" and not (tmp_path / "a.pdf").exists() and (tmp_path / "b.pdf").exists()
+
+
+def test_sample_bundle(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "p1.pdf").write_bytes(b"%PDF-1")
+    sample = spark.createDataFrame([("p1",), ("p2",), ("p2",), ("p3",), (None,)], "paper_id string")
+    rows = spark.createDataFrame([("p1", "a", ["b1"]), ("p1", 'c,"d"', None), ("p2", None, []), ("p9", "x", ["b2"]), (None, "y", None)], "paper_id string, text string, blocks array<string>")
+    out = tmp_path / "out"
+    for _ in range(2):  # a second bundle takes the first one's place
+        got = {r.paper_id: (r.evidence_rows, r.pdf_copied, r.missing_pdf) for r in C.write_sample_bundle(sample, rows, str(tmp_path / "in"), str(out), "now", "s").collect()}
+        assert got == {"p1": (2, True, False), "p2": (1, False, True), "p3": (0, False, True)}
+    assert (out / "pdfs" / "p1.pdf").read_bytes() == b"%PDF-1" and not (out / "pdfs" / "p2.pdf").exists()
+    assert sorted(str(r.text) for r in spark.read.json(str(out / "canonical_evidence.json")).collect()) == ["None", "a", 'c,"d"']
+    assert spark.read.option("header", True).csv(str(out / "canonical_evidence.csv")).count() == 3
+    about = json.loads((out / "sample_metadata.json").read_text())
+    assert (about["requested_papers"], about["evidence_rows"], about["seed"]) == (3, 3, "s")
