@@ -168,6 +168,11 @@ def safe_int(c: Column) -> Column:
     return F.when(s.rlike(r"^[+-]?\d+$"), F.expr("1").cast("int") * s.try_cast("bigint"))
 
 
+def int_or_zero(c: Column) -> Column:
+    """Whole number of a text or a number; 0 of null, blank or anything else."""
+    return F.coalesce(safe_int(c), F.lit(0).cast("bigint"))
+
+
 def safe_string(c: Column) -> Column:
     return F.nullif(F.trim(c.cast("string")), F.lit(""))
 

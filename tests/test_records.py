@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quillstone.functions import text as T
 from quillstone.operators import records as O
 
 c = F.col
@@ -102,3 +103,8 @@ def test_empty_tables(spark):
     fetched = spark.createDataFrame([], "doi string, source_paper_id string, title string, error string")
     rows = O.refreshed(none, fetched, "now")
     assert rows.count() == 0 and O.refresh_summary(rows).first().n_read == 0
+
+
+def test_int_or_zero(spark):
+    rows = spark.createDataFrame([(x,) for x in ("12", " -3 ", "+4", "", "  ", None, "12.7", "x", "9" * 30)], "v string")
+    assert [r[0] for r in rows.select(T.int_or_zero(F.col("v"))).collect()] == [12, -3, 4, 0, 0, 0, 0, 0, 0]
