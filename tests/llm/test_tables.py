@@ -145,6 +145,14 @@ def test_stamps_empty_and_null_source(spark):
     assert read(T.normalise(stamps(spark, rows))) == expected(rows)
 
 
+def test_query_names_epochs(spark, tmp_path):
+    rows = [(1, "s", "UTC", " 1733025832"), (2, "s", None, "1733942329007"), (3, "s", "UTC", "2024-07-07"), (4, "s", "UTC", "02/03/2024"), (5, "s", "UTC", "173302583"), (6, "t", "UTC", "31/01/2024"), (7, "t", "UTC", "02/03/2024")]
+    stamps(spark, rows).write.parquet(f"{tmp_path}/stamps.parquet")
+    found = T.op11_timestamps(spark, str(tmp_path))
+    assert found.columns == ["stamp_id", "utc_us", "rule", "ambiguous"]
+    assert {r.stamp_id: (r.rule, r.ambiguous) for r in found.collect()} == {1: ("epoch", False), 2: ("epoch", False), 3: ("plain", False), 4: ("default", True), 5: ("bad", False), 6: ("plain", False), 7: ("votes", True)}
+
+
 def test_hot_source_is_joined_in_parts(spark):
     rows = spark.range(20_000).select(F.col("id").alias("stamp_id"), F.when(F.col("id") % 50 > 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id"))).alias("source"), F.lit("UTC").alias("zone"), F.when(F.col("id") % 3 == 0, "13/02/2024").otherwise("02/03/2024").alias("raw"))
     found = T.normalise(rows)
