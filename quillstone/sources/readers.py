@@ -164,22 +164,32 @@ def call_port(df: DataFrame, port: Callable[[dict], dict], ddl: str) -> DataFram
     return df.mapInPandas(run, f"{ddl}, error string")
 
 
+#: Rows after which a frame of pages is passed on.
+FRAME = 5_000
+
+
 def read_paged(requests: DataFrame, fetch: Callable[[dict, int, int], list[dict]], ddl: str, size: int = 100) -> DataFrame:
     """All rows of a paged service for each request: ``fetch(request, offset, size)`` is called until a page is not full.
 
-    The request's columns, limits of a filter among them, go to the service, which applies them. Rows leave page by page.
+    The request's columns, limits of a filter among them, go to the service, which applies them. Rows leave in frames of some
+    pages: requests with few rows share one.
     """
     ship(requests.sparkSession)
     names = [f.name for f in requests.sparkSession.createDataFrame([], ddl).schema]
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: list[dict] = []
         for frame in it:
             for request in frame.to_dict("records"):
                 offset, page = 0, None
                 while page is None or len(page) == size:
                     page = fetch(request, offset, size)
                     offset += len(page)
-                    yield pd.DataFrame([{**request, **row} for row in page], columns=names)
+                    out.extend({**request, **row} for row in page)
+                    if len(out) >= FRAME:
+                        yield pd.DataFrame(out, columns=names)
+                        out = []
+        yield pd.DataFrame(out, columns=names)
 
     return requests.mapInPandas(run, ddl)
 
