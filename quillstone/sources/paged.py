@@ -31,7 +31,8 @@ class Service:
     """``fetch(conditions, offset, size)`` gives rows as tuples in a fixed order, ``count(conditions)`` their number if the service knows it.
 
     A page that fails is asked for again after a pause that doubles from ``base`` seconds up to ``longest``, ``tries`` times; the
-    pages before it are not. ``rate`` requests a second are shared by the partitions of a scan.
+    pages before it are not. ``rate`` requests a second are shared by the partitions of a scan, of which there are at most ``most``: a
+    larger service has more pages in each.
     """
 
     fetch: Callable[[list[Condition], int, int], list[tuple]]
@@ -39,6 +40,7 @@ class Service:
     filters: tuple[str, ...] = ()
     size: int = 100
     pages_per_task: int = 10
+    most: int = 1000
     tries: int = 5
     base: float = 1.0
     longest: float = 30.0
@@ -71,7 +73,7 @@ class Service:
             end = self.count(conditions)
         if end is None:
             return [Pages(first, None, tuple(conditions))]
-        step = self.size * self.pages_per_task
+        step = self.size * max(self.pages_per_task, -(-(end - first) // (self.size * self.most)))
         starts = range(first, end, step)
         return [Pages(s, min(s + step, end), tuple(conditions), len(starts)) for s in starts]
 
