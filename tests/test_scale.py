@@ -4,17 +4,22 @@ import hashlib
 import json
 import random
 import re
+import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quillstone.functions import ids
+from quillstone.functions import text as T
+from quillstone.operators import blocks as B
 from quillstone.operators import evidence as E
 from quillstone.operators import metadata as D
 from quillstone.operators.ordering import numbered, tuple_text
 from quillstone.sources import readers as R
 from quillstone.sources import sinks as K
 from quillstone.sources.paged import Service, register_paged
+from quillstone.sources.tables import Store, Table
 
 c = F.col
 TEXTS = ["", "plain", 'a "quote"', "back\\slash", "tab\tline\nfeed\r\b\f", "clinic é", "ward \U0001f600", "\x01\x1f\x7f\x80", "it's", 'both \' and "', "\\u00e9", "/slash", "日本", None]
@@ -161,3 +166,53 @@ def test_paged_service_that_stays_down(spark):
     register_paged(spark, "paged_down", Service(down, tries=2, base=0.001), "item long")
     with pytest.raises(Exception, match="down"):
         spark.read.format("paged_down").load().collect()
+
+
+def test_clean_and_hash_text_are_pythons(spark):
+    """Any white space, and characters that NFKC changes or joins, alone and beside others."""
+    rng = random.Random(3)
+    blanks = [*" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0        　"]
+    others = [*"aB.é", "é", "́", "ﬁ", "ﬃ", "½", "Å", "¨", "Σ", "​", "が", "한", "가", "Å", "…", "日", "\U0001d400", "ı", "ﬄx"]
+    texts = ["", " ", "a b", "a  b", " a", "a ", "a\tb", "a\t", "a \t b", None, *["".join(rng.choice(rng.choice([blanks, others, others])) for _ in range(rng.randrange(12))) for _ in range(3000)]]
+    spaced = lambda t: re.sub(f"[{''.join(blanks)}]+", " ", t or "").strip(" ")
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.clean_text(c("t")).alias("clean"), T.hash_text(c("t")).alias("h")).collect()
+    assert [r.clean for r in found] == [spaced(r.t) for r in found]
+    assert [r.h for r in found if r.t and "Σ" not in r.t] == [spaced(unicodedata.normalize("NFKC", r.t).lower()) for r in found if r.t and "Σ" not in r.t]
+
+
+def test_blocks_are_dealt_once(spark):
+    """One exchange for all windows of the contract; blocks joined of texts that NFKC changes hash as the whole text does."""
+    rows = [("p", k, ["S"], "S", "methods", "paragraph", t) for k, t in enumerate(["the ﬁrst and", "½ of", "", "́ e of", "all.", "Next ﬂow.", "plain"])]
+    rows += [("q", k, ["A"], "A", "abstract", "paragraph", t) for k, t in enumerate(["The ﬁsh.", "The  fish.", "Other."])]
+    found = B.enforce_contract(spark.createDataFrame(rows, "paper_id string, ord int, section_path array<string>, section_title string, section_type string, content_kind string, text string"))
+    got = found.withColumn("whole", T.content_hash(c("text"))).collect()
+    assert [(r.paper_id, r.ord, r.text) for r in sorted(got)] == [("p", 0, "the ﬁrst and ½ of ́ e of all."), ("p", 1, "Next ﬂow."), ("p", 2, "plain"), ("q", 0, "The ﬁsh."), ("q", 1, "Other.")]
+    assert all(r.whole == r.content_hash for r in got) and "__nfkc" not in found.columns
+    plan = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+    assert plan.count("Exchange") == 1
+
+
+def test_paged_requests_share_frames(spark):
+    rows = spark.range(3000).coalesce(1).select("id", (c("id") % 130).alias("n"))
+    calls = lambda r, offset, size: [{"item": k} for k in range(r["n"])[offset : offset + size]]
+    frames = R.read_paged(rows, calls, "id long, item long").mapInArrow(lambda it: iter([pa.RecordBatch.from_pylist([{"n": sum(1 for _ in it)}])]), "n long")
+    assert R.read_paged(rows, calls, "id long, item long").count() == sum(k % 130 for k in range(3000))
+    assert R.read_paged(rows.limit(0), calls, "id long, item long").count() == 0
+    assert frames.first()[0] < 300
+
+
+def test_partitions_of_a_large_service():
+    parts = Service(lambda *x: [], lambda x: 54_000_007, size=500, pages_per_task=4).split([])
+    assert len(parts) <= 1000 and parts[0].first == 0 and parts[-1].end == 54_000_007 and all(a.end == b.first for a, b in zip(parts, parts[1:]))
+    assert len(Service(lambda *x: [], lambda x: 8001, size=500, pages_per_task=4).split([])) == 5
+
+
+def test_a_part_is_written_by_many_tasks(spark, tmp_path):
+    stored = Store(spark, str(tmp_path), {"t": Table(("k",), part="build")})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stored.commit(stored.replace("t", spark.range(20_000).select(c("id").alias("k"), F.lit("b").alias("build")), ["b"]))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = stored.read("t").groupBy("_metadata.file_path").count().collect()
+    assert len(files) > 1 and max(r["count"] for r in files) < 15_000 and stored.read("t").count() == 20_000
