@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from itertools import count, groupby
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,13 +18,27 @@ FINAL_SECTIONS = ["abstract", "methods", "results", "discussion", "conclusion",
 EVIDENCE_SECTIONS = ["methods", "results", "discussion", "conclusion"]
 ADMINISTRATIVE_SECTIONS = ["front_matter", "references", "acknowledgements", "funding", "disclosure", "ethics", "appendix", "supplementary"]
 SECTION_ALIASES = {"frontmatter": "front_matter", "metadata": "front_matter", "material_and_methods": "methods", "materials_and_methods": "methods", "method": "methods", "publisher_note": "disclosure", "author_contributions": "acknowledgements", "abbreviations": "supplementary"}
-LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl"}
 EXPOSURE_KINDS = [("food", "diet|egg|fiber|starch|food"), ("exercise", "exercise|training"), ("sleep", "sleep")]
 OUTCOME_KINDS = [("biomarker", "cholesterol|glucose|insulin|biomarker"), ("anthropometric", "weight|bmi|waist"), ("microbiome", "microbiome|taxa|bacteria")]
 BAD_ENDING = r"(and|of|with|,|;|\()$"
 SENTENCE_END = r"[.!?][\"')\]]?$"
 
-_SPACE = r"(?U)[\s\x1C-\x1F]+"
+#: White space of Unicode and the four separators; the first ranges pass over most characters at once, as (?U) does not.
+_BLANK = r"\x09-\x20\x85-\u3000&&[\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]]"
+#: A run of white space that is not one plain space: clean text has none, and is not built anew.
+_SPACE = rf"[{_BLANK}(?:(?<! )[{_BLANK}*|[{_BLANK}+)"
+_ASCII = r"^[\x00-\x7F]*$"
+
+
+def _unsettled() -> str:
+    """A class of characters such that a text without them is its own NFKC form: others are theirs, and none joins with one before it."""
+    spans = [(0x80, 0x300), (0x370, 0x483), (0x48A, 0x530), (0x2010, 0x2060), (0x3041, 0x3097), (0x30A1, 0x30FB), (0x4E00, 0xA000)]
+    good = [x for a, b in spans for x in range(a, b) if unicodedata.is_normalized("NFKC", chr(x)) and not unicodedata.combining(chr(x))]
+    runs = [list(run) for _, run in groupby(good, lambda x, n=count(): x - next(n))]
+    return rf"[\x{{80}}-\x{{10FFFF}}&&[^{''.join(rf'\x{{{run[0]:X}}}-\x{{{run[-1]:X}}}' for run in runs)}]]"
+
+
+_NOT_NFKC = _unsettled()
 
 
 def blank_to_null(c: Column) -> Column:
@@ -45,20 +60,21 @@ def ascii_fold(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
 
 
-def hash_text(c: Column) -> Column:
-    """Text as it is hashed: NFKC, ligatures spelt out, lower case, white space collapsed.
-
-    Only text beyond ASCII goes to Python; the rest stays in generated code.
-    """
+def changed_by_nfkc(c: Column) -> Column:
+    """The NFKC form of a text that it may change; null of others, of which Python gets a null, too."""
     ship()
-    folded = F.when(F.coalesce(c, F.lit("")).rlike(r"^[\x00-\x7F]*$"), c).otherwise(nfkc(c))
-    for a, b in LIGATURES.items():
-        folded = F.replace(folded, F.lit(a), F.lit(b))
-    return clean_text(F.lower(folded))
+    return nfkc(F.when(c.rlike(_NOT_NFKC), c))
 
 
-def content_hash(c: Column) -> Column:
-    return F.sha2(hash_text(c), 256)
+def hash_text(c: Column, folded: Column | None = None) -> Column:
+    """Text as it is hashed: NFKC, which spells ligatures out, lower case, white space collapsed. ``folded``: what ``changed_by_nfkc`` gave of clean text."""
+    if folded is not None:
+        return F.when(folded.isNull(), F.lower(c)).otherwise(clean_text(F.lower(folded)))
+    return clean_text(F.lower(F.coalesce(changed_by_nfkc(c), c)))
+
+
+def content_hash(c: Column, folded: Column | None = None) -> Column:
+    return F.sha2(hash_text(c, folded), 256)
 
 
 def slugify(c: Column) -> Column:
@@ -141,8 +157,12 @@ def section_key(path: Column, title: Column) -> Column:
 
 def is_open_ended(text: Column) -> Column:
     """Text that stops within a sentence: it joins with what follows in its section."""
-    t = clean_text(text)
-    return (t != "") & (F.lower(t).rlike(BAD_ENDING) | ~t.rlike(SENTENCE_END))
+    return stops_within(clean_text(text))
+
+
+def stops_within(t: Column) -> Column:
+    """``is_open_ended`` of clean text. Endings are of four characters at most, so that only these are looked at."""
+    return (t != "") & (F.lower(F.right(t, F.lit(4))).rlike(BAD_ENDING) | ~F.right(t, F.lit(2)).rlike(SENTENCE_END))
 
 
 def source_slug(paper_id: Column, pdf: Column) -> Column:
@@ -153,7 +173,8 @@ def source_slug(paper_id: Column, pdf: Column) -> Column:
 def keyword_text(c: Column) -> Column:
     """ASCII tokens, lower case, joined by one space."""
     ship()
-    folded = F.when(F.coalesce(c, F.lit("")).rlike(r"^[\x00-\x7F]*$"), c).otherwise(ascii_fold(c))
+    as_is = F.coalesce(c, F.lit("")).rlike(_ASCII)
+    folded = F.when(as_is, c).otherwise(ascii_fold(F.when(~as_is, c)))
     return F.array_join(F.regexp_extract_all(F.lower(F.coalesce(folded, F.lit(""))), F.lit("([a-z0-9]+)"), 1), " ")
 
 

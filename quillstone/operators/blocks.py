@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
 c = F.col
 #: Block columns: paper_id, ord, section_path, section_title, section_type, content_kind, text.
+#: Within ``enforce_contract`` the NFKC form of a text that it changes; texts with this column are clean.
+NFKC = "__nfkc"
+
+
+def _hash(blocks: DataFrame, text: Column) -> Column:
+    return T.content_hash(text, c(NFKC)) if NFKC in blocks.columns else T.content_hash(text)
+
+
+def _clean(blocks: DataFrame) -> Column:
+    return c("text") if NFKC in blocks.columns else T.clean_text(c("text"))
 
 
 def normalise(blocks: DataFrame) -> DataFrame:
@@ -19,15 +29,16 @@ def normalise(blocks: DataFrame) -> DataFrame:
         "section_slug": T.slugify(c("section_title")),
         "section_type": T.section_type(c("section_type"), c("section_title")),
         "content_kind": F.coalesce(F.nullif(F.trim("content_kind"), F.lit("")), F.lit("paragraph")),
-        "text": T.clean_text(c("text")),
-        "content_hash": T.content_hash(c("text")),
+        "text": _clean(b),
+        "content_hash": _hash(b, c("text")),
     })
 
 
 def dedupe_abstracts(blocks: DataFrame) -> DataFrame:
-    """Repeats of a text within the abstract or front matter go; the first in order stays."""
-    w = Window.partitionBy("paper_id", F.lower(F.trim("section_type")), F.lower(F.trim("content_kind")), T.content_hash(c("text"))).orderBy("ord")
+    """Repeats of a text within the abstract or front matter go; the first in order stays. Texts elsewhere are not hashed."""
     front = F.coalesce(F.lower(F.trim("section_type")).isin("abstract", "frontmatter", "front_matter", "metadata"), F.lit(False))
+    kind = [F.when(front, F.lower(F.trim(x))) for x in ("section_type", "content_kind")]
+    w = Window.partitionBy("paper_id", *kind, F.when(front, _hash(blocks, F.when(front, c("text"))))).orderBy("ord")
     return blocks.withColumn("n", F.row_number().over(w)).filter(~front | (c("n") == 1)).drop("n")
 
 
@@ -39,16 +50,21 @@ def repair_splits(blocks: DataFrame) -> DataFrame:
     """
     w = Window.partitionBy("paper_id").orderBy("ord")
     key = T.section_key(c("section_path"), c("section_title"))
-    b = blocks.withColumn("text", T.clean_text(c("text"))).withColumn("changed", F.coalesce((key != F.lag(key).over(w)).cast("int"), F.lit(1)))
+    b = blocks.withColumns({"text": _clean(blocks), "key": key})
+    b = b.withColumns({"open": F.when(c("text") != "", T.stops_within(c("text"))), "changed": F.coalesce((c("key") != F.lag("key").over(w)).cast("int"), F.lit(1))})
     b = b.withColumn("run", F.sum("changed").over(w))
     before = Window.partitionBy("paper_id", "run").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    open_ended = F.last(F.when(c("text") != "", T.is_open_ended(c("text"))), ignorenulls=True).over(before)
+    open_ended = F.last("open", ignorenulls=True).over(before)
     b = b.withColumn("starts", (~F.coalesce(open_ended, F.lit(False))).cast("int"))
     b = b.withColumn("part", F.sum("starts").over(Window.partitionBy("paper_id", "run").orderBy("ord")))
-    pieces = F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"])
-    others = [x for x in blocks.columns if x not in ("paper_id", "ord", "text")]
-    joined = b.groupBy("paper_id", "run", "part").agg(F.min("ord").alias("ord"), F.array_join(F.filter(pieces, lambda t: t != ""), " ").alias("text"), *[F.min_by(x, "ord").alias(x) for x in others])
-    return joined.select(*blocks.columns)
+    texts = [x for x in ("text", NFKC) if x in blocks.columns]
+    others = [x for x in blocks.columns if x not in ("paper_id", "ord", *texts)]
+    joined = b.groupBy("paper_id", "run", "part").agg(F.min("ord").alias("ord"), F.collect_list(F.struct("ord", *texts)).alias("pieces"), F.min_by(F.struct(*others), "ord").alias("first"))
+    joined = joined.withColumn("pieces", F.filter(F.when(F.size("pieces") > 1, F.sort_array("pieces")).otherwise(c("pieces")), lambda x: x["text"] != ""))
+    whole = {"text": F.array_join("pieces.text", " ")}
+    if NFKC in texts:  # a space parts what NFKC may join, so the form of the whole is that of its pieces
+        whole[NFKC] = F.when(F.exists("pieces", lambda x: x[NFKC].isNotNull()), F.array_join(F.transform("pieces", lambda x: F.coalesce(x[NFKC], x["text"])), " "))
+    return joined.withColumns(whole).select("paper_id", "ord", *texts, "first.*").select(*blocks.columns)
 
 
 def number(blocks: DataFrame) -> DataFrame:
@@ -60,7 +76,12 @@ def number(blocks: DataFrame) -> DataFrame:
 
 
 def enforce_contract(blocks: DataFrame) -> DataFrame:
-    return number(normalise(repair_splits(dedupe_abstracts(blocks))))
+    """The steps one after another, over blocks dealt by paper once: all of their windows and groups lie within a paper.
+
+    What Python does is done before, since Spark deals rows anew after it.
+    """
+    b = blocks.withColumn("text", T.clean_text(c("text"))).withColumn(NFKC, T.changed_by_nfkc(c("text"))).repartition("paper_id")
+    return number(normalise(repair_splits(dedupe_abstracts(b)))).drop(NFKC)
 
 
 def contract_faults(blocks: DataFrame) -> DataFrame:
