@@ -7,18 +7,29 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import rules
 from ..functions.ids import canonical_json, json_text, stable_id
 from ..functions.text import EXPOSURE_KINDS, OUTCOME_KINDS, canonical_name, display_name, kind_of
+from ..sources.sinks import kept
 
 GROUP = ["exposure_id", "outcome_id", "organism", "population_scope", "context_json"]
 c = F.col
+#: Terms of a registry that may be broadcast, by count.
+BROADCAST_ROWS = 1_000_000
 
 
 def registry(terms: DataFrame, prefix: str, kinds: list[tuple[str, str]]) -> DataFrame:
-    """One active row per canonical name of (term, ordinal); the first spelling in scan order names it."""
-    named = terms.select(F.trim("term").alias("term"), "ordinal", canonical_name(c("term")).alias("canonical_name")).filter("canonical_name <> ''")
+    """One active row per canonical name of (term, ordinal); the first spelling in scan order names it.
+
+    Terms are first reduced to the distinct ones, by a number, which aggregates in hash tables; names are made of what is left.
+    """
+    kind = terms.schema["ordinal"].dataType
+    scan, rest = ("ordinal." + kind.names[0], [f"ordinal.{x}" for x in kind.names[1:]]) if isinstance(kind, StructType) else ("ordinal", [])
+    rest = [c(x).alias(f"o{k}") for k, x in enumerate(rest, 1)]
+    distinct = terms.groupBy("term", *rest).agg(F.min(scan).alias("o0"))
+    named = distinct.select(F.trim("term").alias("term"), F.struct(*[f"o{k}" for k in range(len(rest) + 1)]).alias("ordinal"), canonical_name(c("term")).alias("canonical_name")).filter("canonical_name <> ''")
     first = named.groupBy("canonical_name").agg(F.min_by("term", "ordinal").alias("term"))
     return first.select(
         F.concat(F.lit(f"{prefix}."), "canonical_name").alias(f"{prefix}_id"), "canonical_name", display_name(c("canonical_name")).alias("display_name"),
@@ -32,10 +43,11 @@ def evidence_items(papers: DataFrame, items: str = "canonical_evidence") -> Data
 
 
 def fan_out(evidence: DataFrame) -> DataFrame:
-    """One row per outcome; of an item's outcomes with one canonical name the first counts. Without outcomes it is one row with a null outcome."""
-    names = F.transform("raw_outcomes", canonical_name)
-    first = F.filter("raw_outcomes", lambda x, k: F.array_position(names, canonical_name(x)) == k + 1)
-    return evidence.select("*", F.explode_outer(first).alias("raw_outcome"))
+    """One row per outcome and its canonical name, of which the first of an item counts. Without outcomes it is one row with a null outcome."""
+    named = evidence.withColumn("__names", F.transform("raw_outcomes", canonical_name))
+    pairs = F.arrays_zip(c("raw_outcomes").alias("term"), c("__names").alias("name"))
+    first = F.when(F.size("__names") == F.size(F.array_distinct("__names")), pairs).otherwise(F.filter(pairs, lambda x, k: F.array_position(c("__names"), x["name"]) == k + 1))
+    return named.select("*", F.explode_outer(first).alias("__one")).select(*evidence.columns, c("__one.term").alias("raw_outcome"), c("__one.name").alias("outcome_name"))
 
 
 def terms(evidence: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -52,11 +64,12 @@ def context_json(nested: bool = False) -> Column:
     """
     if nested:
         return F.coalesce(canonical_json(c("context_identity"), ascii_only=True), F.lit("{}"))
-    entries = F.array_sort(F.map_entries("context_identity"))
+    entries = F.sort_array(F.map_entries("context_identity"))
     plain = F.to_json(F.map_from_entries(entries))
     pairs = F.transform(entries, lambda e: F.concat(json_text(e["key"]), F.lit(":"), F.coalesce(json_text(e["value"]), F.lit("null"))))
     escaped = F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
-    return F.coalesce(F.when(plain.rlike("^[ -~]*$") & ~F.contains(plain, F.lit("\\u")), plain).otherwise(escaped), F.lit("{}"))
+    written = F.when(plain.rlike("^[ -~]*$") & ~F.contains(plain, F.lit("\\u")), plain).otherwise(escaped)
+    return F.when(F.size("context_identity") > 0, F.coalesce(written, F.lit("{}"))).otherwise("{}")
 
 
 def last_scopes(scopes: DataFrame) -> DataFrame:
@@ -66,14 +79,21 @@ def last_scopes(scopes: DataFrame) -> DataFrame:
 
 
 def projections(evidence: DataFrame, scopes: DataFrame, exposures: DataFrame, outcomes: DataFrame, build_id: str) -> DataFrame:
-    """Ranked projections. Registries hold one row per distinct term; Spark broadcasts them if their size allows."""
-    active = lambda r, p: r.filter("status = 'active'").select(c("canonical_name").alias(f"{p}_name"), f"{p}_id", c("display_name").alias(f"{p}_display"))
+    """Ranked projections. Registries hold one row per distinct term; they are written, and broadcast within a counted bound.
+
+    Scopes are joined before the outcomes fan out: evidence moves once, to its paper and study, and stays there.
+    """
+
+    def active(r: DataFrame, p: str) -> DataFrame:
+        names = kept(r.filter("status = 'active'").select(c("canonical_name").alias(f"{p}_name"), f"{p}_id", c("display_name").alias(f"{p}_display")), p)
+        return F.broadcast(names) if names.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else names
+
     evidence = evidence.withColumn("context_json", context_json(evidence.schema["context_identity"].dataType.typeName() == "string") if "context_identity" in evidence.columns else F.lit("{}"))
     if "has_quant" not in evidence.columns:
         evidence = evidence.withColumn("has_quant", rules.has_quantitative(c("comparator"), c("quantitative_summary"), c("quantitative_values")))
-    rows = fan_out(evidence).withColumns({"exposure_name": canonical_name(c("raw_exposure")), "outcome_name": canonical_name(c("raw_outcome")), "study_id": F.coalesce("study_id", F.lit("unclear"))})
+    scoped = evidence.withColumns({"exposure_name": canonical_name(c("raw_exposure")), "study_id": F.coalesce("study_id", F.lit("unclear"))}).join(last_scopes(scopes), ["paper_id", "study_id"], "left")
+    rows = fan_out(scoped).withColumn("outcome_name", F.coalesce("outcome_name", F.lit("")))
     rows = rows.join(active(exposures, "exposure"), "exposure_name", "left").join(active(outcomes, "outcome"), "outcome_name", "left")
-    rows = rows.join(last_scopes(scopes), ["paper_id", "study_id"], "left")
     unclear = lambda name: F.coalesce(name, F.lit("unclear"))
     rows = rows.withColumns({"study_design": unclear("scope_design"), "effect_direction": unclear("effect_direction"), "evidence_role_in_paper": unclear("evidence_role_in_paper"), "assertion_type": unclear("assertion_type"), "organism": F.coalesce("organism", rules.organism_of_design(c("scope_design"))), "build_id": F.lit(build_id)})
     rows = rows.withColumn("rank", rules.ranking())
