@@ -6,7 +6,7 @@ import unicodedata
 from itertools import count, groupby
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -60,9 +60,16 @@ def ascii_fold(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the batches that Python gets by rows and by bytes, so that its memory does not grow with a partition's texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def changed_by_nfkc(c: Column) -> Column:
     """The NFKC form of a text that it may change; null of others, of which Python gets a null, too."""
     ship()
+    bound_batches(SparkSession.active())
     return nfkc(F.when(c.rlike(_NOT_NFKC), c))
 
 
@@ -173,6 +180,7 @@ def source_slug(paper_id: Column, pdf: Column) -> Column:
 def keyword_text(c: Column) -> Column:
     """ASCII tokens, lower case, joined by one space."""
     ship()
+    bound_batches(SparkSession.active())
     as_is = F.coalesce(c, F.lit("")).rlike(_ASCII)
     folded = F.when(as_is, c).otherwise(ascii_fold(F.when(~as_is, c)))
     return F.array_join(F.regexp_extract_all(F.lower(F.coalesce(folded, F.lit(""))), F.lit("([a-z0-9]+)"), 1), " ")

@@ -216,3 +216,15 @@ def test_a_part_is_written_by_many_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = stored.read("t").groupBy("_metadata.file_path").count().collect()
     assert len(files) > 1 and max(r["count"] for r in files) < 15_000 and stored.read("t").count() == 20_000
+
+
+def test_python_gets_bounded_batches(spark):
+    """Texts reach Python in batches bounded by rows and bytes, plain ones not at all, and matches leave in parts."""
+    for name in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{name}")
+    T.keyword_text(c("t"))
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000" and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(4 << 20)
+    keywords = spark.createDataFrame([("a", 1), ("b", 2), ("c d", 3)], "keyword string, place int")
+    rows = spark.range(950).coalesce(1).select("id", F.when(c("id") % 7 == 0, None).when(c("id") % 2 == 0, "a c d").otherwise("b a").alias("normalised"))
+    want = {k: [] if k % 7 == 0 else ["a", "c d"] if k % 2 == 0 else ["a", "b"] for k in range(950)}
+    assert {r.id: r.matched_keywords for r in D.match_keywords(rows, keywords).collect()} == want
