@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from fnmatch import fnmatchcase
+from itertools import groupby
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -124,3 +126,95 @@ def write_files(rows: DataFrame) -> int:
             yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
 
     return rows.select("path", "content").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def write_new_files(rows: DataFrame) -> int:
+    """Files of (path, content) put in place by the tasks, those that are there left as they are; how many rows were written.
+
+    The rows of one path follow each other in its file, in order; one task streams them. A task that is repeated counts what its first try had left.
+    """
+    ship(rows.sparkSession)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+
+        def parts(own: Iterator[tuple]) -> Iterator[bytes]:
+            nonlocal n
+            for _, content in own:
+                n += 1
+                yield content or b""
+
+        pairs = (r for b in it for r in zip(b.column("path").to_pylist(), b.column("content").to_pylist()))
+        for name, own in groupby(pairs, lambda r: r[0]):
+            fs, path = opened(name)
+            if fs.get_file_info(path).type == pafs.FileType.NotFound:
+                placed(fs, path, parts(own))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    dealt = rows.select("path", "content").repartition(_parts(rows.sparkSession), "path").sortWithinPartitions("path", "content")
+    return dealt.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def _parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark takes it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def _found(uri: str, deep: bool) -> Iterator[tuple[str, bool]]:
+    """(URI, whether a folder) of what is in a folder, in order; names that begin with . or _ are not seen, as Spark's readers do not."""
+    fs, path = opened(uri)
+    top = path.rstrip("/")
+    for info in sorted(fs.get_file_info(pafs.FileSelector(path, recursive=deep)), key=lambda x: x.path):
+        rest = info.path[len(top) :]
+        if not any(x.startswith((".", "_")) for x in rest.strip("/").split("/")):
+            yield uri.rstrip("/") + rest, info.type == pafs.FileType.Directory
+
+
+def listed(spark: SparkSession, folder: str, glob: str, deep: bool = False) -> DataFrame:
+    """(path) of the files in a folder whose names match, with ``deep`` also of those under its folders; a missing folder is an error.
+
+    One task lists the folder; what is in it is dealt over all tasks, and each lists what is under its own. No list goes through the driver.
+    """
+    ship(spark)
+
+    def top(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for uri in b.column("path").to_pylist():
+                rows = list(_found(uri, False))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.bool_())], names=["path", "folder"])
+
+    def under(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for uri, is_folder in zip(b.column("path").to_pylist(), b.column("folder").to_pylist()):
+                rows = [uri] if not is_folder else [x for x, more in _found(uri, True) if not more] if deep else []
+                yield pa.RecordBatch.from_arrays([pa.array([x for x in rows if fnmatchcase(x.rpartition("/")[2], glob)], pa.string())], names=["path"])
+
+    root = spark.createDataFrame([(qualified(spark, folder),)], "path string")
+    first = root.mapInArrow(top, "path string, folder boolean").repartition(_parts(spark), "path")
+    return first.mapInArrow(under, "path string")
+
+
+def contents(files: DataFrame) -> DataFrame:
+    """(path, content) of files (path), dealt over all tasks and read one by one."""
+    ship(files.sparkSession)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], names=["path", "content"])
+        rows, size = [], 0
+        for b in it:
+            for uri in b.column("path").to_pylist():
+                fs, path = opened(uri)
+                with fs.open_input_stream(path) as f:
+                    rows.append((uri, f.read()))
+                size += len(rows[-1][1])
+                if size > CHUNK or len(rows) >= 1000:
+                    yield batch(rows)
+                    rows, size = [], 0
+        yield batch(rows)
+
+    return files.select("path").repartition(_parts(files.sparkSession), "path").mapInArrow(run, "path string, content binary")

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import text as T
 from ..shipping import ship
+from .moves import contents, listed
 
 c = F.col
 
@@ -95,9 +96,9 @@ def known_ids(lake: DataFrame) -> DataFrame:
     return names.filter("id is not null").distinct()
 
 
-def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
-    """(stem, path, content, hash) of a folder's files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+def list_files(spark: SparkSession, folder: str, glob: str, deep: bool = False) -> DataFrame:
+    """(stem, path, content, hash) of a folder's files, with ``deep`` also of those under it. They are listed and read by tasks."""
+    files = contents(listed(spark, folder, glob, deep))
     return files.select(F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("stem"), "path", "content", F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("hash"))
 
 

@@ -49,3 +49,23 @@ def test_a_killed_task_leaves_no_half_file(spark, tmp_path):
     assert [p.name for p in (tmp_path / "t").iterdir()] == ["x"]
     assert M.copy_files(plan.limit(0)).count() == 0 and M.write_files(spark.createDataFrame([], "path string, content binary")) == 0
     assert M.copy_files(plan.withColumn("n_bytes2", F.lit(1))).columns == ["source", "target", "n_bytes2", "outcome", "sha256", "n_bytes", "error"]
+
+
+def test_paper_files_are_written_listed_and_read_by_tasks(spark, tmp_path):
+    from quillstone.sources import readers as R
+    from quillstone.sources import sinks as K
+
+    odd = ["a/b", "x:y=z", 'q"[1]{^}', "50%", "ü\U0001f600", "tab\there", "back\\slash", "", None, "plain"]
+    rows = spark.createDataFrame([(x, f"p{k}") for k, x in enumerate(odd)] + [("plain", "p99")], "paper_id string, payload string")
+    folder = str(tmp_path / "papers")
+    assert K.write_per_paper(rows.filter("payload = 'p0'"), folder) == 1
+    assert K.write_per_paper(rows.withColumn("payload", F.concat("payload", F.lit("!"))).filter("payload <> 'p0'"), folder) == len(odd)
+    assert K.write_per_paper(rows, folder) == 0
+    rows.write.partitionBy("paper_id").text(str(tmp_path / "spark"))
+    assert {p.parent.name for p in (tmp_path / "papers").rglob("*.txt")} == {p.name for p in (tmp_path / "spark").glob("paper_id=*")}
+    assert not [p for p in (tmp_path / "papers").rglob("*") if p.name.startswith((".", "_"))]
+    files = R.list_files(spark, folder, "*.txt", deep=True)
+    assert files.inputFiles() == []  # the driver has no list of them
+    assert sorted(r.content.decode() for r in files.collect()) == sorted(["p0\n", *[f"p{k}!\n" for k in range(1, 9)], "p9!\np99!\n"])
+    assert R.list_files(spark, folder, "*.txt").count() == 0 and R.list_files(spark, folder, "*.pdf", deep=True).count() == 0
+    assert K.write_per_paper(rows.limit(0), str(tmp_path / "none")) == 0 and R.list_files(spark, str(tmp_path / "none"), "*.txt", deep=True).count() == 0
