@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from ..functions import text as T
 from ..shipping import ship
@@ -36,10 +36,15 @@ def read_jsonl_lenient(spark: SparkSession, path: str, schema: str) -> DataFrame
     return df.filter("_corrupt is null").drop("_corrupt")
 
 
-def read_json_documents(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
-    """One JSON document per file, with its folder, by which siblings are joined."""
-    df = spark.read.schema(schema).option("multiLine", True).json(pattern)
-    return df.withColumn("folder", F.regexp_extract(c("_metadata.file_path"), r"^(.*)/[^/]*$", 1))
+def read_json_documents(spark: SparkSession, folder: str, schema: str, glob: str = "*") -> DataFrame:
+    """One JSON document per file at any depth, with its folder, by which siblings are joined. Files are listed and read by tasks.
+
+    A list gives a row for each of its objects; what is no JSON, a row of nulls; an empty file, none.
+    """
+    kind = ArrayType(StructType.fromDDL(schema))
+    files = contents(listed(spark, folder, glob, deep=True)).select("path", c("content").cast("string").alias("text")).filter(F.btrim("text", F.lit(" \t\r\n")) != "")
+    rows = F.coalesce(F.from_json("text", kind), F.array(F.lit(None).cast(kind.elementType)))
+    return files.select(F.explode(rows).alias("d"), "path").select("d.*", F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"))
 
 
 def join_siblings(documents: DataFrame, siblings: DataFrame, columns: list[str]) -> DataFrame:

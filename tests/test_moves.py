@@ -69,3 +69,14 @@ def test_paper_files_are_written_listed_and_read_by_tasks(spark, tmp_path):
     assert sorted(r.content.decode() for r in files.collect()) == sorted(["p0\n", *[f"p{k}!\n" for k in range(1, 9)], "p9!\np99!\n"])
     assert R.list_files(spark, folder, "*.txt").count() == 0 and R.list_files(spark, folder, "*.pdf", deep=True).count() == 0
     assert K.write_per_paper(rows.limit(0), str(tmp_path / "none")) == 0 and R.list_files(spark, str(tmp_path / "none"), "*.txt", deep=True).count() == 0
+
+
+def test_json_documents_are_listed_and_read_by_tasks(spark, tmp_path):
+    from quillstone.sources import readers as R
+
+    for name, text in (("a/d.json", '{\n "name": "x",\n "n": 1}'), ("b/c/d.json", '[{"name": "y"}, {"name": "z"}]'), ("bad/d.json", "{no"), ("empty/d.json", " \n"), ("list/d.json", "[]"), ("_not/d.json", '{"name": "hidden"}')):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    found = R.read_json_documents(spark, str(tmp_path), "name string")
+    assert found.inputFiles() == []  # the driver has no list of them
+    assert sorted((r.folder.removeprefix(f"file:{tmp_path}/"), r.name or "") for r in found.collect()) == [("a", "x"), ("b/c", "y"), ("b/c", "z"), ("bad", "")]
