@@ -129,3 +129,19 @@ def test_redelivered_batch_is_stored_once(spark, tmp_path):
     for _ in range(2):
         assert not deliver(rows, down, outbox, batch=7)
     assert spark.read.json(outbox).count() == 2
+
+
+def test_rows_delivered_before_are_compared_by_key_alone(spark, tmp_path, monkeypatch):
+    written = []
+    real = S.kept
+    monkeypatch.setattr(S, "kept", lambda df, tag: written.append((tag, set(df.columns), real(df, tag))) or written[-1][2])
+    store = S.Store(spark, str(tmp_path / "log"), S.DELIVERED)
+    rows = spark.range(300).select((F.col("id") % 100).cast("string").alias("key"), F.lit("wide").alias("payload"))
+    fresh = S.unseen(store, rows)
+    assert fresh.count() == 100 and [tag for tag, _, _ in written] == ["fresh"]  # the rows are written once
+    store.commit(store.upsert("delivered", fresh.select("key", F.xxhash64("key").alias("hash")), settled=True))
+    written.clear()
+    more = rows.union(spark.createDataFrame([("new", "wide"), ("new", "wide")], rows.schema))
+    assert [r.key for r in S.unseen(store, more).collect()] == ["new"]
+    wide = {tag: df.count() for tag, columns, df in written if "payload" in columns}
+    assert wide == {"fresh": 1}  # what was delivered before is never dealt as whole rows
