@@ -160,25 +160,27 @@ def _compare_node(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): smallest id reachable over the edges (a, b), by alternating large and small stars.
 
-    Each round writes a table of at most one row per edge; a hub's rows are only aggregated with map-side combination
-    and joined, which AQE splits. Loops until nothing changes.
+    Either star writes a table of at most one row per edge, so that plans stay small in the driver; a hub's rows are only
+    aggregated with map-side combination and joined, which AQE splits. Loops until the edges are stars around smallest ids.
     """
     both = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     both = written(both, "edges")
-    mark = None
-    while True:
+    while not _are_stars(both):
         around = both.union(both.select("v", "u"))
         low = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = around.join(low, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
+        large = written(large.distinct(), "large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = small.select("v", "m").filter("v <> m").union(low.select(F.col("u").alias("v"), "m")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        both = written(small, "edges")
-        now = both.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
-            return both.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        mark = now
+        small = large.join(low, "u").select("v", "m").filter("v <> m").union(low)
+        both = written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
+    return both.select(F.col("u").alias("id"), F.col("v").alias("component"))
+
+
+def _are_stars(both: DataFrame) -> bool:
+    """Whether of the distinct edges (u, v), v < u, each u has one v, which is no other's u: then v is the smallest id of u's component."""
+    ends = both.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(both.select("v", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not ends.agg(F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0)))).first()[0]
 
 
 def candidate_edges(reps: DataFrame, n_trees: int) -> tuple[DataFrame, DataFrame]:
@@ -412,6 +414,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not heads.groupBy("head").count().filter("count > 1").isEmpty():
         return _by_row(docs, id_col, text_col, k, percent)
     reps = some.join(heads.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "sig", "paths").dropDuplicates(["doc_id"])
+    reps = written(reps, "representatives")
     pairs, crowded = candidate_edges(reps, n)
     groups = components(pairs)
     groups = groups.union(groups.select(F.col("component").alias("id"), "component")).distinct().withColumnRenamed("component", "cc")
