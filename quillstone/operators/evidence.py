@@ -12,12 +12,10 @@ from pyspark.sql.types import StructType
 from ..functions import rules
 from ..functions.ids import canonical_json, json_text, stable_id
 from ..functions.text import EXPOSURE_KINDS, OUTCOME_KINDS, canonical_name, display_name, kind_of
-from ..sources.sinks import kept
+from ..sources.sinks import bounded, kept
 
 GROUP = ["exposure_id", "outcome_id", "organism", "population_scope", "context_json"]
 c = F.col
-#: Terms of a registry that may be broadcast, by count.
-BROADCAST_ROWS = 1_000_000
 
 
 def registry(terms: DataFrame, prefix: str, kinds: list[tuple[str, str]]) -> DataFrame:
@@ -86,7 +84,7 @@ def projections(evidence: DataFrame, scopes: DataFrame, exposures: DataFrame, ou
 
     def active(r: DataFrame, p: str) -> DataFrame:
         names = kept(r.filter("status = 'active'").select(c("canonical_name").alias(f"{p}_name"), f"{p}_id", c("display_name").alias(f"{p}_display")), p)
-        return F.broadcast(names) if names.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else names
+        return bounded(names)
 
     evidence = evidence.withColumn("context_json", context_json(evidence.schema["context_identity"].dataType.typeName() == "string") if "context_identity" in evidence.columns else F.lit("{}"))
     if "has_quant" not in evidence.columns:
@@ -218,7 +216,7 @@ def build(evidence: DataFrame, scopes: DataFrame, build_id: str, keep: Callable[
     outcomes = keep("outcome_registry", registry(outcome_terms, "outcome", OUTCOME_KINDS))
     rows = keep("evidence_projections", projections(evidence, scopes, exposures, outcomes, build_id))
     general = keep("general_evidence", general_evidence(rows, build_id))
-    joined = in_groups(rows, general)
+    joined = in_groups(rows, bounded(general.select("general_evidence_id", "dominant_direction")))
     support = keep("general_evidence_support", support_edges(joined, representatives(joined)).withColumn("build_id", F.lit(build_id)))
     export = keep("retrieval_export", retrieval_export(general, rows).withColumn("build_id", F.lit(build_id)))
     return {"exposure_registry": exposures, "outcome_registry": outcomes, "evidence_projections": rows, "general_evidence": general, "general_evidence_support": support, "retrieval_export": export}

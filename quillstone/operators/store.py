@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..functions import text as T
-from ..sources.tables import Table
+from ..sources.sinks import kept
+from ..sources.tables import Store, Table
 
 c = F.col
 #: Roles of a support edge and statuses of a stage, as the tables' checks have them.
@@ -89,6 +92,11 @@ def primary_research(rows: DataFrame, latest_classification: DataFrame) -> DataF
     return rows.join(primary, "paper_id", "left_semi")
 
 
+def staging(store: Store, build_id: str) -> Callable[[str, DataFrame], DataFrame]:
+    """A ``keep`` for ``evidence.build``: tables of parts are written into the store, once, where ``publish`` names them; registries, which are upserted, aside."""
+    return lambda name, df: store.staged(name, df, [build_id]) if store.tables[name].part else kept(df, name)
+
+
 def publish(store, tables: dict[str, DataFrame], build_id: str) -> int:
     """Replace one build in the given tables at once: registries are upserted by id, of the others the build's rows are replaced.
 

@@ -1,11 +1,16 @@
+import hashlib
 import threading
+import time
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from quillstone.operators import store as O
 from quillstone.operators.metadata import upsert
+from quillstone.plans import files
+from quillstone.sources import sinks as K
 from quillstone.sources import tables as T
 from quillstone.sources.tables import BrokenRulesError, Store, Table
 
@@ -177,3 +182,87 @@ def test_removed_keys(spark, tmp_path, monkeypatch):
     for k in range(3):  # through buckets written anew
         store.commit(store.upsert("t", put((2, f"g{k}")), gone=keys(1)))
     assert state() == [(2, "g2"), (3, "f")]
+
+
+def test_staged_rows_are_published_where_they_lie(spark, tmp_path):
+    root = str(tmp_path / "s")
+    store = Store(spark, root, PARTS)
+    a = lambda build, *keys: spark.createDataFrame([(k, build) for k in keys], "a string, build string")
+    b = lambda build, *keys: spark.createDataFrame([(k, "x", build) for k in keys], "a string, x string, build string")
+    state = lambda: {n: sorted(map(tuple, store.read(n).collect())) for n in store.latest()[1]["tables"]}
+    keep = O.staging(store, "1")
+    tables = {"a": keep("a", a("1", "k1", "k2")), "b": keep("b", b("1", "k1"))}
+    assert store.latest()[0] == 0 and tables["a"].count() == 2
+    before = size(root)
+    O.publish(store, tables, "1")
+    O.publish(store, tables, "1")
+    assert size(root) == before and state() == {"a": [("k1", "1"), ("k2", "1")], "b": [("k1", "x", "1")]}
+    with pytest.raises(BrokenRulesError):  # rows of another build than they are published as
+        O.publish(store, {"a": tables["a"]}, "2")
+    with pytest.raises(BrokenRulesError) as e:
+        O.publish(store, {"a": keep("a", a("1", "k2"))}, "1")
+    assert e.value.counts == {"a: a is still named in b": 1}
+    with pytest.raises(BrokenRulesError) as e:  # b is there as it was, but what it refers to changes
+        O.publish(store, {"a": a("1", "k2"), "b": tables["b"]}, "1")
+    assert e.value.counts == {"b: a is not in a": 1}
+    O.publish(store, {"a": a("2", "k3"), "b": b("2", "k3")}, "2")
+    with pytest.raises(BrokenRulesError) as e:  # of the other parts too
+        O.publish(store, {"a": a("2", "k4"), "b": b("2", "k4"), "plain": spark.createDataFrame([("q", "2")], "p string, build string")}, "1")
+    assert e.value.counts == {"a: rows of other parts": 1}
+    store.commit(store.replace("b", b("1", "k3").union(b("2", "k3")).withColumn("x", F.col("build")), ["1", "2"]))
+    with pytest.raises(BrokenRulesError) as e:
+        O.publish(store, {"a": a("2", "k4"), "b": b("2", "k4")}, "2")
+    assert e.value.counts == {"a: a is still named in b": 1}
+    store.commit(store.replace("b", b("1", "k1"), ["1", "2"]), store.replace("a", a("2").limit(0), ["2"]))
+    assert state() == {"a": [("k1", "1"), ("k2", "1")], "b": [("k1", "x", "1")]}
+    O.publish(store, {"a": tables["a"].filter("a = 'k1'"), "b": tables["b"]}, "1")  # another frame than the staged one is written
+    assert state() == {"a": [("k1", "1")], "b": [("k1", "x", "1")]}
+    wide = O.staging(store, "1")("a", a("1", "k1").withColumn("n", F.lit(1)))
+    O.publish(store, {"a": wide}, "1")
+    O.publish(store, {"a": tables["a"]}, "1")  # columns are never lost
+    assert state()["a"] == [("k1", "1", None), ("k2", "1", None)]
+
+
+def test_keys_of_equal_hash_are_compared(spark, tmp_path):
+    """(k, null) and (null, k) have one hash, and are not one key."""
+    store = Store(spark, str(tmp_path / "s"), {"t": Table(("a", "b"), part="build")})
+    with pytest.raises(BrokenRulesError) as e:
+        store.commit(store.replace("t", spark.createDataFrame([("k", None, "1"), (None, "k", "1")], "a string, b string, build string"), ["1"]))
+    assert e.value.counts == {"t: a is null": 1, "t: b is null": 1}
+
+
+def test_packed_ids(spark):
+    digest = hashlib.sha256(b"x").hexdigest()
+    texts = [None, "", "a", "é", f"p_{digest}", f"q_{digest}", digest, f"{digest}\n", f"é{digest}", digest.upper(), digest[1:], f"0{digest}", f"{digest}\x01", "\x01", "0" * 64, "\0" * 32]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "n int, t string")
+    got = rows.select("n", "t", T.packed(rows, "t").alias("p"), T.packed(rows, "n").alias("m"))
+    got = got.select("*", T.unpacked(got, "p").alias("u"), T.unpacked(got, "m").alias("v")).collect()
+    assert [(r.u, r.v) for r in got] == [(r.t, r.n) for r in got] and len({r.p for r in got}) == len(texts)
+    assert all(len(r.p) <= 37 for r in got if r.t in (digest, f"p_{digest}"))
+
+
+def test_shuffle_files_go_with_the_query(spark):
+    env = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    held = lambda: {p for d in env.localDirs() for p in Path(d.getPath()).rglob("shuffle_*.data")}
+    setting, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", held()
+    assert K.kept(rows(spark, 0, 5000, 1).repartition(3, "k"), "swept").count() == 5000
+    for _ in range(50):
+        left = [p for p in held() - before if p.stat().st_size > 100_000]
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(setting) == "false"
+    with pytest.raises(ZeroDivisionError), K.swept(spark), K.swept(spark):
+        assert spark.conf.get(setting) == "true"
+        1 / 0
+    assert spark.conf.get(setting) == "false"
+
+
+def test_a_published_build_is_written_once(spark, sf_dir):
+    """Of the query's tables each row is written once, besides a tenth for the earlier build and one table that is published again."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    found = files.published_build(spark, sf_dir)
+    want = found.filter("name = 'evidence_projections'").count()
+    written = [p for d in set(folder.iterdir()) - before for p in d.rglob("*.parquet") if "evidence_projections" in str(p)]
+    assert want < sum(pq.read_metadata(p).num_rows for p in written) < 1.2 * want
